@@ -209,9 +209,9 @@ def vending_replay(
     and an unhandled one is answered; otherwise only money restarts it and such messages are dropped.
 
     A request is a certain start if no wait can be open before it: there was none before, enough
-    money followed the previous one, or a silence longer than the timeout did.  The log of a machine is
-    folded separately between certain starts, with unlimited stock; then deliveries are counted and
-    everything after the last item in stock is answered as sold out.
+    money followed the previous one, or a row after a silence longer than the timeout did.  The log of a
+    machine is folded separately between certain starts, with unlimited stock; then deliveries are
+    counted and everything after the last item in stock is answered as sold out.
     """
     is_request, is_money = F.col(cmd) == "request", F.col(cmd) == "money"
     restarts = F.lit(True) if any_message_restarts else (is_request | is_money)
@@ -221,7 +221,8 @@ def vending_replay(
         _paid=("sum", F.when(is_money, F.col(money))),
     ).before(_prev=("last", F.when(restarts, F.col(ts_us))))
     scan = scan.let(_active=F.coalesce(F.col(order) > F.col("_init"), F.lit(False)))
-    scan = scan.upto(_gaps=("count", F.when(F.col(ts_us) - F.col("_prev") > timeout_us, 1)))
+    late = F.col(ts_us) - F.col("_prev") > timeout_us
+    scan = scan.upto(_gaps=("count", F.when(late, 1))).let(_earlier_gaps=F.col("_gaps") - F.when(late, 1).otherwise(0))
     live_request = is_request & F.col("_active")
     scan = scan.before(
         _paid0=("last", F.when(live_request, F.col("_paid"))),
@@ -230,7 +231,7 @@ def vending_replay(
     certain = live_request & (
         F.col("_paid0").isNull()
         | (F.col("_paid") - F.col("_paid0") >= price)
-        | (F.col("_gaps") > F.col("_gaps0"))
+        | (F.col("_earlier_gaps") > F.col("_gaps0"))
     )
     rows = scan.let(_certain=certain).upto(_segment=("count", F.when(F.col("_certain"), 1))).df
     unhandled = "Command not found" if any_message_restarts else None

@@ -69,10 +69,8 @@ def str_length(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "str_upper",
-    """, w AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'tech' ELSE p_name END AS word FROM part)
-    SELECT id, unnest(CASE WHEN word = 'tech' THEN ['scala', 'akka'] ELSE [upper(word)] END) AS reply FROM w""".replace(
-        ", w", "WITH w", 1
-    ),
+    """WITH w AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'tech' ELSE p_name END AS word FROM part)
+    SELECT id, unnest(CASE WHEN word = 'tech' THEN ['scala', 'akka'] ELSE [upper(word)] END) AS reply FROM w""",
 )
 def str_upper(spark: SparkSession, sf: str) -> DataFrame:
     word = F.when(F.col("p_partkey") % 5 == 0, "tech").otherwise(F.col("p_name"))
