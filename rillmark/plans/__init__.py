@@ -6,7 +6,7 @@ from importlib import import_module
 
 from rillmark.registry import QUERIES, Query
 
-SECTIONS = ["sources_sinks", "scalars", "composition", "aggregates", "ordered", "policies", "eventlog"]
+SECTIONS = ["sources_sinks", "scalars", "composition", "aggregates", "ordered", "policies", "eventlog", "streaming"]
 
 
 def all_queries() -> dict[str, Query]:

@@ -14,8 +14,6 @@ from rillmark.registry import query
 from rillmark.session import load, scratch
 from rillmark.sources.journal import tag_events, upcast_guitars
 
-_ONE = F.lit(1)
-
 
 @query("agg_sum", with_views("ev", "SELECT CAST(sum(cents) AS BIGINT) AS value FROM ev"))
 def agg_sum(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +46,7 @@ def agg_word_count_dist(spark: SparkSession, sf: str) -> DataFrame:
     """Lines are counted where they are read; per source only one partial row per task is shuffled."""
     docs = load(spark, sf, "documents").select("source", F.explode(F.split("text", "\n", -1)).alias("line"))
     n = text.word_count(F.col("line"))
-    return docs.groupBy("source").agg(F.count(_ONE).alias("n_lines"), F.sum(n).alias("n_words"))
+    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(n).alias("n_words"))
 
 
 @query(
@@ -78,14 +76,14 @@ def agg_word_count_by_task(spark: SparkSession, sf: str) -> DataFrame:
 @query("agg_group_count", with_views("votes", "SELECT candidate, count(*) AS n FROM votes WHERE candidate IS NOT NULL GROUP BY candidate"))
 def agg_group_count(spark: SparkSession, sf: str) -> DataFrame:
     voted = V.votes(spark, sf).where(F.col("candidate").isNotNull())
-    return voted.groupBy("candidate").agg(F.count(_ONE).alias("n"))
+    return voted.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("agg_substream_fold", "SELECT CASE WHEN p_name = '' THEN 'NUL' ELSE lower(substring(p_name, 1, 1)) END AS letter, count(*) AS n FROM part GROUP BY 1")
 def agg_substream_fold(spark: SparkSession, sf: str) -> DataFrame:
     letter = text.first_char(F.col("p_name"))
     shown = F.when(letter == "\0", "NUL").otherwise(letter)
-    return load(spark, sf, "part").groupBy(shown.alias("letter")).agg(F.count(_ONE).alias("n"))
+    return load(spark, sf, "part").groupBy(shown.alias("letter")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("agg_merged_substreams", "SELECT CAST(sum(length(text)) AS BIGINT) AS n_chars, count(DISTINCT length(text) % 2) AS n_substreams FROM documents")
@@ -93,7 +91,7 @@ def agg_merged_substreams(spark: SparkSession, sf: str) -> DataFrame:
     """Lengths summed in two substreams by parity, then merged."""
     n = F.length("text").cast("bigint")
     parts = load(spark, sf, "documents").groupBy((n % 2).alias("parity")).agg(F.sum(n).alias("n"))
-    return parts.agg(F.sum("n").alias("n_chars"), F.count(_ONE).alias("n_substreams"))
+    return parts.agg(F.sum("n").alias("n_chars"), F.count(F.lit(1)).alias("n_substreams"))
 
 
 @query("agg_distinct_tags", with_views("songs", "SELECT playlist_id, string_agg(genre, ',' ORDER BY genre) AS tags FROM (SELECT DISTINCT playlist_id, genre FROM songs) GROUP BY playlist_id"))

@@ -15,8 +15,6 @@ from rillmark.registry import query
 from rillmark.session import load
 from rillmark.sources import journal as J
 
-AMOUNT = F.col("amount")
-
 
 @query(
     "journal_write",
@@ -48,14 +46,14 @@ _RUNNING = """, r AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY persistence_
     with_views("journal", f"{_RUNNING} SELECT persistence_id, sequence_number, total, sequence_number AS n_events FROM r WHERE sequence_number % 10 = 0"),
 )
 def snapshot_write(spark: SparkSession, sf: str) -> DataFrame:
-    return J.snapshots(V.journal(spark, sf), AMOUNT, 10)
+    return J.snapshots(V.journal(spark, sf), F.col("amount"), 10)
 
 
 @query("snapshot_recover", with_views("journal", "SELECT persistence_id, CAST(sum(amount) AS BIGINT) AS total, count(*) AS n_events, max(sequence_number) + 1 AS next_id FROM journal GROUP BY 1"))
 def snapshot_recover(spark: SparkSession, sf: str) -> DataFrame:
     """Latest snapshot and the tail after it; the oracle is the full replay."""
     events = V.journal(spark, sf)
-    return J.recover(events, J.snapshots(events, AMOUNT, 10), AMOUNT)
+    return J.recover(events, J.snapshots(events, F.col("amount"), 10), F.col("amount"))
 
 
 @query(
@@ -69,7 +67,7 @@ def snapshot_recover(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def multi_event(spark: SparkSession, sf: str) -> DataFrame:
-    return J.invoice_events(V.journal(spark, sf), ["persistence_id", "sequence_number"], AMOUNT)
+    return J.invoice_events(V.journal(spark, sf), ["persistence_id", "sequence_number"], F.col("amount"))
 
 
 @query(
@@ -184,7 +182,7 @@ def account_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("account_unguarded", with_views("ev ledger", "SELECT seq, user_id, CAST(sum(amount) OVER (PARTITION BY user_id ORDER BY seq) AS BIGINT) AS balance FROM ledger"))
 def account_unguarded(spark: SparkSession, sf: str) -> DataFrame:
-    return OrderedScan(V.ledger(spark, sf), ["seq"], ["user_id"]).upto(balance=("sum", AMOUNT)).df.drop("amount")
+    return OrderedScan(V.ledger(spark, sf), ["seq"], ["user_id"]).upto(balance=("sum", F.col("amount"))).df.drop("amount")
 
 
 PRICE, STOCK, WAIT_US = 5000, 3, 8 * HOUR_US
@@ -280,7 +278,7 @@ def checkout_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("order_to_transaction", with_views("tx", "SELECT row_number() OVER (ORDER BY id) - 1 AS transaction_id, account, amount FROM tx"))
 def order_to_transaction(spark: SparkSession, sf: str) -> DataFrame:
-    return states.transactions(V.tx(spark, sf).select("id", "account", "amount"), ["id"], F.col("account"), AMOUNT)
+    return states.transactions(V.tx(spark, sf).select("id", "account", "amount"), ["id"], F.col("account"), F.col("amount"))
 
 
 @query("tbl_find_all", with_views("stock", "SELECT * FROM stock"))
