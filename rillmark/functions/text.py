@@ -23,12 +23,16 @@ def word_count(text: Column) -> Column:
 
 def sentence_char_count(text: Column) -> Column:
     """Characters of all sentences of a text; an empty sentence counts one, empty ones at the end none."""
-    kept = F.regexp_replace(text, r"(\. )+\z", "")
+    kept = F.when(text.endswith(". "), F.regexp_replace(text, r"(\. )+\z", "")).otherwise(text)
     sentences = F.split(kept, r"\. ", -1)
     chars = F.aggregate(
         sentences, F.lit(0).cast("bigint"), lambda n, s: n + F.greatest(F.length(s), F.lit(1))
     )
-    return F.when((kept == "") & (text != ""), F.lit(0).cast("bigint")).otherwise(chars)
+    return (
+        F.when((kept == "") & (text != ""), F.lit(0).cast("bigint"))
+        .when(~kept.contains(". "), F.greatest(F.length(kept), F.lit(1)).cast("bigint"))
+        .otherwise(chars)
+    )
 
 
 def first_char(text: Column) -> Column:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
@@ -13,15 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _in_flight(pool: ThreadPoolExecutor, call: Callable, values: Iterable, limit: int) -> Iterator:
-    """Results in input order with at most ``limit`` calls running."""
-    pending: deque = deque()
-    for value in values:
-        if len(pending) >= limit:
-            yield pending.popleft().result()
-        pending.append(pool.submit(call, value))
-    while pending:
-        yield pending.popleft().result()
+def _in_flight(pool: ThreadPoolExecutor, call: Callable, values: Sequence, limit: int) -> list:
+    """Results in input order; each of ``limit`` threads works through short runs of values."""
+    size = max(1, min(256, -(-len(values) // limit)))
+    runs = [values[i : i + size] for i in range(0, len(values), size)]
+    return [result for done in pool.map(lambda run: [call(v) for v in run], runs) for result in done]
 
 
 def async_call(
@@ -32,7 +27,7 @@ def async_call(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(parallelism) as pool:
             for batch in batches:
-                values = list(_in_flight(pool, call, batch[argument], parallelism))
+                values = _in_flight(pool, call, batch[argument].tolist(), parallelism)
                 yield batch.assign(**{result: pd.Series(values, index=batch.index, dtype=object)})
 
     schema = T.StructType([*df.schema.fields, T.StructField(result, kind)])
@@ -53,7 +48,7 @@ def keyed_call(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(parallelism) as pool:
             for batch in batches:
-                done = list(_in_flight(pool, attempt, batch[argument], parallelism))
+                done = _in_flight(pool, attempt, batch[argument].tolist(), parallelism)
                 out = pd.DataFrame(done, columns=["ok", "result", "error"], index=batch.index)
                 yield pd.concat([batch[[key]], out], axis=1)
 

@@ -74,17 +74,16 @@ def supervised_word_count(
     rows = df.withColumn("policy", text_policy(F.col(text))).withColumn(
         "_words", F.when(F.col("policy") == "ok", word_count(F.col(text))).otherwise(F.lit(0))
     )
-    scan = OrderedScan(rows, order, group or keys)
-    scan = scan.before(_stopped=("count", F.when(F.col("policy") == "stop", 1)))
-    live = scan.df.where(F.col("_stopped") == 0).drop("_stopped")
+    is_stop, is_reset = F.col("policy") == "stop", F.col("policy") == "reset"
+    # nothing counts once a stop was seen, so resets and words can be folded along with the stops
+    stops = {"_stopped": ("count", F.when(is_stop, 1))}
     if group:
-        # the latest reset anywhere in the group, seen from each row; then words of the key since then
-        cuts = OrderedScan(live, order, group).upto(
-            _reset_no=("count", F.when(F.col("policy") == "reset", 1))
-        ).df
-        scan = OrderedScan(cuts, order, [*keys, "_reset_no"]).upto(words=("sum", F.col("_words")))
-        return scan.df.drop("_words", "_reset_no")
-    scan = OrderedScan(live, order, keys).upto(_all=("sum", F.col("_words")))
-    scan = scan.upto(_base=("last", F.when(F.col("policy") == "reset", F.col("_all"))))
+        cuts = OrderedScan(rows, order, group)
+        cuts = cuts.fold(upto={"_reset_no": ("count", F.when(is_reset, 1))}, before=stops)
+        live = cuts.where(F.col("_stopped") == 0).table()
+        scan = OrderedScan(live, order, [*keys, "_reset_no"]).upto(words=("sum", F.col("_words")))
+        return scan.df.drop("_words", "_reset_no", "_stopped")
+    scan = OrderedScan(rows, order, keys).fold(upto={"_all": ("sum", F.col("_words"))}, before=stops)
+    scan = scan.upto(_base=("last", F.when(is_reset, F.col("_all")))).where(F.col("_stopped") == 0)
     words = F.col("_all") - F.coalesce("_base", F.lit(0))
-    return scan.df.withColumn("words", words).drop("_words", "_all", "_base")
+    return scan.df.withColumn("words", words).drop("_words", "_all", "_base", "_stopped")

@@ -1,42 +1,46 @@
 """Running folds over an ordered, optionally keyed log.
 
 Every ordered operator of the package (running totals, positions, forward fill, gap detection,
-segment numbers) is a prefix fold.  A plain window does it well unless one key holds a large part of
-the log: its whole history would then be sorted and scanned by one task.  ``OrderedScan`` therefore
-cuts the log of each heavy key into consecutive chunks:
-
-1. quantiles of the order column give cut points (one aggregate over one column, at most
-   ``MAX_CHUNKS`` numbers reach the driver);
-2. a key is heavy if it has more rows than one chunk should hold, so there are fewer heavy keys than
-   chunks, which bounds the broadcast that marks them;
-3. rows are shuffled once by (key, chunk) and folded by a window inside the chunk;
-4. every chunk is also summarised to one row with partial aggregation, the summaries are folded over
-   the chunks of a key, and the result (the carry) is joined back on (key, chunk), which is the
-   partitioning that the window already has.
-
-Cut points are literals in the plan, so a recomputed task puts each row into the same chunk again.
-Inputs below ``spark.rillmark.scan.smallBytes`` skip the cutting: any one task can hold them.
+segment numbers) is a prefix fold.  A window over the key does it with one shuffle, and keys of an
+ordinary size are always folded that way.  But a window puts all rows of a key into one task, so the
+rows of heavy keys (or of a log without keys) are taken apart first:
+
+1. one count per key finds the keys with more rows than a task should hold; there are fewer of them
+   than chunks, which bounds the list that reaches the driver and the broadcast that marks their rows;
+2. quantiles of the order column give cut points, and each heavy log is shuffled by (key, chunk);
+3. a window folds inside the chunk, and each chunk is summarised to one row by partial aggregation;
+4. the summaries are folded over the chunks of a key, and the result (the carry) is joined back on
+   (key, chunk), the partitioning that the window already has.
+
+Cut points and heavy keys are literals in the plan, so a recomputed task puts each row into the same
+chunk again.  A fold over the result of an earlier fold reads its input twice; for heavy logs that
+input is first written to the shared scratch folder, so the work grows linearly with the folds.
+Inputs below ``spark.rillmark.scan.smallBytes`` skip the search: any one task can hold them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillmark.session import plan_bytes
+from rillmark.session import plan_bytes, scratch
 
 MAX_CHUNKS = 4096
 SMALL_BYTES = ("spark.rillmark.scan.smallBytes", 64 * 1024 * 1024)
 TASK_ROWS = ("spark.rillmark.scan.taskRows", 20_000_000)
 
+_CUT_SAMPLE = 2000
 _CHUNK = "_chunk"
-_HEAVY = "_heavy"
+_LOG = "_log"
+
+Folds = dict[str, tuple[str, Column]]
 
 
 def _setting(spark: SparkSession, option: tuple[str, int]) -> int:
@@ -55,14 +59,73 @@ def order_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(name).cast("double")
-    raise TypeError(f"pass position= a number that grows with {name} ({kind.simpleString()})")
+    raise TypeError(f"order by a leading number or time, not by {name} ({kind.simpleString()})")
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows read back from a table in the scratch folder."""
+    path = scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Which logs are heavy (``None``: the one log without keys) and where they are cut."""
+
+    heavy: tuple[tuple, ...] | None
+    splits: tuple[float, ...]
+
+
+def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Layout | None:
+    """How to take the heavy logs of a frame apart; ``None`` if windows over the keys will do."""
+    if is_small(df):
+        return None
+    spark, heavy, logs = df.sparkSession, None, df
+    task_rows = _setting(spark, TASK_ROWS)
+    if keys:
+        seen = Observation()
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+        largest = counts.orderBy(F.desc("_n")).limit(MAX_CHUNKS).collect()
+        total = seen.get["total"] or 0
+        # more than total / chunks rows each, hence fewer keys than chunks
+        limit = total // max(1, min(MAX_CHUNKS, ceil(total / task_rows)))
+        found = [row for row in largest if row["_n"] > limit]
+        rows = sum(row["_n"] for row in found)
+        heavy = tuple(tuple(row)[:-1] for row in found)
+        logs = _mark_heavy(df, keys, heavy) if heavy else df
+    else:
+        rows = df.count()
+    chunks = min(MAX_CHUNKS, ceil(rows / task_rows))
+    if chunks <= 1:
+        return None
+    # cut points only need to be about even, so a sample of the order column gives them
+    sample = logs.select(order_number(df, order[0]).alias("_number"))
+    sample = sample.sample(min(1.0, _CUT_SAMPLE * chunks / rows), seed=7)
+    shares = [i / chunks for i in range(1, chunks)]
+    cuts = sorted(set(sample.approxQuantile("_number", shares, 0.2 / chunks)))
+    return Layout(heavy, (float("-inf"), *cuts, float("inf")))
+
+
+def _marks(df: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> tuple[DataFrame, Column]:
+    """The heavy keys as a broadcast table (at most ``MAX_CHUNKS`` rows) and the join condition."""
+    fields = [T.StructField(f"_of_{k}", df.schema[k].dataType) for k in keys]
+    schema = T.StructType([*fields, T.StructField(_LOG, T.IntegerType())])
+    table = df.sparkSession.createDataFrame([(*key, i) for i, key in enumerate(heavy)], schema)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return F.broadcast(table), same
+
+
+def _mark_heavy(df: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> DataFrame:
+    marks, same = _marks(df, keys, heavy)
+    return df.join(marks, same).select(*df.columns, _LOG)
 
 
 class OrderedScan:
     """A log, its keys and its total order, to which running columns are added.
 
-    ``order`` must be a total order within a key.  ``position`` may name another monotone number to
-    cut at, for orders whose leading column is not a number or has heavy ties.
+    ``order`` must be a total order within a key and start with a number or a time.  A scan over a
+    frame derived from an earlier one may take over that one's ``layout``.
     """
 
     def __init__(
@@ -70,114 +133,98 @@ class OrderedScan:
         df: DataFrame,
         order: Sequence[str],
         keys: Sequence[str] = (),
-        position: Column | None = None,
+        layout: Layout | None | str = "find",
     ) -> None:
-        self.order = list(order)
-        self.keys = list(keys)
-        self._data = df
-        self._split = False
-        self.small = is_small(df)
-        if not self.small:
-            self._cut(position)
+        self.order, self.keys = list(order), list(keys)
+        self.layout = find_layout(df, self.order, self.keys) if layout == "find" else layout
+        self._plain: DataFrame | None = df
+        self._heavy: DataFrame | None = None
+        self._folded = False
+        if self.layout is not None:
+            self._take_apart(df, self.layout)
+
+    def _take_apart(self, df: DataFrame, layout: Layout) -> None:
+        if layout.heavy is None:
+            self._plain, logs = None, df.withColumn(_LOG, F.lit(0))
+        else:
+            marks, same = _marks(df, self.keys, layout.heavy)
+            self._plain = df.join(marks, same, "left_anti")
+            logs = _mark_heavy(df, self.keys, layout.heavy)
+        numbered = logs.withColumn("_number", order_number(df, self.order[0]))
+        cut = Bucketizer(
+            splits=list(layout.splits), inputCol="_number", outputCol=_CHUNK, handleInvalid="keep"
+        ).transform(numbered)
+        self._heavy = cut.withColumn(_CHUNK, F.col(_CHUNK).cast("int")).drop("_number")
+
+    def _each(self, change: Callable[[DataFrame], DataFrame]) -> OrderedScan:
+        self._plain = None if self._plain is None else change(self._plain)
+        self._heavy = None if self._heavy is None else change(self._heavy)
+        return self
 
     @property
     def df(self) -> DataFrame:
-        return self._data.drop(_CHUNK)
+        parts = [self._plain, None if self._heavy is None else self._heavy.drop(_LOG, _CHUNK)]
+        return union_all([part for part in parts if part is not None])
+
+    def table(self) -> DataFrame:
+        """Like ``df``, but written out if logs were taken apart, for results that are read repeatedly."""
+        return self.df if self._heavy is None else written(self.df, "scan")
 
     def let(self, **columns: Column) -> OrderedScan:
         """Add plain columns, to be used by later folds."""
-        self._data = self._data.withColumns(columns)
-        return self
+        return self._each(lambda df: df.withColumns(columns))
 
-    def _cut(self, position: Column | None) -> None:
-        df = self._data
-        number = order_number(df, self.order[0]) if position is None else position.cast("double")
-        total = df.count()
-        chunks = min(MAX_CHUNKS, ceil(total / _setting(df.sparkSession, TASK_ROWS)))
-        if chunks <= 1:
-            return
-        shares = [i / chunks for i in range(1, chunks)]
-        cuts = df.select(number.alias("_number")).approxQuantile("_number", shares, 0.2 / chunks)
-        cuts = sorted(set(cuts))
-        splits = [float("-inf"), *cuts, float("inf")]
-        df = Bucketizer(splits=splits, inputCol="_number", outputCol=_CHUNK, handleInvalid="keep").transform(
-            df.withColumn("_number", number)
-        )
-        bucket = F.col(_CHUNK).cast("int")
-        if self.keys:
-            marks = [F.col(k).alias(f"_mark_{k}") for k in self.keys]
-            heavy = (
-                self._data.groupBy(*self.keys)
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > total // chunks)
-                .select(*marks, F.lit(True).alias(_HEAVY))
-            )
-            # fewer rows than chunks: each heavy key owns more than n / chunks rows
-            df = df.join(F.broadcast(heavy), self._same("_mark_"), "left")
-            bucket = F.when(F.col(_HEAVY), bucket).otherwise(F.lit(-1))
-        self._data = df.withColumn(_CHUNK, bucket).select(*self._data.columns, _CHUNK)
-        self._split = True
-
-    def _same(self, prefix: str) -> Column:
-        return reduce(
-            lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in self.keys)
-        )
+    def where(self, condition: Column) -> OrderedScan:
+        return self._each(lambda df: df.where(condition))
 
     def upto(self, **folds: tuple[str, Column]) -> OrderedScan:
         """Add running columns that include the current row: ``total=("sum", F.col("x"))``."""
-        return self._fold(folds, 0)
+        return self.fold(upto=folds)
 
     def before(self, **folds: tuple[str, Column]) -> OrderedScan:
         """Add running columns over the rows strictly before the current one."""
-        return self._fold(folds, -1)
-
-    def _fold(self, folds: dict[str, tuple[str, Column]], end: int) -> OrderedScan:
-        by = self.keys + ([_CHUNK] if self._split else [])
-        window = (
-            Window.partitionBy(*by).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, end)
-        )
-        kept = self._data.columns
-        local = self._data.select(
-            "*", *[_WINDOW[kind](value).over(window).alias(f"_in_{name}") for name, (kind, value) in folds.items()]
-        )
-        if not self._split:
-            final = {name: _combine(kind, F.col(f"_in_{name}"), F.lit(None)) for name, (kind, _) in folds.items()}
-        else:
-            local = self._join_carry(local, folds, by)
-            final = {
-                name: _combine(kind, F.col(f"_in_{name}"), F.col(f"_carry_{name}"))
-                for name, (kind, _) in folds.items()
-            }
-        self._data = local.select(
-            *[c for c in kept if c not in final], *[expr.alias(name) for name, expr in final.items()]
-        )
+        return self.fold(before=folds)
+
+    def fold(self, upto: Folds | None = None, before: Folds | None = None) -> OrderedScan:
+        """Add running columns of both sorts in one pass."""
+        spans = {"upto": upto or {}, "before": before or {}}
+        if self._plain is not None:
+            plain = self._plain
+            local = self._local(plain, self.keys, spans)
+            self._plain = self._finish(local, plain.columns, spans, lambda name: F.lit(None))
+        if self._heavy is not None:
+            heavy = written(self._heavy, "scan") if self._folded else self._heavy
+            local = self._local(heavy, [_LOG, _CHUNK], spans).join(self._carry(heavy, spans), [_LOG, _CHUNK], "left")
+            self._heavy = self._finish(local, heavy.columns, spans, lambda name: F.col(f"_carry_{name}"))
+        self._folded = True
         return self
 
-    def _join_carry(
-        self, local: DataFrame, folds: dict[str, tuple[str, Column]], by: list[str]
-    ) -> DataFrame:
-        order = F.struct(*self.order)
-        parts = (
-            self._data.where(F.col(_CHUNK) >= 0)
-            .groupBy(*by)
-            .agg(*[_PARTIAL[kind](value, order).alias(f"_part_{name}") for name, (kind, value) in folds.items()])
-        )
-        # one row per chunk: at most MAX_CHUNKS rows per key
-        earlier = (
-            Window.partitionBy(*self.keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    def _local(self, df: DataFrame, by: list[str], spans: dict[str, Folds]) -> DataFrame:
+        columns = []
+        for span, end in (("upto", 0), ("before", -1)):
+            window = Window.partitionBy(*by).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, end)
+            columns += [_WINDOW[kind](v).over(window).alias(f"_in_{name}") for name, (kind, v) in spans[span].items()]
+        return df.select("*", *columns)
+
+    def _carry(self, heavy: DataFrame, spans: dict[str, Folds]) -> DataFrame:
+        folds, order = {**spans["upto"], **spans["before"]}, F.struct(*self.order)
+        parts = heavy.groupBy(_LOG, _CHUNK).agg(
+            *[_PARTIAL[kind](value, order).alias(f"_part_{name}") for name, (kind, value) in folds.items()]
         )
-        carry = parts.select(
-            *[F.col(k).alias(f"_of_{k}") for k in self.keys],
-            F.col(_CHUNK).alias("_of_chunk"),
-            *[
-                _MERGE[kind](F.col(f"_part_{name}")).over(earlier).alias(f"_carry_{name}")
-                for name, (kind, _) in folds.items()
-            ],
-        )
-        same_chunk = F.col(_CHUNK) == F.col("_of_chunk")
-        if not self.keys:
-            return local.join(F.broadcast(carry), same_chunk, "left")
-        return local.join(carry, self._same("_of_") & same_chunk, "left")
+        # one row per chunk: at most MAX_CHUNKS rows per log
+        earlier = Window.partitionBy(_LOG).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        merged = [_MERGE[kind](F.col(f"_part_{name}")).over(earlier) for name, (kind, _) in folds.items()]
+        return parts.select(_LOG, _CHUNK, *[m.alias(f"_carry_{n}") for m, n in zip(merged, folds, strict=True)])
+
+    @staticmethod
+    def _finish(
+        local: DataFrame, kept: list[str], spans: dict[str, Folds], carry: Callable[[str], Column]
+    ) -> DataFrame:
+        folds = {**spans["upto"], **spans["before"]}
+        final = [
+            _combine(kind, F.col(f"_in_{name}"), carry(name)).alias(name) for name, (kind, _) in folds.items()
+        ]
+        return local.select(*[c for c in kept if c not in folds], *final)
 
 
 def _last(value: Column) -> Column:
@@ -211,15 +258,10 @@ def _combine(kind: str, here: Column, carry: Column) -> Column:
 
 
 def with_position(
-    df: DataFrame,
-    order: Sequence[str],
-    keys: Sequence[str] = (),
-    name: str = "pos",
-    start: int = 0,
-    position: Column | None = None,
+    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "pos", start: int = 0
 ) -> DataFrame:
     """Dense index in arrival order, per key or over the whole table, without one global sort task."""
-    scan = OrderedScan(df, order, keys, position).upto(**{name: ("count", F.lit(1))})
+    scan = OrderedScan(df, order, keys).upto(**{name: ("count", F.lit(1))})
     return scan.df.withColumn(name, F.col(name) + F.lit(start - 1))
 
 
@@ -233,7 +275,7 @@ def ordered_reduce(
     order: Sequence[str],
     element: Column,
     zero: Column,
-    combine,
+    combine: Callable[[Column, Column], Column],
 ) -> DataFrame:
     """Combine the elements of each key in order into one ``value``; ``combine`` must be associative.
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.functions.values import MIN_VOTING_AGE
-from rillmark.operators.scan import OrderedScan, ordered_reduce, union_all, with_position
+from rillmark.operators.scan import OrderedScan, ordered_reduce, union_all, with_position, written
 
 Step = Callable[[dict[str, Any], tuple], tuple]
 
@@ -75,11 +75,12 @@ def guarded_balance(
     Only this one row per claim is folded sequentially, and the decision is joined back.
     """
     a = F.col(amount)
-    scan = OrderedScan(df, order, keys).upto(_sum=("sum", a)).before(_low=("min", F.col("_sum")))
+    scan = OrderedScan(df, order, keys)
+    scan = scan.upto(_sum=("sum", a)).before(_low=("min", F.col("_sum")))
     bound = F.col("_sum") - F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
     scan = scan.let(_doubt=(a < 0) & (bound < 0))
     scan = scan.upto(_segment=("count", F.when(F.col("_doubt"), 1)))
-    rows = scan.df.drop("_low")
+    rows = scan.table().drop("_low")
     doubt = F.col("_doubt")
     segments = rows.groupBy(*keys, "_segment").agg(
         F.coalesce(F.sum(F.when(doubt, a)), F.lit(0)).alias("_claim"),
@@ -137,8 +138,10 @@ def hold_until_open(
     """
     is_open, is_close = F.col(cmd) == "open", F.col(cmd) == "close"
     scan = OrderedScan(df, [order], [key])
-    scan = scan.upto(_opens=("count", F.when(is_open, 1))).before(_closes=("count", F.when(is_close, 1)))
-    rows = scan.df
+    scan = scan.fold(
+        upto={"_opens": ("count", F.when(is_open, 1))}, before={"_closes": ("count", F.when(is_close, 1))}
+    )
+    rows = scan.table()
     opens = rows.where(is_open).select(
         F.col(key).alias("_key"), (F.col("_opens") - 1).alias("_round"), F.col(order).alias("_open_at")
     )
@@ -148,7 +151,9 @@ def hold_until_open(
         "released_at", F.when(F.col("_open_at").isNotNull(), F.greatest(order, "_open_at"))
     ).select(*df.columns, "released_at")
     write, read = F.col(cmd) == "write", F.col(cmd) == "read"
-    released = OrderedScan(passed.where(F.col("released_at").isNotNull()), ["released_at", order], [key])
+    by_release = ["released_at", order]
+    # released rows keep the heavy keys of the log; the cut points only balance the work
+    released = OrderedScan(passed.where(F.col("released_at").isNotNull()), by_release, [key], scan.layout)
     seen = released.upto(_seen=("last", F.when(write, F.col(payload)))).df
     seen = seen.withColumn("read_value", F.when(read, F.col("_seen"))).drop("_seen")
     held = passed.where(F.col("released_at").isNull())
@@ -187,7 +192,7 @@ def membership(df: DataFrame, node: str, order: Sequence[str], kind: Column) ->
     )
 
 
-IDLE, OPERATIONAL, WAITING = "Idle", "Operational", "WaitForMoney"
+SPREAD = 4096
 
 
 def vending_replay(
@@ -216,10 +221,13 @@ def vending_replay(
     is_request, is_money = F.col(cmd) == "request", F.col(cmd) == "money"
     restarts = F.lit(True) if any_message_restarts else (is_request | is_money)
     scan = OrderedScan(df, [order], [machine])
-    scan = scan.upto(
-        _init=("first", F.when(F.col(cmd) == "init", F.col(order))),
-        _paid=("sum", F.when(is_money, F.col(money))),
-    ).before(_prev=("last", F.when(restarts, F.col(ts_us))))
+    scan = scan.fold(
+        upto={
+            "_init": ("first", F.when(F.col(cmd) == "init", F.col(order))),
+            "_paid": ("sum", F.when(is_money, F.col(money))),
+        },
+        before={"_prev": ("last", F.when(restarts, F.col(ts_us)))},
+    )
     scan = scan.let(_active=F.coalesce(F.col(order) > F.col("_init"), F.lit(False)))
     late = F.col(ts_us) - F.col("_prev") > timeout_us
     scan = scan.upto(_gaps=("count", F.when(late, 1))).let(_earlier_gaps=F.col("_gaps") - F.when(late, 1).otherwise(0))
@@ -233,11 +241,21 @@ def vending_replay(
         | (F.col("_paid") - F.col("_paid0") >= price)
         | (F.col("_earlier_gaps") > F.col("_gaps0"))
     )
-    rows = scan.let(_certain=certain).upto(_segment=("count", F.when(F.col("_certain"), 1))).df
+    scan = scan.let(_certain=certain).upto(_starts=("count", F.when(F.col("_certain"), 1)))
+    # rows before the first start need no state: their reply is known, and they are spread by hash
+    spread = -1 - F.pmod(F.xxhash64(machine, order), F.lit(SPREAD))
+    segment = F.when(F.col("_starts") > 0, F.col("_starts")).otherwise(spread)
+    is_init = F.coalesce(F.col(order) == F.col("_init"), F.lit(False))
+    early = F.when(is_init, "Initialized").when(~F.col("_active"), "Not Init")
+    rows = scan.df.select(
+        machine, segment.alias("_segment"), order, ts_us, cmd, money, early.alias("_early")
+    )
     unhandled = "Command not found" if any_message_restarts else None
 
     def step(state: dict, row: tuple) -> tuple:
-        _, _, seq, now, command, amount = row
+        key, segment, seq, now, command, amount, early = row
+        if segment < 0:
+            return (key, seq, command, None, early or unhandled, None)
         expired = None
         if state.get("money") is not None and now - state["timer"] > timeout_us:
             expired, state["money"] = state["money"], None
@@ -256,9 +274,8 @@ def vending_replay(
                 reply, number = "Insert", price - paid
         elif any_message_restarts:
             state["timer"] = now
-        return (row[0], seq, command, expired, reply, number)
+        return (key, seq, command, expired, reply, number)
 
-    started = rows.where(F.col("_segment") > 0).select(machine, "_segment", order, ts_us, cmd, money)
     schema = T.StructType(
         _fields(df, machine, order, cmd)
         + [
@@ -267,8 +284,10 @@ def vending_replay(
             T.StructField("amount", T.LongType()),
         ]
     )
-    folded = fold_rows(started, [machine, "_segment"], [order], step, schema)
-    counted = OrderedScan(folded, [order], [machine]).before(
+    folded = fold_rows(rows, [machine, "_segment"], [order], step, schema)
+    if scan.layout is not None:
+        folded = written(folded, "replies")
+    counted = OrderedScan(folded, [order], [machine], scan.layout).before(
         _sold=("count", F.when(F.col("reply") == "Deliver", 1))
     )
     sold_out = F.col("_sold") >= stock
@@ -282,16 +301,6 @@ def vending_replay(
         .alias("reply"),
         F.when(~sold_out, F.col("amount")).alias("amount"),
     )
-    early = rows.where(F.col("_segment") == 0).select(
-        machine,
-        order,
-        F.lit(None).cast("bigint").alias("expired"),
-        F.when(F.col("_active"), F.lit(unhandled))
-        .when(F.coalesce(F.col(order) == F.col("_init"), F.lit(False)), "Initialized")
-        .otherwise("Not Init")
-        .alias("reply"),
-        F.lit(None).cast("bigint").alias("amount"),
-    )
     replies = F.array(
         F.struct(F.lit(0).alias("sub"), F.lit("Timed out").alias("reply"), F.col("expired").alias("amount")),
         F.struct(F.lit(1).alias("sub"), F.col("reply"), F.col("amount")),
@@ -300,7 +309,7 @@ def vending_replay(
         replies,
         lambda r: F.when(r["sub"] == 0, r["amount"].isNotNull()).otherwise(r["reply"].isNotNull()),
     )
-    return union_all([settled, early]).select(machine, order, F.inline(kept))
+    return settled.select(machine, order, F.inline(kept))
 
 
 def checkout(df: DataFrame, order: Sequence[str], denied: Column) -> DataFrame:

@@ -132,8 +132,9 @@ def err_restart_source(spark: SparkSession, sf: str) -> DataFrame:
     """The stream fails in its second batch, after writing it, and is restarted from its checkpoint."""
     events = V.ev(spark, sf).select("seq", "cents")
     landing, path, checkpoint = (scratch(spark, f"restart-{part}") for part in ("in", "out", "checkpoint"))
-    S.push(events.repartition(3, "seq"), landing)
-    stream = S.landed_stream(spark, landing, events.schema, files=1)
+    for part in range(3):
+        files = S.push(events.where(F.col("seq") % 3 == part), landing)
+    stream = S.landed_stream(spark, landing, events.schema, files=-(-files // 3))
     write, failed = S.batch_writer(path), []
 
     def flaky(batch: DataFrame, batch_id: int) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from rillmark.functions.records import read_json
 from rillmark.operators import flows
-from rillmark.operators.scan import OrderedScan, union_all
+from rillmark.operators.scan import union_all
 from rillmark.operators.substreams import chars
 from rillmark.plans import views as V
 from rillmark.plans.views import with_views
@@ -94,11 +94,12 @@ def src_char_stream(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def src_push(spark: SparkSession, sf: str) -> DataFrame:
-    """Producers push files, the stream takes one file per trigger; each user's buffer keeps the newest 10."""
+    """Two producers push files, taken in two triggers; each user's buffer keeps the newest 10."""
     events = V.ev(spark, sf).select("seq", "user_id", "cents")
     landing = scratch(spark, "push")
-    S.push(events.repartition(4, "user_id"), landing)
-    arrived = S.drain_to_table(S.landed_stream(spark, landing, events.schema, files=1), "pushed")
+    for producer in range(2):
+        files = S.push(events.where(F.col("seq") % 2 == producer), landing)
+    arrived = S.drain_to_table(S.landed_stream(spark, landing, events.schema, files=-(-files // 2)), "pushed")
     return flows.newest(arrived, ["seq"], 10, ["user_id"]).select("user_id", "seq", "cents")
 
 
@@ -128,7 +129,8 @@ def src_journal_jdbc(spark: SparkSession, sf: str) -> DataFrame:
     """The store is chosen by its format name; here the same events are copied into ORC and read back."""
     events = written_journal(spark, sf).events()
     copy = Journal(spark, scratch(spark, "journal-orc"), fmt="orc")
-    events.write.format(copy.fmt).partitionBy("batch", "pid_bucket").save(copy.path)
+    by_folder = events.hint("rebalance", "batch", "pid_bucket")
+    by_folder.write.format(copy.fmt).partitionBy("batch", "pid_bucket").save(copy.path)
     return _plain(copy.events())
 
 

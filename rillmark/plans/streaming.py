@@ -24,9 +24,9 @@ def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("bigint")
 
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
+def _events(spark: SparkSession, sf: str, trigger_bytes: int = S.TRIGGER_BYTES) -> DataFrame:
     """Events as a stream; event time is a timestamp in UTC because watermarks need one."""
-    return S.table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return S.table_stream(spark, sf, "events", trigger_bytes).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("st_map_filter", with_views("ev", "SELECT seq, cents * 2 AS value FROM ev WHERE cents % 2 = 0"))
@@ -93,7 +93,7 @@ def st_session(spark: SparkSession, sf: str) -> DataFrame:
 @query("st_stateful_fold", with_views("ev ledger", ACCOUNT))
 def st_stateful_fold(spark: SparkSession, sf: str) -> DataFrame:
     amount = F.when(F.col("event_type") == "purchase", -_cents()).otherwise(_cents())
-    ledger = _events(spark, sf).select(F.col("event_id").alias("seq"), "user_id", amount.alias("amount"))
+    ledger = _events(spark, sf, S.KEYED_TRIGGER_BYTES).select(F.col("event_id").alias("seq"), "user_id", amount.alias("amount"))
     with S.stateful(spark):
         return S.drain_to_table(S.guarded_account_stream(ledger, "user_id", "seq", "amount"), "account")
 
@@ -108,7 +108,8 @@ def st_stateful_fold(spark: SparkSession, sf: str) -> DataFrame:
 )
 def st_state_timer(spark: SparkSession, sf: str) -> DataFrame:
     """Timeouts of silent users from state timers; a later far-future row fires those still armed."""
-    events, fire_all = S.with_sentinel(_events(spark, sf).select("user_id", "ts"), "ts")
+    small = _events(spark, sf, S.KEYED_TRIGGER_BYTES)
+    events, fire_all = S.with_sentinel(small.select("user_id", "ts"), "ts")
     marked = events.withColumn("ts_ms", F.floor(F.unix_micros("ts") / 1000)).withWatermark("ts", "0 seconds")
     rows = S.silence_stream(marked, "user_id", 8 * HOUR_US // 1000)
     path, checkpoint = scratch(spark, "timer"), scratch(spark, "timer-checkpoint")
@@ -200,15 +201,27 @@ def udf_stage(spark: SparkSession, sf: str) -> DataFrame:
     "udaf_fold",
     with_views(
         "ev",
-        """SELECT user_id, CAST(count(*) AS BIGINT) AS n, string_agg(upper(substring(event_type, 1, 1)), '' ORDER BY seq) AS trail
-        FROM ev GROUP BY user_id""",
+        """SELECT user_id, CAST(list_reduce(list(CAST(k AS BIGINT) ORDER BY seq), lambda h, x: (h * 31 + x) % 1000003,
+        CAST(0 AS BIGINT)) AS BIGINT) AS checksum FROM ev GROUP BY user_id""",
     ),
 )
 def udaf_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """A user fold in order: each user's trail of event initials."""
-    initial = F.upper(F.substring("event_type", 1, 1))
-    trails = ordered_reduce(V.ev(spark, sf), ["user_id"], ["seq"], initial, F.lit(""), lambda acc, x: F.concat(acc, x))
-    return trails.select("user_id", F.length("value").cast("bigint").alias("n"), F.col("value").alias("trail"))
+    """A user fold whose order matters: h = (31 h + k) mod p over each user's events.
+
+    One step is the map h -> a h + b; maps compose, so a log is folded in blocks.
+    """
+    prime = 1_000_003
+
+    def step(a, b):
+        return F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b"))
+
+    def then(first, second):
+        return step(first["a"] * second["a"] % prime, (second["a"] * first["b"] + second["b"]) % prime)
+
+    sums = ordered_reduce(
+        V.ev(spark, sf), ["user_id"], ["seq"], step(F.lit(31), F.col("k")), step(F.lit(1), F.lit(0)), then
+    )
+    return sums.select("user_id", F.col("value.b").alias("checksum"))
 
 
 @query("udtf_flatmap", "SELECT id, row_number() OVER (PARTITION BY id ORDER BY value) - 1 AS place, value FROM (SELECT p_partkey AS id, CAST(unnest(generate_series(p_size, 3 * p_size)) AS BIGINT) AS value FROM part)")

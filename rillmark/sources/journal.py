@@ -18,17 +18,18 @@ class Journal:
 
     Layout: ``batch=<n>/pid_bucket=<b>``.  The bucket prunes reads of one entity; the batch makes an
     append repeatable, since writing a batch again replaces exactly its own files with the same numbers.
+    A side table keeps the last number per entity and batch, so an append need not scan the events.
     """
 
     def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", buckets: int = 8) -> None:
         self.spark, self.path, self.fmt, self.buckets = spark, path, fmt, buckets
+        self.heads = f"{path}-heads"
 
     def _bucket(self, persistence_id: Column) -> Column:
         return F.pmod(F.xxhash64(persistence_id), F.lit(self.buckets)).cast("int")
 
-    def _exists(self) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
+    def _exists(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def events(self) -> DataFrame:
@@ -48,8 +49,8 @@ class Journal:
         """Write events (``persistence_id``, ``payload``, ``tags``, ``ts`` and order columns) as one batch."""
         placed = with_position(events, order, ["persistence_id"], "sequence_number", start=1)
         placed = with_position(placed, order, name="ordering", start=1)
-        if batch > 0 and self._exists():
-            before = self.spark.read.format(self.fmt).load(self.path).where(F.col("batch") < batch)
+        if batch > 0 and self._exists(self.heads):
+            before = self.spark.read.parquet(self.heads).where(F.col("batch") < batch)
             last = before.groupBy("persistence_id").agg(F.max("sequence_number").alias("_last"))
             placed = placed.join(last, "persistence_id", "left").withColumns(
                 {
@@ -62,14 +63,17 @@ class Journal:
             "ordering", "persistence_id", "sequence_number", F.lit(False).alias("deleted"), "tags", "payload", "ts",
             F.lit(batch).alias("batch"), self._bucket(F.col("persistence_id")).alias("pid_bucket"),
         )
-        (
-            rows.hint("rebalance", "pid_bucket")
-            .write.format(self.fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", "pid_bucket")
-            .save(self.path)
+        self._replace(rows.hint("rebalance", "pid_bucket"), self.fmt, ["batch", "pid_bucket"], self.path)
+        written = self.spark.read.format(self.fmt).load(self.path).where(F.col("batch") == batch)
+        heads = written.groupBy("persistence_id", "batch").agg(
+            F.max("sequence_number").alias("sequence_number"), F.max("ordering").alias("ordering")
         )
+        self._replace(heads, "parquet", ["batch"], self.heads)
+
+    @staticmethod
+    def _replace(df: DataFrame, fmt: str, folders: list[str], path: str) -> None:
+        writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*folders).save(path)
 
     def by_id(self, persistence_id: str, first: int = 0, last: int = 2**63 - 1) -> DataFrame:
         """Events of one entity within a sequence range; reads one bucket."""

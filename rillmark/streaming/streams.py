@@ -16,13 +16,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from rillmark.session import load, scratch
 
 FAR_FUTURE = "2200-01-01 00:00:00"
+# input bytes per trigger; the smaller one bounds the rows of one key that Python state code sees at once
+TRIGGER_BYTES = 256 << 30
+KEYED_TRIGGER_BYTES = 1 << 30
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, trigger_bytes: int = TRIGGER_BYTES) -> DataFrame:
     """One table as a file stream with its batch schema."""
     return (
         spark.readStream.schema(load(spark, sf_dir, name).schema)
+        .option("maxBytesPerTrigger", trigger_bytes)
         .option("pathGlobFilter", f"{name}.parquet")
         .parquet(sf_dir)
     )
@@ -40,16 +44,15 @@ def counter(spark: SparkSession, rows_per_batch: int, **options: Any) -> DataFra
 
 
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType, files: int | None = None) -> DataFrame:
-    """Files pushed into a landing folder; ``files`` bounds what one trigger takes."""
-    reader = spark.readStream.schema(schema)
-    if files:
-        reader = reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(path)
+    """Files pushed into a landing folder; ``files`` per trigger, else ``TRIGGER_BYTES``."""
+    limit = ("maxFilesPerTrigger", files) if files else ("maxBytesPerTrigger", TRIGGER_BYTES)
+    return spark.readStream.schema(schema).option(*limit).parquet(path)
 
 
-def push(df: DataFrame, landing: str) -> None:
-    """Producer side of a landing folder."""
+def push(df: DataFrame, landing: str) -> int:
+    """Producer side of a landing folder; returns how many files lie there now."""
     df.write.mode("append").parquet(landing)
+    return len(df.sparkSession.read.schema(df.schema).parquet(landing).inputFiles())
 
 
 @contextmanager

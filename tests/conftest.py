@@ -16,6 +16,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("TEST_DRIVER_MEMORY", "8g"),
         },
     )

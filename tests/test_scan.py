@@ -53,11 +53,21 @@ def test_keyed_and_global_scan_in_chunks(spark, cut_chunks):
 def test_heavy_key_is_cut(spark, cut_chunks):
     _, df = _log(spark)
     scan = OrderedScan(df, ["seq"], ["k"])
-    sizes = scan._data.groupBy("k", "_chunk").count().collect()
+    assert (0,) in scan.layout.heavy
+    sizes = scan._heavy.groupBy("k", "_chunk").count().collect()
     assert max(r["count"] for r in sizes) < 30
     assert len({r["_chunk"] for r in sizes if r["k"] == 0}) > 5
 
 
+def test_light_keys_stay_whole(spark):
+    _, df = _log(spark)
+    spark.conf.set("spark.rillmark.scan.smallBytes", "0")
+    try:
+        assert OrderedScan(df, ["seq"], ["k"]).layout is None
+    finally:
+        spark.conf.unset("spark.rillmark.scan.smallBytes")
+
+
 def test_position(spark, cut_chunks):
     data, df = _log(spark)
     got = {r["seq"]: r["pos"] for r in with_position(df, ["seq"]).collect()}
