@@ -290,7 +290,8 @@ def vending_replay(
     counted = OrderedScan(folded, [order], [machine], scan.layout).before(
         _sold=("count", F.when(F.col("reply") == "Deliver", 1))
     )
-    sold_out = F.col("_sold") >= stock
+    started = ~F.coalesce(F.col("reply").isin("Not Init", "Initialized"), F.lit(False))
+    sold_out = started & (F.col("_sold") >= stock)
     settled = counted.df.select(
         machine,
         order,
