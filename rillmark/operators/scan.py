@@ -107,6 +107,13 @@ def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Lay
     return Layout(heavy, (float("-inf"), *cuts, float("inf")))
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null, as in a grouping; keeps the left key columns."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return left.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def _marks(df: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> tuple[DataFrame, Column]:
     """The heavy keys as a broadcast table (at most ``MAX_CHUNKS`` rows) and the join condition."""
     fields = [T.StructField(f"_of_{k}", df.schema[k].dataType) for k in keys]

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.functions.values import MIN_VOTING_AGE
-from rillmark.operators.scan import OrderedScan, ordered_reduce, union_all, with_position, written
+from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, union_all, with_position, written
 
 Step = Callable[[dict[str, Any], tuple], tuple]
 
@@ -103,7 +103,7 @@ def guarded_balance(
         + [T.StructField("_ok", T.BooleanType()), T.StructField("_shift", T.LongType())]
     )
     decided = fold_rows(segments, keys, ["_segment"], decide, schema)
-    joined = rows.join(decided, [*keys, "_segment"])
+    joined = join_same(rows, decided, [*keys, "_segment"])
     return joined.select(
         *df.columns,
         (~doubt | F.col("_ok")).alias("accepted"),
@@ -142,11 +142,8 @@ def hold_until_open(
         upto={"_opens": ("count", F.when(is_open, 1))}, before={"_closes": ("count", F.when(is_close, 1))}
     )
     rows = scan.table()
-    opens = rows.where(is_open).select(
-        F.col(key).alias("_key"), (F.col("_opens") - 1).alias("_round"), F.col(order).alias("_open_at")
-    )
-    same_round = (F.col(key) == F.col("_key")) & (F.col("_closes") == F.col("_round"))
-    waiting = rows.where(~is_open).join(opens, same_round, "left")
+    opens = rows.where(is_open).select(key, (F.col("_opens") - 1).alias("_closes"), F.col(order).alias("_open_at"))
+    waiting = join_same(rows.where(~is_open), opens, [key, "_closes"], "left")
     passed = waiting.withColumn(
         "released_at", F.when(F.col("_open_at").isNotNull(), F.greatest(order, "_open_at"))
     ).select(*df.columns, "released_at")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.operators.scan import OrderedScan
+from rillmark.operators.scan import OrderedScan, join_same
 
 
 def conflate(
@@ -66,13 +66,12 @@ def missing_beats(
     )
     starts = lives.select(*keys, first_beat.alias("_first"))
     seen = (
-        df.select(*keys, ts_us)
-        .join(starts, list(keys))
+        join_same(df.select(*keys, ts_us), starts, keys)
         .where(F.col(ts_us) >= F.col("_first"))
         .select(*keys, F.floor((F.col(ts_us) - F.col("_first")) / period_us).cast("int").alias("beat_no"))
         .distinct()
     )
-    return beats.join(seen, [*keys, "beat_no"], "left_anti")
+    return join_same(beats, seen, [*keys, "beat_no"], "left_anti")
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts_us: str, order: Sequence[str], idle_us: int) -> DataFrame:
