@@ -129,9 +129,10 @@ def round_robin(position: Column, workers: int) -> Column:
     return F.pmod(position, F.lit(workers))
 
 
-def random_worker(row_id: Column, workers: Column) -> Column:
-    """A worker from an array, spread by hash so that a rerun picks the same one."""
-    return F.element_at(workers, (F.pmod(F.xxhash64(row_id), F.size(workers)) + 1).cast("int"))
+def random_slot(workers: Column, *row_id: Column) -> Column:
+    """A random one of ``workers`` slots, drawn from the row's id so that a rerun draws the same."""
+    digest = F.md5(F.concat_ws(":", *row_id))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % workers
 
 
 def newest(df: DataFrame, order: Sequence[str], n: int, keys: Sequence[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.functions.values import MIN_VOTING_AGE
-from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, union_all, with_position, written
+from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, with_position, written
 
 Step = Callable[[dict[str, Any], tuple], tuple]
 
@@ -134,27 +134,24 @@ def hold_until_open(
     """When each read, write and close passes its gate, and what each read sees.
 
     After c closes a row waits for open number c + 1 of its key and passes at once if that open came
-    before it; without such an open ``released_at`` is null.
+    before it; without such an open ``released_at`` is null.  Since c never falls along the log, rows
+    pass in log order, so a read sees the last write before it.
     """
     is_open, is_close = F.col(cmd) == "open", F.col(cmd) == "close"
-    scan = OrderedScan(df, [order], [key])
-    scan = scan.fold(
-        upto={"_opens": ("count", F.when(is_open, 1))}, before={"_closes": ("count", F.when(is_close, 1))}
+    write, read = F.col(cmd) == "write", F.col(cmd) == "read"
+    scan = OrderedScan(df, [order], [key]).fold(
+        upto={"_opens": ("count", F.when(is_open, 1)), "_seen": ("last", F.when(write, F.col(payload)))},
+        before={"_closes": ("count", F.when(is_close, 1))},
     )
     rows = scan.table()
     opens = rows.where(is_open).select(key, (F.col("_opens") - 1).alias("_closes"), F.col(order).alias("_open_at"))
     waiting = join_same(rows.where(~is_open), opens, [key, "_closes"], "left")
-    passed = waiting.withColumn(
-        "released_at", F.when(F.col("_open_at").isNotNull(), F.greatest(order, "_open_at"))
-    ).select(*df.columns, "released_at")
-    write, read = F.col(cmd) == "write", F.col(cmd) == "read"
-    by_release = ["released_at", order]
-    # released rows keep the heavy keys of the log; the cut points only balance the work
-    released = OrderedScan(passed.where(F.col("released_at").isNotNull()), by_release, [key], scan.layout)
-    seen = released.upto(_seen=("last", F.when(write, F.col(payload)))).df
-    seen = seen.withColumn("read_value", F.when(read, F.col("_seen"))).drop("_seen")
-    held = passed.where(F.col("released_at").isNull())
-    return union_all([seen, held])
+    passes = F.col("_open_at").isNotNull()
+    return waiting.select(
+        *df.columns,
+        F.when(passes, F.greatest(order, "_open_at")).alias("released_at"),
+        F.when(passes & read, F.col("_seen")).alias("read_value"),
+    )
 
 
 def automaton(

@@ -10,7 +10,7 @@ from rillmark.operators import flows, states, tables, timespine
 from rillmark.operators.scan import OrderedScan, union_all
 from rillmark.plans import views as V
 from rillmark.plans.sources_sinks import WRITTEN, written_journal
-from rillmark.plans.views import HOUR_US, with_views
+from rillmark.plans.views import HOUR_US, MEMBERSHIP, with_views
 from rillmark.registry import query
 from rillmark.session import load
 from rillmark.sources import journal as J
@@ -80,12 +80,12 @@ def multi_event_async(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "bulk_persist",
-    """SELECT l_orderkey AS invoice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+    """SELECT l_orderkey AS invoice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber,
     l_extendedprice, l_shipdate, l_discount, l_tax) - 1 AS place, l_partkey AS part FROM lineitem""",
 )
 def bulk_persist(spark: SparkSession, sf: str) -> DataFrame:
     """All lines of an order are persisted at once and get consecutive ids from the order's first."""
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"]
+    order = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"]
     items = load(spark, sf, "lineitem").select("l_orderkey", *order)
     placed = OrderedScan(items, order, ["l_orderkey"]).upto(n=("count", F.lit(1))).df
     return placed.select(F.col("l_orderkey").alias("invoice"), (F.col("n") - 1).alias("place"), F.col("l_partkey").alias("part"))
@@ -245,14 +245,7 @@ def hold_until_open(spark: SparkSession, sf: str) -> DataFrame:
     "membership_state",
     with_views(
         "ev members",
-        """, n AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY seq) AS r, count(*) OVER (PARTITION BY node) AS total FROM members),
-        walk AS (SELECT node, CAST(0 AS BIGINT) AS r, false AS w, false AS p FROM (SELECT DISTINCT node FROM members)
-        UNION ALL SELECT n.node, n.r,
-        CASE WHEN n.kind = 'up' THEN walk.w OR NOT walk.p WHEN n.kind = 'removed' THEN false ELSE walk.w END,
-        CASE WHEN n.kind = 'up' THEN false WHEN n.kind = 'unreachable' THEN walk.p OR walk.w ELSE walk.p END
-        FROM walk JOIN n ON n.node = walk.node AND n.r = walk.r + 1)
-        SELECT walk.node, w AS registered, p AS pending, w AND NOT p AS live FROM walk
-        JOIN (SELECT DISTINCT node, total FROM n) t ON t.node = walk.node AND walk.r = t.total""",
+        f"{MEMBERSHIP} SELECT * FROM states",
     ),
 )
 def membership_state(spark: SparkSession, sf: str) -> DataFrame:

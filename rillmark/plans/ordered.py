@@ -9,7 +9,7 @@ from rillmark.functions import values
 from rillmark.operators import flows, states, substreams, tables, timespine
 from rillmark.operators.scan import OrderedScan, with_position
 from rillmark.plans import views as V
-from rillmark.plans.views import HOUR_US, with_views
+from rillmark.plans.views import HOUR_US, MEMBERSHIP, with_views
 from rillmark.registry import query
 from rillmark.session import load
 
@@ -139,15 +139,24 @@ def route_round_robin(spark: SparkSession, sf: str) -> DataFrame:
     return V.doc_lines(spark, sf).select("doc_id", line_no, flows.round_robin(line_no, 5).alias("worker"))
 
 
-@query("route_random")
+@query(
+    "route_random",
+    with_views(
+        "ev members doc_lines",
+        f"""{MEMBERSHIP}, live AS (SELECT node, row_number() OVER (ORDER BY node) - 1 AS worker_no, count(*) OVER () AS n
+        FROM states WHERE live),
+        picked AS (SELECT doc_id, line_no, CAST('0x' || substring(md5(doc_id || ':' || line_no), 1, 8) AS BIGINT)
+        % (SELECT count(*) FROM live) AS worker_no FROM doc_lines)
+        SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, node FROM picked JOIN live ON live.worker_no = picked.worker_no""",
+    ),
+)
 def route_random(spark: SparkSession, sf: str) -> DataFrame:
     """Every line goes to a random live worker; live is what the membership events leave."""
     nodes = states.membership(V.members(spark, sf), "node", ["seq"], F.col("kind"))
-    ranked = with_position(nodes.where("live").select("node"), ["node"], name="worker_no")
-    live = ranked.agg(F.count(F.lit(1))).scalar()
-    lines = V.doc_lines(spark, sf).select("doc_id", "line_no")
-    picked = lines.withColumn("worker_no", F.pmod(F.xxhash64("doc_id", "line_no"), live))
-    return picked.join(ranked, "worker_no").select("doc_id", "line_no", "node")
+    workers = with_position(nodes.where("live").select("node"), ["node"], name="worker_no")
+    slot = flows.random_slot(workers.agg(F.count(F.lit(1))).scalar(), F.col("doc_id"), F.col("line_no"))
+    lines = V.doc_lines(spark, sf).select("doc_id", F.col("line_no").cast("bigint"), slot.alias("worker_no"))
+    return lines.join(workers, "worker_no").select("doc_id", "line_no", "node")
 
 
 @query(

@@ -74,7 +74,14 @@ def err_resume(spark: SparkSession, sf: str) -> DataFrame:
     ).select("page_id", "part", "item_id", "raw")
 
 
-@query("err_stop")
+@query(
+    "err_stop",
+    with_views(
+        "ev",
+        """SELECT 'negative' AS bad, CASE WHEN bool_or(cents < 0) THEN 'failed' ELSE 'completed' END AS outcome FROM ev
+        UNION ALL SELECT 'purchase', CASE WHEN bool_or(event_type = 'purchase') THEN 'failed' ELSE 'completed' END FROM ev""",
+    ),
+)
 def err_stop(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs over the whole log, one without and one with a failing check; the outcome of each."""
     events = V.ev(spark, sf)

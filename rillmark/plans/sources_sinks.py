@@ -20,11 +20,14 @@ from rillmark.sources.journal import Journal
 from rillmark.streaming import streams as S
 
 
+JOURNAL_BUCKETS = 16
+
+
 @cache
 def _written_journal(app: str, sf: str) -> str:
     """Orders written once per session as a journal in two batches, tagged by order priority."""
     spark = SparkSession.getActiveSession()
-    store = Journal(spark, scratch(spark, "journal"))
+    store = Journal(spark, scratch(spark, "journal"), buckets=JOURNAL_BUCKETS)
     orders = load(spark, sf, "orders")
     level = F.split("o_orderpriority", "-")
     events = orders.select(
@@ -41,7 +44,7 @@ def _written_journal(app: str, sf: str) -> str:
 
 
 def written_journal(spark: SparkSession, sf: str) -> Journal:
-    return Journal(spark, _written_journal(spark.sparkContext.applicationId, sf))
+    return Journal(spark, _written_journal(spark.sparkContext.applicationId, sf), buckets=JOURNAL_BUCKETS)
 
 
 # the same journal in SQL: batch 0 holds the orders that are not open, batch 1 the open ones
@@ -128,7 +131,7 @@ def src_journal_by_tag(spark: SparkSession, sf: str) -> DataFrame:
 def src_journal_jdbc(spark: SparkSession, sf: str) -> DataFrame:
     """The store is chosen by its format name; here the same events are copied into ORC and read back."""
     events = written_journal(spark, sf).events()
-    copy = Journal(spark, scratch(spark, "journal-orc"), fmt="orc")
+    copy = Journal(spark, scratch(spark, "journal-orc"), fmt="orc", buckets=JOURNAL_BUCKETS)
     by_folder = events.hint("rebalance", "batch", "pid_bucket")
     by_folder.write.format(copy.fmt).partitionBy("batch", "pid_bucket").save(copy.path)
     return _plain(copy.events())

@@ -189,7 +189,7 @@ def udf_keyed_call(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("udf_stage", "SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY event_type")
 def udf_stage(spark: SparkSession, sf: str) -> DataFrame:
-    """A user-written source (one task per Parquet row group) and a user-written filter stage."""
+    """A user-written source (tasks share the row groups of Parquet files) and a user-written filter stage."""
     spark.dataSource.register(RowGroupSource)
     columns = load(spark, sf, "events").select("event_id", "event_type").schema
     events = spark.read.format(RowGroupSource.name()).schema(columns).load(f"{sf}/events.parquet")

@@ -223,6 +223,16 @@ VIEWS = {
         ELSE 'GET' END AS method FROM pages""",
 }
 
+# end state of every node after its membership events
+MEMBERSHIP = """, n AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY seq) AS r FROM members),
+    walk AS (SELECT node, CAST(0 AS BIGINT) AS r, false AS w, false AS p FROM (SELECT DISTINCT node FROM members)
+    UNION ALL SELECT n.node, n.r,
+    CASE WHEN n.kind = 'up' THEN walk.w OR NOT walk.p WHEN n.kind = 'removed' THEN false ELSE walk.w END,
+    CASE WHEN n.kind = 'up' THEN false WHEN n.kind = 'unreachable' THEN walk.p OR walk.w ELSE walk.p END
+    FROM walk JOIN n ON n.node = walk.node AND n.r = walk.r + 1),
+    states AS (SELECT node, arg_max(w, r) AS registered, arg_max(p, r) AS pending,
+    arg_max(w, r) AND NOT arg_max(p, r) AS live FROM walk GROUP BY node)"""
+
 # word count of a text t: a split on one space without the empty pieces at the end
 WORDS = """(CASE WHEN {t} = '' THEN 1 WHEN rtrim({t}, ' ') = '' THEN 0
     ELSE length(rtrim({t}, ' ')) - length(replace(rtrim({t}, ' '), ' ', '')) + 1 END)"""

@@ -53,6 +53,12 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, "rillmark", f"{purpose}-{uuid.uuid4().hex}")
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder (not a file) of that name exists on its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(target)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame, the same figure the automatic broadcast check uses."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

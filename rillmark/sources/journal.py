@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.operators.scan import OrderedScan, with_position
+from rillmark.session import folder_exists
 
 ENVELOPE = ["ordering", "persistence_id", "sequence_number", "deleted", "tags", "payload", "ts"]
 
@@ -16,22 +17,20 @@ ENVELOPE = ["ordering", "persistence_id", "sequence_number", "deleted", "tags",
 class Journal:
     """Events by entity with gapless sequence numbers per entity and a global ordering.
 
+    ``buckets`` belongs to the store: open it with the number it was written with.
+
     Layout: ``batch=<n>/pid_bucket=<b>``.  The bucket prunes reads of one entity; the batch makes an
     append repeatable, since writing a batch again replaces exactly its own files with the same numbers.
     A side table keeps the last number per entity and batch, so an append need not scan the events.
     """
 
-    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", buckets: int = 8) -> None:
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", buckets: int = 64) -> None:
         self.spark, self.path, self.fmt, self.buckets = spark, path, fmt, buckets
         self.heads = f"{path}-heads"
 
     def _bucket(self, persistence_id: Column) -> Column:
         return F.pmod(F.xxhash64(persistence_id), F.lit(self.buckets)).cast("int")
 
-    def _exists(self, folder: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
     def events(self) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path).where(~F.col("deleted"))
 
@@ -49,7 +48,7 @@ class Journal:
         """Write events (``persistence_id``, ``payload``, ``tags``, ``ts`` and order columns) as one batch."""
         placed = with_position(events, order, ["persistence_id"], "sequence_number", start=1)
         placed = with_position(placed, order, name="ordering", start=1)
-        if batch > 0 and self._exists(self.heads):
+        if batch > 0 and folder_exists(self.spark, self.heads):
             before = self.spark.read.parquet(self.heads).where(F.col("batch") < batch)
             last = before.groupBy("persistence_id").agg(F.max("sequence_number").alias("_last"))
             placed = placed.join(last, "persistence_id", "left").withColumns(
@@ -63,7 +62,11 @@ class Journal:
             "ordering", "persistence_id", "sequence_number", F.lit(False).alias("deleted"), "tags", "payload", "ts",
             F.lit(batch).alias("batch"), self._bucket(F.col("persistence_id")).alias("pid_bucket"),
         )
-        self._replace(rows.hint("rebalance", "pid_bucket"), self.fmt, ["batch", "pid_bucket"], self.path)
+        # sorted files: row-group statistics prune reads of one entity inside its bucket
+        by_entity = rows.hint("rebalance", "pid_bucket").sortWithinPartitions(
+            "batch", "pid_bucket", "persistence_id", "sequence_number"
+        )
+        self._replace(by_entity, self.fmt, ["batch", "pid_bucket"], self.path)
         written = self.spark.read.format(self.fmt).load(self.path).where(F.col("batch") == batch)
         heads = written.groupBy("persistence_id", "batch").agg(
             F.max("sequence_number").alias("sequence_number"), F.max("ordering").alias("ordering")

@@ -1,4 +1,4 @@
-"""A source stage written by a user: Parquet row groups through the Python data source API."""
+"""A source stage written by a user: Parquet files through the Python data source API."""
 
 from __future__ import annotations
 
@@ -6,20 +6,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs
+import pyarrow.fs as fs
 import pyarrow.parquet as pq
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+SPLIT_BYTES = 128 << 20
 
-@dataclass
-class RowGroup(InputPartition):
-    number: int
 
+@dataclass
+class Share(InputPartition):
+    """Row groups number ``index``, ``index + of``, ... of one file."""
 
-def _open(path: str) -> pq.ParquetFile:
-    files, inner = pyarrow.fs.FileSystem.from_uri(path)
-    return pq.ParquetFile(files.open_input_file(inner))
+    path: str
+    index: int
+    of: int
 
 
 class RowGroupReader(DataSourceReader):
@@ -27,14 +28,30 @@ class RowGroupReader(DataSourceReader):
         self.path, self.columns = path, schema.fieldNames()
 
     def partitions(self) -> list[InputPartition]:
-        return [RowGroup(i) for i in range(_open(self.path).num_row_groups)]
-
-    def read(self, partition: RowGroup) -> Iterator[pa.RecordBatch]:
-        yield from _open(self.path).iter_batches(row_groups=[partition.number], columns=self.columns)
+        """Shares of about ``SPLIT_BYTES``, from file sizes alone; the tasks read the footers."""
+        files, inner = fs.FileSystem.from_uri(self.path)
+        info = files.get_file_info(inner)
+        if info.type == fs.FileType.Directory:
+            found = files.get_file_info(fs.FileSelector(inner, recursive=True))
+            found = [f for f in found if f.is_file and f.base_name.endswith(".parquet")]
+        else:
+            found = [info]
+        shares = []
+        for file in found:
+            parts = -(-file.size // SPLIT_BYTES) or 1
+            shares += [Share(file.path, i, parts) for i in range(parts)]
+        return shares
+
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
+        files, _ = fs.FileSystem.from_uri(self.path)
+        file = pq.ParquetFile(files.open_input_file(partition.path))
+        groups = range(partition.index, file.num_row_groups, partition.of)
+        if groups:
+            yield from file.iter_batches(row_groups=list(groups), columns=self.columns)
 
 
 class RowGroupSource(DataSource):
-    """``spark.read.format("row_groups").schema(wanted columns).load(file)``"""
+    """``spark.read.format("row_groups").schema(wanted columns).load(file or folder)``"""
 
     @classmethod
     def name(cls) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rillmark.session import load, scratch
+from rillmark.session import folder_exists, load, scratch
 
 FAR_FUTURE = "2200-01-01 00:00:00"
 # input bytes per trigger; the smaller one bounds the rows of one key that Python state code sees at once
@@ -24,12 +24,12 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, trigger_bytes: int = TRIGGER_BYTES) -> DataFrame:
     """One table as a file stream with its batch schema."""
-    return (
-        spark.readStream.schema(load(spark, sf_dir, name).schema)
-        .option("maxBytesPerTrigger", trigger_bytes)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    reader = spark.readStream.schema(load(spark, sf_dir, name).schema).option("maxBytesPerTrigger", trigger_bytes)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if folder_exists(spark, path):
+        return reader.parquet(path)
+    # a stream reads folders: pick the one file out of its folder
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def counter(spark: SparkSession, rows_per_batch: int, **options: Any) -> DataFrame:

@@ -10,7 +10,6 @@ from tests.conftest import SF_TINY
 
 QUERIES = __spark_entry__.queries()
 ORACLES = __spark_entry__.oracle_sql()
-ROWS_ONLY = {"route_random", "err_stop"}
 
 # scans over logs that become heavy when a task may hold only a few rows
 SCANS = [
@@ -44,8 +43,8 @@ def _check(spark, duck, name):
     assert got == _table(columns, answer.fetchall())
 
 
-def test_all_but_two_have_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -62,15 +61,3 @@ def test_query_on_heavy_logs(spark, duck, name):
     finally:
         spark.conf.unset("spark.rillmark.scan.smallBytes")
         spark.conf.unset("spark.rillmark.scan.taskRows")
-
-
-def test_stop_policy_fails_the_run(spark):
-    outcome = {r["bad"]: r["outcome"] for r in QUERIES["err_stop"](spark, SF_TINY).collect()}
-    assert outcome == {"negative": "completed", "purchase": "failed"}
-
-
-def test_random_routing_uses_live_workers_only(spark):
-    live = {r["node"] for r in QUERIES["membership_state"](spark, SF_TINY).where("live").collect()}
-    routed = QUERIES["route_random"](spark, SF_TINY).collect()
-    lines = QUERIES["src_text_lines"](spark, SF_TINY).count()
-    assert len(routed) == lines and {r["node"] for r in routed} == live
