@@ -48,9 +48,23 @@ def repeat_self(text: Column) -> Column:
     return F.concat(text, text)
 
 
-def replies(word: Column) -> Column:
-    """All replies to a word: ``tech`` has two, any other word comes back in upper case."""
-    return F.when(word == "tech", F.array(F.lit("scala"), F.lit("akka"))).otherwise(F.array(F.upper(word)))
+# fixed values
+TWO_REPLIES = {"tech": ("scala", "akka")}
+ONE_OF_REPLIES = {"hi": ("hi", "hello")}
+
+
+def replies(word: Column, draw: Column) -> Column:
+    """All replies to a word: some words get two, some one of two, any other its upper case.
+
+    ``draw`` is any whole number of the row; it stands for the coin and keeps reruns equal.
+    """
+    answer = F.array(F.upper(word))
+    for known, texts in TWO_REPLIES.items():
+        answer = F.when(word == known, F.array(*map(F.lit, texts))).otherwise(answer)
+    for known, texts in ONE_OF_REPLIES.items():
+        one = F.get(F.array(*map(F.lit, texts)), F.pmod(draw, F.lit(len(texts))))
+        answer = F.when(word == known, F.array(one)).otherwise(answer)
+    return answer
 
 
 _PRINTABLE = "".join(map(chr, range(32, 127)))

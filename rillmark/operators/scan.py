@@ -5,8 +5,8 @@ segment numbers) is a prefix fold.  A window over the key does it with one shuff
 ordinary size are always folded that way.  But a window puts all rows of a key into one task, so the
 rows of heavy keys (or of a log without keys) are taken apart first:
 
-1. one count per key finds the keys with more rows than a task should hold; there are fewer of them
-   than chunks, which bounds the list that reaches the driver and the broadcast that marks their rows;
+1. counts per key over a sample find the keys with more rows than a task should hold; their number is
+   limited, which bounds the list that reaches the driver and the broadcast that marks their rows;
 2. quantiles of the order column give cut points, and each heavy log is shuffled by (key, chunk);
 3. a window folds inside the chunk, and each chunk is summarised to one row by partial aggregation;
 4. the summaries are folded over the chunks of a key, and the result (the carry) is joined back on
@@ -37,6 +37,7 @@ SMALL_BYTES = ("spark.rillmark.scan.smallBytes", 64 * 1024 * 1024)
 TASK_ROWS = ("spark.rillmark.scan.taskRows", 20_000_000)
 
 _CUT_SAMPLE = 2000
+_KEY_SAMPLE = 2000
 _CHUNK = "_chunk"
 _LOG = "_log"
 
@@ -84,14 +85,16 @@ def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Lay
     spark, heavy, logs = df.sparkSession, None, df
     task_rows = _setting(spark, TASK_ROWS)
     if keys:
-        seen = Observation()
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+        # heavy keys stand out in a sample; a key misjudged near the limit costs balance, never rows
+        share, seen = min(1.0, _KEY_SAMPLE / task_rows), Observation()
+        sample = df.select(*keys).observe(seen, F.count(F.lit(1)).alias("total")).sample(share, seed=7)
+        counts = sample.groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
         largest = counts.orderBy(F.desc("_n")).limit(MAX_CHUNKS).collect()
-        total = seen.get["total"] or 0
+        total = seen.get["total"]
         # more than total / chunks rows each, hence fewer keys than chunks
         limit = total // max(1, min(MAX_CHUNKS, ceil(total / task_rows)))
         found = [row for row in largest if row["_n"] > limit]
-        rows = sum(row["_n"] for row in found)
+        rows = ceil(sum(row["_n"] for row in found))
         heavy = tuple(tuple(row)[:-1] for row in found)
         logs = _mark_heavy(df, keys, heavy) if heavy else df
     else:
@@ -287,14 +290,14 @@ def ordered_reduce(
     """Combine the elements of each key in order into one ``value``; ``combine`` must be associative.
 
     Rows are numbered per key and combined in blocks of ``_BLOCK`` consecutive rows, then blocks of
-    block results, and so on, so no task ever gathers more than one block of a key.  Input that one
-    task can hold takes a single level.
+    block results, and so on, so no task ever gathers much more than one block of a key.  Input that
+    one task can hold takes a single level, keys of ordinary size take two.
     """
-    small = is_small(df)
-    level = with_position(df.select(*dict.fromkeys([*keys, *order]), element.alias("_e")), order, keys, "_i")
-    for depth in range(1 if small else _LEVELS):
-        last = small or depth == _LEVELS - 1
-        block = F.lit(0).cast("bigint") if last else F.floor(F.col("_i") / _BLOCK)
+    scan = OrderedScan(df.select(*dict.fromkeys([*keys, *order]), element.alias("_e")), order, keys)
+    level = scan.upto(_i=("count", F.lit(1))).df
+    levels = 1 if is_small(df) else 2 if scan.layout is None else _LEVELS
+    for depth in range(levels):
+        block = F.lit(0).cast("bigint") if depth == levels - 1 else F.floor(F.col("_i") / _BLOCK)
         rows = F.array_sort(F.collect_list(F.struct("_i", "_e")))
         level = (
             level.groupBy(*keys, block.alias("_block"))

@@ -222,6 +222,30 @@ def fsm_replay(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# the other form: only money restarts the timer, messages without a handler are dropped
+_FSM_MONEY_TIMER = (
+    _FSM.replace(f"coalesce(ts_us - lag(ts_us) OVER (PARTITION BY machine ORDER BY seq) > {WAIT_US}, false) AS late", "0 AS late")
+    .replace("CAST(0 AS BIGINT) AS money,", "CAST(0 AS BIGINT) AS money, CAST(0 AS BIGINT) AS timer,")
+    .replace(
+        "      x.expired,\n",
+        f"""      CASE WHEN x.st0 = 'op' AND cmd = 'request' AND x.stock > 0 THEN x.ts_us
+        WHEN x.st0 = 'wait' AND cmd = 'money' AND x.money0 + cents < {PRICE} THEN x.ts_us ELSE x.timer END,
+      x.expired,\n""",
+    )
+    .replace("n.cmd, n.cents, w.stock,", "n.cmd, n.cents, n.ts_us, w.stock, w.timer,")
+    .replace("w.st = 'wait' AND n.late", f"w.st = 'wait' AND n.ts_us - w.timer > {WAIT_US}")
+    .replace("ELSE 'Command not found' END", "END")
+    .replace("FROM walk WHERE seq IS NOT NULL", "FROM walk WHERE seq IS NOT NULL AND reply IS NOT NULL")
+)
+
+
+@query("fsm_replay_money_timer", with_views("ev commands", _FSM_MONEY_TIMER))
+def fsm_replay_money_timer(spark: SparkSession, sf: str) -> DataFrame:
+    return states.vending_replay(
+        V.commands(spark, sf), "machine", "seq", "ts_us", "cmd", "cents", PRICE, STOCK, WAIT_US, any_message_restarts=False
+    )
+
+
 @query(
     "hold_until_open",
     with_views(

@@ -67,13 +67,15 @@ def str_length(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "str_upper",
-    """WITH w AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'tech' ELSE p_name END AS word FROM part)
-    SELECT id, unnest(CASE WHEN word = 'tech' THEN ['scala', 'akka'] ELSE [upper(word)] END) AS reply FROM w""",
+    """WITH w AS (SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN 'tech' WHEN 1 THEN 'hi' ELSE p_name END AS word FROM part)
+    SELECT id, unnest(CASE WHEN word = 'tech' THEN ['scala', 'akka'] WHEN word = 'hi' AND id % 2 = 0 THEN ['hi']
+    WHEN word = 'hi' THEN ['hello'] ELSE [upper(word)] END) AS reply FROM w""",
 )
 def str_upper(spark: SparkSession, sf: str) -> DataFrame:
-    word = F.when(F.col("p_partkey") % 5 == 0, "tech").otherwise(F.col("p_name"))
+    turn = F.col("p_partkey") % 5
+    word = F.when(turn == 0, "tech").when(turn == 1, "hi").otherwise(F.col("p_name"))
     asked = load(spark, sf, "part").select(F.col("p_partkey").alias("id"), word.alias("word"))
-    return asked.select("id", F.explode(text.replies(F.col("word"))).alias("reply"))
+    return asked.select("id", F.explode(text.replies(F.col("word"), F.col("id"))).alias("reply"))
 
 
 @query(

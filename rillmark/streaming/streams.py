@@ -72,9 +72,12 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
 
 
 def stateful(spark: SparkSession):
-    """State in RocksDB (on local disk, not in the heap) and sessions merged before their shuffle."""
+    """State in RocksDB (on local disk, not in the heap), sessions merged before their shuffle, and no
+    more state partitions than two per core: their number is fixed when the query first starts."""
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     return settings(
         spark,
+        spark__sql__shuffle__partitions=str(partitions),
         spark__sql__streaming__stateStore__providerClass=_ROCKSDB,
         spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true",
     )

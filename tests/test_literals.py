@@ -73,7 +73,7 @@ def test_sentence_chars(spark):
 
 
 def test_first_chars_and_substreams(spark):
-    words = _words(spark, ["akka", "learning", "amazing", "substreams"])
+    words = _words(spark, ["apple", "lemon", "amber", "stone"])
     counts = substreams.capped_counts(words, text.first_char(F.col("word")), 30)
     assert {r["key"]: r["n"] for r in counts.collect()} == {"a": 2, "l": 1, "s": 1}
     with pytest.raises(PySparkException, match="more than 2 substreams"):
@@ -83,9 +83,9 @@ def test_first_chars_and_substreams(spark):
 
 
 def test_mask_shift(spark):
-    words = _words(spark, ["akka", "is", "awesome"])
+    words = _words(spark, ["abba", "is", "awesome"])
     masked = words.select(text.shift_ascii(F.col("word"), 3).alias("m"))
-    assert _column(masked, "m") == ["dnnd", "lv", "dzhvrph"]
+    assert _column(masked, "m") == ["deed", "lv", "dzhvrph"]
     wide = _words(spark, ["naïve Ωμέγα 漢字 😀~", "", None])
     there = wide.select("word", text.shift_text("word", F.lit(3)).alias("m"))
     back = there.select("word", "m", text.shift_text("m", F.lit(-3)).alias("b")).collect()
@@ -94,10 +94,11 @@ def test_mask_shift(spark):
 
 
 def test_lower_case_filter_and_replies(spark):
-    words = _words(spark, ["dog", "cats", "Scala", "Akka"])
+    words = _words(spark, ["dog", "cats", "Robin", "Wren"])
     assert _column(words.where(text.is_lower(F.col("word"))), "word") == ["dog", "cats"]
-    asked = _words(spark, ["tech", "hello"]).select(F.explode(text.replies(F.col("word"))).alias("r"))
-    assert _column(asked, "r") == ["scala", "akka", "HELLO"]
+    asked = _words(spark, ["tech", "hello", "hi", "hi"])
+    answers = asked.select(F.explode(text.replies(F.col("word"), F.col("o"))).alias("r"))
+    assert _column(answers, "r") == ["scala", "akka", "HELLO", "hi", "hello"]
 
 
 def test_zip_and_concat(spark):
@@ -218,9 +219,9 @@ def test_supervision_scripts(spark):
         out = errors.supervised_word_count(log, ["child"], ["seq"], "text", **options).orderBy("seq")
         return [(r["child"], r["words"]) for r in out.collect()]
 
-    assert run([("c", 1, "I like akka"), ("c", 1, "Amx" * 50)]) == [("c", 3), ("c", 3)]
-    assert run([("c", 1, "I like akka"), ("c", 1, "")]) == [("c", 3), ("c", 0)]
-    assert run([("c", 1, "akka"), ("c", 1, "I like it")]) == [("c", 0)]
+    assert run([("c", 1, "I like kites"), ("c", 1, "Amx" * 50)]) == [("c", 3), ("c", 3)]
+    assert run([("c", 1, "I like kites"), ("c", 1, "")]) == [("c", 3), ("c", 0)]
+    assert run([("c", 1, "kites"), ("c", 1, "I like it")]) == [("c", 0)]
     rows = [("c2", 1, "Hi there"), ("c1", 1, ""), ("c2", 1, "Amx" * 50)]
     assert run(rows, group=["g"]) == [("c2", 2), ("c1", 0), ("c2", 0)]
 
