@@ -26,7 +26,7 @@ from functools import reduce
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,26 +82,22 @@ def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Lay
     """How to take the heavy logs of a frame apart; ``None`` if windows over the keys will do."""
     if is_small(df):
         return None
-    spark, heavy, logs = df.sparkSession, None, df
-    task_rows = _setting(spark, TASK_ROWS)
+    heavy, logs, rows = None, df, df.count()
+    task_rows = _setting(df.sparkSession, TASK_ROWS)
+    if rows <= task_rows:
+        return None
     if keys:
         # heavy keys stand out in a sample; a key misjudged near the limit costs balance, never rows
-        share, seen = min(1.0, _KEY_SAMPLE / task_rows), Observation()
-        sample = df.select(*keys).observe(seen, F.count(F.lit(1)).alias("total")).sample(share, seed=7)
-        counts = sample.groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
+        share = min(1.0, _KEY_SAMPLE / task_rows)
+        counts = df.select(*keys).sample(share, seed=7).groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
         largest = counts.orderBy(F.desc("_n")).limit(MAX_CHUNKS).collect()
-        total = seen.get["total"]
-        # more than total / chunks rows each, hence fewer keys than chunks
-        limit = total // max(1, min(MAX_CHUNKS, ceil(total / task_rows)))
+        limit = rows / min(MAX_CHUNKS, ceil(rows / task_rows))
         found = [row for row in largest if row["_n"] > limit]
-        rows = ceil(sum(row["_n"] for row in found))
+        if not found:
+            return None
         heavy = tuple(tuple(row)[:-1] for row in found)
-        logs = _mark_heavy(df, keys, heavy) if heavy else df
-    else:
-        rows = df.count()
-    chunks = min(MAX_CHUNKS, ceil(rows / task_rows))
-    if chunks <= 1:
-        return None
+        logs, rows = _mark_heavy(df, keys, heavy), sum(row["_n"] for row in found)
+    chunks = max(2, min(MAX_CHUNKS, ceil(rows / task_rows)))
     # cut points only need to be about even, so a sample of the order column gives them
     sample = logs.select(order_number(df, order[0]).alias("_number"))
     sample = sample.sample(min(1.0, _CUT_SAMPLE * chunks / rows), seed=7)
