@@ -103,6 +103,8 @@ def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Lay
     sample = sample.sample(min(1.0, _CUT_SAMPLE * chunks / rows), seed=7)
     shares = [i / chunks for i in range(1, chunks)]
     cuts = sorted(set(sample.approxQuantile("_number", shares, 0.2 / chunks)))
+    if not cuts:
+        return None
     return Layout(heavy, (float("-inf"), *cuts, float("inf")))
 
 
