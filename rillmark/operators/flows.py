@@ -30,13 +30,27 @@ def drop(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.where(F.struct(*order) > cut.scalar())
 
 
-def head(df: DataFrame, order: Sequence[str], value: Column, keys: Sequence[str] = ()) -> DataFrame:
+def _guarded(result: Column, what: str, strict: bool) -> Column:
+    """The result, or an error instead of null when there was no row and ``strict`` is set."""
+    if not strict:
+        return result
+    return F.when(F.count(F.lit(1)) == 0, F.raise_error(F.lit(f"{what} of an empty stream"))).otherwise(result)
+
+
+def head(
+    df: DataFrame, order: Sequence[str], value: Column, keys: Sequence[str] = (), strict: bool = False
+) -> DataFrame:
     """First value in order (per key); no row, or null without keys, when the input is empty."""
-    return df.groupBy(*keys).agg(F.min_by(value, F.struct(*order)).alias("value"))
+    first = F.min_by(value, F.struct(*order))
+    return df.groupBy(*keys).agg(_guarded(first, "head", strict).alias("value"))
 
 
-def last(df: DataFrame, order: Sequence[str], value: Column, keys: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias("value"))
+def last(
+    df: DataFrame, order: Sequence[str], value: Column, keys: Sequence[str] = (), strict: bool = False
+) -> DataFrame:
+    """Last value in order (per key), with the same rule for empty input."""
+    final = F.max_by(value, F.struct(*order))
+    return df.groupBy(*keys).agg(_guarded(final, "last", strict).alias("value"))
 
 
 def fold_sum(df: DataFrame, value: Column, zero: int = 0, keys: Sequence[str] = ()) -> DataFrame:
@@ -46,10 +60,7 @@ def fold_sum(df: DataFrame, value: Column, zero: int = 0, keys: Sequence[str] =
 
 def reduce_rows(df: DataFrame, reducer: Column, strict: bool = False) -> DataFrame:
     """Reduce without a zero: null on empty input, or an error when ``strict``."""
-    result = reducer
-    if strict:
-        result = F.when(F.count(F.lit(1)) == 0, F.raise_error(F.lit("reduce over empty stream"))).otherwise(reducer)
-    return df.agg(result.alias("value"))
+    return df.agg(_guarded(reducer, "reduce", strict).alias("value"))
 
 
 def batches(df: DataFrame, order: Sequence[str], value: str, size: int) -> DataFrame:

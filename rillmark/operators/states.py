@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.functions.values import MIN_VOTING_AGE
-from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, with_position, written
+from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, union_all, with_position, written
 
 Step = Callable[[dict[str, Any], tuple], tuple]
 
@@ -187,6 +187,7 @@ def membership(df: DataFrame, node: str, order: Sequence[str], kind: Column) ->
 
 
 SPREAD = 4096
+CLOCK = "clock"
 
 
 def vending_replay(
@@ -200,18 +201,24 @@ def vending_replay(
     stock: int,
     timeout_us: int,
     any_message_restarts: bool = True,
+    as_of_us: int | None = None,
 ) -> DataFrame:
     """Replies of a vending machine to a command log (init, request, money, anything else).
 
     Output: one row per reply with ``sub`` 0 for a timeout that fires before the row and 1 for the
     row itself.  ``any_message_restarts`` selects the form in which every message restarts the timer
     and an unhandled one is answered; otherwise only money restarts it and such messages are dropped.
+    A wait at the end of the log stays open, unless the time ``as_of_us`` is late enough to end it.
 
     A request is a certain start if no wait can be open before it: there was none before, enough
     money followed the previous one, or a row after a silence longer than the timeout did.  The log of a
     machine is folded separately between certain starts, with unlimited stock; then deliveries are
     counted and everything after the last item in stock is answered as sold out.
     """
+    if as_of_us is not None:
+        clock = df.groupBy(machine).agg((F.max(order) + 1).alias(order))
+        now = {ts_us: F.lit(as_of_us), cmd: F.lit(CLOCK), money: F.lit(0)}
+        df = union_all([df.select(machine, order, *now), clock.withColumns(now).select(machine, order, *now)])
     is_request, is_money = F.col(cmd) == "request", F.col(cmd) == "money"
     restarts = F.lit(True) if any_message_restarts else (is_request | is_money)
     scan = OrderedScan(df, [order], [machine])
@@ -248,11 +255,13 @@ def vending_replay(
 
     def step(state: dict, row: tuple) -> tuple:
         key, segment, seq, now, command, amount, early = row
-        if segment < 0:
-            return (key, seq, command, None, early or unhandled, None)
         expired = None
+        if segment < 0:
+            return (key, seq, command, expired, None if command == CLOCK else early or unhandled, None)
         if state.get("money") is not None and now - state["timer"] > timeout_us:
             expired, state["money"] = state["money"], None
+        if command == CLOCK:
+            return (key, seq, command, expired, None, None)
         waiting = state.get("money") is not None
         reply, number = unhandled, None
         if command == "request" and not waiting:
@@ -290,7 +299,7 @@ def vending_replay(
         machine,
         order,
         F.when(~sold_out, F.col("expired")).alias("expired"),
-        F.when(~sold_out, F.col("reply"))
+        F.when(~sold_out | (F.col(cmd) == CLOCK), F.col("reply"))
         .when(F.col(cmd) == "request", "Product not available")
         .otherwise(F.lit(unhandled))
         .alias("reply"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillmark.functions import values
 from rillmark.operators import flows, tables
 from rillmark.operators.scan import OrderedScan, union_all, with_position
 from rillmark.plans import views as V

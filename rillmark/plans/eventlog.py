@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions import values
 from rillmark.operators import flows, states, tables, timespine
-from rillmark.operators.scan import OrderedScan, union_all
+from rillmark.operators.scan import OrderedScan, union_all, written
 from rillmark.plans import views as V
 from rillmark.plans.sources_sinks import WRITTEN, written_journal
 from rillmark.plans.views import HOUR_US, MEMBERSHIP, with_views
@@ -51,9 +51,10 @@ def snapshot_write(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("snapshot_recover", with_views("journal", "SELECT persistence_id, CAST(sum(amount) AS BIGINT) AS total, count(*) AS n_events, max(sequence_number) + 1 AS next_id FROM journal GROUP BY 1"))
 def snapshot_recover(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest snapshot and the tail after it; the oracle is the full replay."""
-    events = V.journal(spark, sf)
-    return J.recover(events, J.snapshots(events, F.col("amount"), 10), F.col("amount"))
+    """Latest stored snapshot and the tail after it; the oracle is the full replay."""
+    events, amount = written_journal(spark, sf).events(), F.col("payload.amount")
+    taken = written(J.snapshots(events, amount, 10), "snapshots")
+    return J.recover(events, taken, amount)
 
 
 @query(

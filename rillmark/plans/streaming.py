@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.functions.values import BLOCKED_CARD
-from rillmark.operators import calls, flows, tables
+from rillmark.operators import calls, tables
 from rillmark.operators.scan import ordered_reduce
 from rillmark.plans import views as V
 from rillmark.plans.eventlog import ACCOUNT
@@ -133,6 +133,26 @@ def st_journal_live(spark: SparkSession, sf: str) -> DataFrame:
     return S.drain_to_table(tagged.select("ordering", "persistence_id", "payload.amount"), "live")
 
 
+@query(
+    "st_change_log",
+    with_views("kv_log", "SELECT id, v FROM (SELECT id, arg_max(v, seq) AS v, arg_max(op, seq) AS op FROM kv_log GROUP BY id) WHERE op = 'put'"),
+)
+def st_change_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Each batch is reduced to the last change per key and kept under its id; the table is the compacted rest."""
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
+    log = _events(spark, sf).select(
+        F.col("event_id").alias("seq"), F.col("user_id").alias("id"), (F.col("event_type") == "error").alias("gone"), k.alias("v")
+    )
+    path = scratch(spark, "changes")
+    keep = S.batch_writer(path)
+
+    def reduce_batch(batch: DataFrame, batch_id: int) -> None:
+        keep(tables.latest(batch, ["id"], ["seq"]), batch_id)
+
+    S.drain(log.writeStream.foreachBatch(reduce_batch), scratch(spark, "changes-checkpoint"))
+    return tables.compact(spark.read.parquet(path), ["id"], ["seq"], F.col("gone")).select("id", "v")
+
+
 @query("st_dedupe", with_views("ev coupons", "SELECT DISTINCT code FROM coupons"))
 def st_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """A code passes once."""

@@ -14,7 +14,7 @@ def spark():
         "rillmark-tests",
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("TEST_DRIVER_MEMORY", "8g"),

@@ -36,8 +36,11 @@ def test_empty_input(spark):
     assert _column(flows.fold_sum(empty, F.col("value"), zero=7), "value") == [7]
     assert _column(flows.reduce_rows(empty, F.sum("value")), "value") == [None]
     assert _column(flows.head(empty, ["o"], F.col("value")), "value") == [None]
-    with pytest.raises(PySparkException, match="reduce over empty stream"):
+    with pytest.raises(PySparkException, match="reduce of an empty stream"):
         flows.reduce_rows(empty, F.sum("value"), strict=True).collect()
+    for sink in (flows.head, flows.last):
+        with pytest.raises(PySparkException, match="of an empty stream"):
+            sink(empty, ["o"], F.col("value"), strict=True).collect()
     assert flows.batches(empty, ["o"], "value", 10).count() == 0
     assert flows.drop(empty, ["o"], 3).count() == 0
 
@@ -189,10 +192,10 @@ def test_account_statement(spark):
 def test_vending_scripts(spark, any_restarts):
     """Time in seconds, timeout one second; the trailing message at 10 s lets an open wait expire."""
 
-    def run(*script, stock=19):
+    def run(*script, stock=19, as_of=None):
         rows = [(1, i, t, cmd, money) for i, (t, cmd, money) in enumerate(script)]
         log = spark.createDataFrame(rows, "machine long, seq long, ts_us long, cmd string, cents long")
-        got = states.vending_replay(log, "machine", "seq", "ts_us", "cmd", "cents", 5, stock, 1, any_restarts)
+        got = states.vending_replay(log, "machine", "seq", "ts_us", "cmd", "cents", 5, stock, 1, any_restarts, as_of)
         return [(r["reply"], r["amount"]) for r in got.orderBy("seq", "sub").collect()]
 
     ready = ("Initialized", None)
@@ -201,6 +204,11 @@ def test_vending_scripts(spark, any_restarts):
     assert run((0, "init", 0), (0, "request", 0), (0, "money", 1), (10, "request", 0)) == [
         ready, ("Insert", 5), ("Insert", 4), ("Timed out", 1), ("Insert", 5)
     ]
+    assert run((0, "init", 0), (0, "request", 0), (0, "money", 1), as_of=1) == [ready, ("Insert", 5), ("Insert", 4)]
+    assert run((0, "init", 0), (0, "request", 0), (0, "money", 1), as_of=2) == [
+        ready, ("Insert", 5), ("Insert", 4), ("Timed out", 1)
+    ]
+    assert run((0, "request", 0), as_of=9) == [("Not Init", None)]
     assert run((0, "init", 0), (0, "request", 0), (0, "money", 6), (0, "request", 0)) == [
         ready, ("Insert", 5), ("Deliver", 1), ("Insert", 5)
     ]
