@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,14 +21,18 @@ from rillmark.streaming import streams as S
 JOURNAL_BUCKETS = 16
 
 
-@cache
-def _written_journal(app: str, sf: str) -> str:
-    """Orders written once per session as a journal in two batches, tagged by order priority."""
-    spark = SparkSession.getActiveSession()
-    store = Journal(spark, scratch(spark, "journal"), buckets=JOURNAL_BUCKETS)
-    orders = load(spark, sf, "orders")
+_JOURNALS: dict[tuple[str, str], str] = {}
+
+
+def written_journal(spark: SparkSession, sf: str) -> Journal:
+    """Orders written once per application as a journal in two batches, tagged by priority and status."""
+    owner = (spark.sparkContext.applicationId, sf)
+    path = _JOURNALS.get(owner) or scratch(spark, "journal")
+    store = Journal(spark, path, buckets=JOURNAL_BUCKETS)
+    if owner in _JOURNALS:
+        return store
     level = F.split("o_orderpriority", "-")
-    events = orders.select(
+    events = load(spark, sf, "orders").select(
         F.concat(F.lit("cust-"), F.col("o_custkey").cast("string")).alias("persistence_id"),
         F.struct(F.col("o_orderkey").alias("id"), F.floor("o_totalprice").cast("bigint").alias("amount")).alias("payload"),
         F.array(F.concat(F.lit("p"), F.get(level, F.lit(0))), F.col("o_orderstatus")).alias("tags"),
@@ -40,11 +42,8 @@ def _written_journal(app: str, sf: str) -> str:
     )
     store.append(events.where(~F.col("late")), ["o_orderkey"], batch=0)
     store.append(events.where("late"), ["o_orderkey"], batch=1)
-    return store.path
-
-
-def written_journal(spark: SparkSession, sf: str) -> Journal:
-    return Journal(spark, _written_journal(spark.sparkContext.applicationId, sf), buckets=JOURNAL_BUCKETS)
+    _JOURNALS[owner] = path
+    return store
 
 
 # the same journal in SQL: batch 0 holds the orders that are not open, batch 1 the open ones

@@ -54,8 +54,8 @@ def st_running_count(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def st_conflate(spark: SparkSession, sf: str) -> DataFrame:
-    """Tumbling hours in update mode with a watermark that lets closed hours leave the state."""
-    hours = _events(spark, sf).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour"), "user_id")
+    """Tumbling hours in update mode; the newest batch of an hour holds its current burst."""
+    hours = _events(spark, sf).withWatermark("ts", S.REPLAY_LATENESS).groupBy(F.window("ts", "1 hour"), "user_id")
     n = F.count(F.lit(1))
     bursts = hours.agg(n.alias("n_instances"), F.min_by("event_type", "event_id").alias("only")).select(
         "user_id",
@@ -74,7 +74,7 @@ def st_conflate(spark: SparkSession, sf: str) -> DataFrame:
 def st_session(spark: SparkSession, sf: str) -> DataFrame:
     """Idle sessions in append mode; a later far-future row closes the ones still open."""
     events, close_all = S.with_sentinel(_events(spark, sf).select("user_id", "ts"), "ts")
-    marked = events.withWatermark("ts", "0 seconds")
+    marked = events.withWatermark("ts", S.REPLAY_LATENESS)
     found = marked.groupBy("user_id", F.session_window("ts", "8 hours")).agg(
         F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n_events")
     )
@@ -110,7 +110,7 @@ def st_state_timer(spark: SparkSession, sf: str) -> DataFrame:
     """Timeouts of silent users from state timers; a later far-future row fires those still armed."""
     small = _events(spark, sf, S.KEYED_TRIGGER_BYTES)
     events, fire_all = S.with_sentinel(small.select("user_id", "ts"), "ts")
-    marked = events.withColumn("ts_ms", F.floor(F.unix_micros("ts") / 1000)).withWatermark("ts", "0 seconds")
+    marked = events.withColumn("ts_ms", F.floor(F.unix_micros("ts") / 1000)).withWatermark("ts", S.REPLAY_LATENESS)
     rows = S.silence_stream(marked, "user_id", 8 * HOUR_US // 1000)
     path, checkpoint = scratch(spark, "timer"), scratch(spark, "timer-checkpoint")
     writer = rows.writeStream.format("parquet").option("path", path)

@@ -16,6 +16,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from rillmark.session import folder_exists, load, scratch
 
 FAR_FUTURE = "2200-01-01 00:00:00"
+# files of a replayed history arrive in any time order and no row may be dropped as late; a live
+# stream would allow minutes, so that closed windows leave the state earlier
+REPLAY_LATENESS = "3650 days"
 # input bytes per trigger; the smaller one bounds the rows of one key that Python state code sees at once
 TRIGGER_BYTES = 256 << 30
 KEYED_TRIGGER_BYTES = 1 << 30
@@ -138,7 +141,10 @@ def with_sentinel(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], N
 
 
 def guarded_account_stream(stream: DataFrame, key: str, order: str, amount: str) -> DataFrame:
-    """Balance per key that rejects overdrafts, kept across micro-batches."""
+    """Balance per key that rejects overdrafts, kept across micro-batches.
+
+    Rows are ordered within a trigger; the triggers themselves must bring a key's rows in order.
+    """
 
     def fold(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         balance = state.get[0] if state.exists else 0
@@ -178,7 +184,7 @@ class SilenceTimer(StatefulProcessor):
         for now in sorted(ms for batch in rows for ms in batch["ts_ms"].tolist()):
             if last is not None and now - last > self.idle_ms:
                 expired.append(last + self.idle_ms)
-            last = now
+            last = now if last is None else max(last, now)
         if old_timer is not None:
             self.handle.deleteTimer(old_timer)
         self.handle.registerTimer(last + self.idle_ms)
@@ -194,7 +200,10 @@ class SilenceTimer(StatefulProcessor):
 
 
 def silence_stream(stream: DataFrame, key: str, idle_ms: int) -> DataFrame:
-    """``stream`` carries a watermark on ``ts`` and the epoch milliseconds ``ts_ms``."""
+    """Silences per key; ``stream`` carries a watermark on ``ts`` and the epoch milliseconds ``ts_ms``.
+
+    Rows are ordered within a trigger; the triggers themselves must bring a key's rows in order.
+    """
     return (
         stream.groupBy(key)
         .transformWithStateInPandas(
