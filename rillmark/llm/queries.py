@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmark.llm import decontaminate, secrets, simhash
+from rillmark.llm import decontaminate, linededup, mixing, secrets, simhash, topk
 from rillmark.llm.base import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,4 +32,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op8_decontamination, op9_secret_scan, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op2_mixing, op4_topk, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}

@@ -28,4 +28,85 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLE_SQL = {"op8_decontamination": OP8}
+OP2 = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mix
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight, 2 * source_size AS cap FROM sources
+), levels AS (
+  SELECT *, ((SELECT sum(source_size) FROM weighed) * CAST(1.5 AS DOUBLE)
+             - coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), goals AS (
+  SELECT *, least(CAST(cap AS DOUBLE), coalesce((SELECT level FROM levels WHERE cap >= level * weight
+                                 ORDER BY CAST(cap AS DOUBLE) / weight, rank LIMIT 1) * weight, CAST(cap AS DOUBLE))) AS target
+  FROM levels
+), placed AS (
+  SELECT doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS most, rank,
+         sum(size) OVER (PARTITION BY rank ORDER BY mix, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS ahead
+  FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
+), parts AS (
+  SELECT *, greatest(0, least(ahead + size, most) - ahead) AS once,
+         greatest(0, least(source_size + ahead + size, most) - source_size - ahead) AS twice,
+         CASE rank % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS s,
+         CASE rank % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 1.5::DOUBLE END AS e
+  FROM placed
+), shares AS (
+  SELECT *, (ahead + CAST(once AS DOUBLE) / 2) / most AS u1, (source_size + ahead + CAST(twice AS DOUBLE) / 2) / most AS u2 FROM parts
+)
+SELECT doc_id, size, source_size, target, CAST(once + twice AS BIGINT) AS taken,
+       list_filter([CASE WHEN once > 0 THEN u1 * (s + e) / (s + sqrt(s * s + (e * e - s * s) * u1)) END,
+                    CASE WHEN twice > 0 THEN u2 * (s + e) / (s + sqrt(s * s + (e * e - s * s) * u2)) END],
+                   lambda p: p IS NOT NULL) AS positions
+FROM shares
+"""
+
+OP4 = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+OP7 = r"""
+WITH cut AS (SELECT doc_id, text, md5(text) AS print, string_split(text, chr(10)) AS parts FROM documents
+), numbered AS (
+  SELECT doc_id, text, print, parts,
+         list_filter(list_transform(parts, lambda l, i: {'pos': i - 1, 'line': trim(l, ' ' || chr(9) || chr(13))}), lambda x: x.line <> '') AS lines
+  FROM cut
+), spots AS (
+  SELECT doc_id, print, lines, unnest(range(1, greatest(len(lines) - 3, 0) + 2)) AS i FROM numbered WHERE len(lines) > 0
+), wins AS (
+  SELECT doc_id, print, lines[i].pos AS first, lines[least(i + 2, len(lines))].pos AS last,
+         least(len(lines), 3) || chr(10) || array_to_string(list_transform(lines[i : i + 2], lambda x: x.line), chr(10)) AS content
+  FROM spots
+), ranked AS (
+  SELECT *, dense_rank() OVER (PARTITION BY content ORDER BY doc_id NULLS LAST, print, first) AS nth FROM wins
+), covered AS (
+  SELECT DISTINCT doc_id, print, unnest(range(first, last + 1)) AS pos FROM ranked WHERE nth > 1
+), gone AS (
+  SELECT doc_id, print, list(pos) AS pos, count(*) AS n, count(*) FILTER (opens) AS n_spans
+  FROM (SELECT *, pos - 1 IS DISTINCT FROM lag(pos) OVER (PARTITION BY doc_id, print ORDER BY pos) AS opens FROM covered) GROUP BY ALL
+)
+SELECT n.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       md5(CASE WHEN n IS NULL THEN text
+                ELSE coalesce(array_to_string(list_filter(parts, lambda l, i: NOT list_contains(pos, i - 1)), chr(10)), '') END) AS kept_md5
+FROM numbered n LEFT JOIN gone g ON n.doc_id IS NOT DISTINCT FROM g.doc_id AND n.print IS NOT DISTINCT FROM g.print
+"""
+
+ORACLE_SQL = {"op2_mixing": OP2, "op4_topk": OP4, "op7_line_dedup": OP7, "op8_decontamination": OP8}
