@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillmark.session import scratch
@@ -31,3 +31,47 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = f"_{wish}"
     return wish
+
+
+# lower-cased bytes of words; everything else becomes a blank
+_WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
+)
+
+
+def word_bytes(text: bytes) -> list[bytes]:
+    """Runs of ASCII letters (lower-cased) and digits and of non-ASCII characters."""
+    return text.translate(_WORD_BYTES).split()
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int, most_bytes: int
+) -> tuple[dict[int, list[tuple[int, bytes]]], tuple[int, int]]:
+    """A bounded sample of labelled rows of folds other than 2 of 4, and the number of all of each label.
+
+    Per label 0 and 1 the ``rows`` ids with the smallest MD5, as (id, text); rows are taken in that order
+    until ``most_bytes`` are full.  An id with several labels has the largest.
+    """
+    known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & (fold(doc_id, 4) != 2))
+    known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("label"))
+    totals = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    order = F.md5(F.col("id").cast("string"))
+    chosen = known.where("false")
+    for value in (0, 1):
+        chosen = chosen.unionAll(known.where(F.col("label") == value).orderBy(order, "id").limit(rows))
+    # a bounded list, 2 * rows ids, that every task may hold
+    chosen = {r.id: r.label for r in chosen.collect()}
+    ids = docs.sparkSession.createDataFrame([(int(i),) for i in chosen], "id bigint")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    found = stored(
+        docs.select(F.col(doc_id).alias("id"), body.alias("body")).join(F.broadcast(ids), "id"), "labelled-sample"
+    )
+    # one text per id, and no more bytes than the bound: what does not fit is left out whole
+    place = Window.partitionBy("label").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)
+    labels_of = docs.sparkSession.createDataFrame(list(chosen.items()), "id bigint, label int")
+    texts = found.groupBy("id").agg(F.min("body").alias("body")).join(F.broadcast(labels_of), "id")
+    texts = texts.withColumn("order", order).withColumn("upto", F.sum(F.octet_length("body")).over(place))
+    held: dict[int, list[tuple[int, bytes]]] = {0: [], 1: []}
+    for r in texts.where(F.col("upto") <= most_bytes).orderBy("order", "id").toLocalIterator():
+        held[r.label].append((r.id, r.body.encode()))
+    return held, (totals.get(0, 0), totals.get(1, 0))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.base import free_name, stored
+from rillmark.llm.base import free_name, stored, word_bytes
 from rillmark.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -25,17 +25,9 @@ SHARD_WORDS = 600_000
 # bytes of test items that one pass over the documents searches for; more items take more passes
 BLOCK_BYTES = 8 << 20
 
-# bytes of words, lower-cased; everything else becomes a blank
-_WORD_BYTES = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
-)
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.translate(_WORD_BYTES).split()
-
-
 @dataclass
 class Phrases:
     """Distinct windows of a block of items, as rows of word numbers, by length."""
@@ -50,7 +42,7 @@ def phrases(items: list[tuple[str | None, bytes]], window: int) -> Phrases:
     vocabulary: dict[bytes, int] = {}
     held: dict[tuple[int, ...], set[str]] = {}
     for item, text in items:
-        numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(text)]
+        numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in word_bytes(text)]
         size = min(window, len(numbers))
         for at in range(len(numbers) - size + 1 if size else 0):
             found = held.setdefault(tuple(numbers[at : at + size]), set())
@@ -71,7 +63,7 @@ def _search_shard(texts: list[bytes], known: Phrases) -> list[tuple[int, list[tu
     get = known.vocabulary.get
     pieces, sizes = [], []
     for text in texts:
-        mine = words(text)
+        mine = word_bytes(text)
         pieces.append(np.fromiter(map(get, mine, (0 for _ in mine)), dtype=np.int32, count=len(mine)))
         sizes.append(len(mine))
     ends = np.cumsum(np.array(sizes, np.int64) + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmark.llm import decontaminate, linededup, mixing, secrets, simhash, topk
+from rillmark.llm import decontaminate, language, linededup, mixing, secrets, simhash, topk, toxicity
 from rillmark.llm.base import table
 
 
@@ -12,10 +12,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -32,4 +40,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_mixing, op4_topk, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op2_mixing, op3_language, op4_topk, op5_toxicity, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
