@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmark.llm import decontaminate, language, linededup, mixing, secrets, simhash, topk, toxicity
+from rillmark.llm import decontaminate, language, linededup, lm, mixing, secrets, simhash, topk, toxicity
 from rillmark.llm.base import table
 
 
@@ -24,6 +24,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -40,4 +44,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_mixing, op3_language, op4_topk, op5_toxicity, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op2_mixing, op3_language, op4_topk, op5_toxicity, op6_language_model, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
