@@ -16,10 +16,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.llm.base import stored
+from rillmark.llm.base import free_name, stored
 from rillmark.llm.components import smallest_reachable
 
 SHINGLE = 3
@@ -157,14 +157,20 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, more: list[str] | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    more: list[str] | None = None,
+    root_as: str | None = None,
 ) -> DataFrame:
     """Per row: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable over links).
 
     Rows with equal fingerprints are linked.  A null or blank text has fingerprint zero and is linked
     like any other.  Null ids never win the minimum; a component without any id has a null
     ``component_id``.  Repeated rows give repeated results, an empty table none.  Columns other than
-    id, text and those named in ``more`` are not read.
+    id, text and those named in ``more`` are not read.  ``root_as`` names a column for the smallest
+    fingerprint of the component, which is never null.
     """
     keep = [doc_id, *(more or [])]
     printed = stored(fingerprints(docs, keep, text, shingle), "fingerprints")
@@ -175,6 +181,26 @@ def near_duplicates(
     )
     rooted = stored(rooted, "rooted")
     least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    by_fp = stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "by-fingerprint")
+    by_fp = stored(rooted.select("fp", "root").join(least, "root"), "by-fingerprint")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return printed.join(by_fp, "fp").select(*keep, hexed, "component_id")
+    root = [F.col("root").alias(root_as)] if root_as else []
+    return printed.join(by_fp, "fp").select(*keep, hexed, "component_id", *root)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """One row of each component, unchanged: the smallest id, of several rows under it the smallest text hash.
+
+    A null id comes last; rows that repeat an id and a text are one document.
+    """
+    mine = free_name(docs, "text_print")
+    marked = docs.withColumn(mine, F.coalesce(F.unhex(F.md5(text)), F.lit(b"")))
+    ids, prints, roots = free_name(marked, "kept_id"), free_name(marked, "kept_print"), "component_key"
+    place = F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("i"), F.col(mine).alias("p"))
+    grouped = near_duplicates(marked.select(doc_id, mine, text), doc_id, text, shingle, [mine], roots)
+    kept = grouped.groupBy(roots).agg(F.min(place).alias("k")).select(F.col("k.i").alias(ids), F.col("k.p").alias(prints))
+    kept = stored(kept, "kept")
+    same = F.col(doc_id).eqNullSafe(F.col(ids)) & F.col(mine).eqNullSafe(F.col(prints))
+    found = marked.join(kept, same)
+    # the join has dealt and sorted the rows by these two columns already
+    nth, number = Window.partitionBy(doc_id, mine).orderBy(F.lit(0)), free_name(found, "copy")
+    return found.withColumn(number, F.row_number().over(nth)).where(F.col(number) == 1).select(docs.columns)
