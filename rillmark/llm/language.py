@@ -134,22 +134,28 @@ class Model:
     def scores(self, words: list[bytes]) -> np.ndarray:
         """Log frequency of each word, or of the n-grams it falls apart into, per language."""
         out = np.zeros((len(words), len(self.languages)))
+        rows, places, owner, used = [], [], [], []
+        place_of = self.grams.get
         for i, raw in enumerate(words):
             known = self.words.get(raw)
             if known is not None:
-                out[i] = self.word_scores[known]
+                rows.append(i)
+                places.append(known)
                 continue
-            word, at, used = f"^{raw.decode()}$", 0, []
-            while at < len(word):
-                for gram in grams_at(word, at):
-                    place = self.grams.get(gram)
+            word, before = f"^{raw.decode()}$", len(used)
+            for at in range(len(word)):
+                for n in range(LONGEST, 0, -1):
+                    place = place_of(word[at : at + n])
                     if place is not None:
                         used.append(place)
                         break
-                at += 1
-            if used:
-                # places overlap, so their sum speaks several times over: a word counts as one form
-                out[i] = self.gram_scores[used].mean(0)
+            owner.append((i, before, len(used)))
+        out[rows] = self.word_scores[places]
+        if used:
+            total = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(self.gram_scores[used], axis=0)])
+            i, begin, end = np.array([o for o in owner if o[2] > o[1]], np.int64).T
+            # places overlap, so their sum speaks several times over: a word counts as one form
+            out[i] = (total[end] - total[begin]) / (end - begin)[:, None]
         return out
 
     def predict(self, texts: list[str | None], values: WordValues) -> tuple[list[str], np.ndarray]:
