@@ -14,11 +14,21 @@ WORDS = 400_000
 class WordValues:
     """``compute`` maps a list of distinct words to an array with one row each."""
 
-    def __init__(self, compute: Callable[[list[bytes]], np.ndarray], most: int = WORDS) -> None:
-        self.compute, self.most = compute, most
-        self.place: dict[bytes, int] = {}
-        self.values: np.ndarray | None = None
-        self.used = 0
+    def __init__(
+        self,
+        compute: Callable[[list[bytes]], np.ndarray],
+        most: int = WORDS,
+        known: tuple[dict[bytes, int], np.ndarray] | None = None,
+    ) -> None:
+        """``known``: words whose rows need no computation, by place."""
+        self.compute, self.known = compute, known
+        self.most = most + (len(known[0]) if known else 0)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.place: dict[bytes, int] = dict(self.known[0]) if self.known else {}
+        self.values: np.ndarray | None = self.known[1] if self.known and len(self.known[1]) else None
+        self.used = len(self.place)
 
     def _add(self, words: list[bytes]) -> None:
         rows = self.compute(words)
@@ -34,7 +44,7 @@ class WordValues:
     def of(self, tokens: list[bytes]) -> np.ndarray:
         """One row per token."""
         if self.used > self.most:
-            self.place, self.used = {}, 0
+            self._begin()
         known = np.fromiter(map(self.place.get, tokens, repeat(-1)), np.int64, len(tokens))
         missing = np.flatnonzero(known < 0)
         if len(missing):
