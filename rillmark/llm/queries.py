@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmark.llm import decontaminate, language, linededup, lm, mixing, secrets, simhash, topk, toxicity
+from rillmark.llm import decontaminate, language, linededup, lm, mixing, quality, secrets, simhash, topk, toxicity
 from rillmark.llm.base import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
 
@@ -44,4 +48,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_mixing, op3_language, op4_topk, op5_toxicity, op6_language_model, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_mixing, op3_language, op4_topk, op5_toxicity, op6_language_model, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
