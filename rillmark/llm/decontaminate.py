@@ -21,7 +21,7 @@ from rillmark.llm.base import free_name, stored, word_bytes
 from rillmark.llm.fmindex import FMIndex
 
 WINDOW = 10
-SHARD_WORDS = 600_000
+SHARD_WORDS = 300_000
 # bytes of test items that one pass over the documents searches for; more items take more passes
 BLOCK_BYTES = 8 << 20
 
@@ -163,14 +163,17 @@ def find(
     )
     for block in range(blocks):
         rows = [(r.i, r.t.encode()) for r in placed.where(F.col("b") == block).select("i", "t").toLocalIterator()]
-        frame = _pass(frame, phrases(rows, window), len(keep))
+        # the last pass knows all spans and may cut
+        cut_at = keep.index(text) if clean and block + 1 == blocks else None
+        frame = _pass(frame, phrases(rows, window), len(keep), cut_at)
         if block + 1 < blocks:
             frame = stored(frame, "contamination")
-    frame = frame.drop(source)
-    return _cleaned(frame, text) if clean else frame
+    return frame.drop(source)
 
 
-def _batch(rows: list[pa.RecordBatch], results: list, n_keep: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _batch(
+    rows: list[pa.RecordBatch], results: list, n_keep: int, cut_at: int | None, schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
     at = 0
     for batch in rows:
         n, spans, ids = [], [], []
@@ -181,8 +184,13 @@ def _batch(rows: list[pa.RecordBatch], results: list, n_keep: int, schema: pa.Sc
             spans.append([{"start": a, "end": b} for a, b in merge_spans(new + [(s["start"], s["end"]) for s in old])])
             ids.append(sorted({*items, *had}))
         at += len(batch)
+        kept = [batch.column(i) for i in range(n_keep)]
+        if cut_at is not None and any(spans):
+            texts = kept[cut_at].to_pylist()
+            cleaned = [cut(t, [(s["start"], s["end"]) for s in found]) for t, found in zip(texts, spans, strict=True)]
+            kept[cut_at] = pa.array(cleaned, kept[cut_at].type)
         columns = [
-            *(batch.column(i) for i in range(n_keep)),
+            *kept,
             pa.array(n, pa.int64()),
             pa.array(spans, schema.field(n_keep + 1).type),
             pa.array(ids, schema.field(n_keep + 2).type),
@@ -191,7 +199,7 @@ def _batch(rows: list[pa.RecordBatch], results: list, n_keep: int, schema: pa.Sc
         yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
-def _pass(frame: DataFrame, known: Phrases, n_keep: int) -> DataFrame:
+def _pass(frame: DataFrame, known: Phrases, n_keep: int, cut_at: int | None) -> DataFrame:
     shared = frame.sparkSession.sparkContext.broadcast(known)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,27 +217,14 @@ def _pass(frame: DataFrame, known: Phrases, n_keep: int) -> DataFrame:
                 volume += sum(map(len, mine))
                 # a word and its blank have seven bytes or so
                 if volume >= 7 * SHARD_WORDS:
-                    yield from _batch(held, _search_shard(texts, shared.value), n_keep, schema)
+                    yield from _batch(held, _search_shard(texts, shared.value), n_keep, cut_at, schema)
                     held, texts, volume = [], [], 0
         if held:
-            yield from _batch(held, _search_shard(texts, shared.value), n_keep, schema)
+            yield from _batch(held, _search_shard(texts, shared.value), n_keep, cut_at, schema)
 
     return frame.mapInArrow(search, frame.schema)
 
 
-def _cleaned(frame: DataFrame, text: str) -> DataFrame:
-    """Apply the spans; only texts with hits go through Python."""
-
-    @F.pandas_udf("string")
-    def without(texts, spans):
-        import pandas as pd
-
-        return pd.Series([cut(t, [(s["start"], s["end"]) for s in found]) for t, found in zip(texts, spans, strict=True)])
-
-    hit = F.size("hit_spans") > 0
-    return frame.where(~hit).unionAll(frame.where(hit).withColumn(text, without(F.col(text), F.col("hit_spans"))))
-
-
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Per document the counts of words, hit words and items, and a digest of the items."""
     found = find(docs, benchmark, [doc_id])

@@ -29,7 +29,7 @@ LONGEST = 4
 UNSEEN = 0.5
 # distinct words a task counts before it hands them on
 FLUSH = 200_000
-PIECE = 200_000
+PIECE = 100_000
 
 # lower-cased ASCII letters and all bytes beyond ASCII
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))

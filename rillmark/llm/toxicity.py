@@ -38,7 +38,7 @@ THRESHOLD = 0.3
 # the curve is fitted on ratios by models that did not count the text: the sample is left out in so many parts
 PARTS = 3
 # words scored at a time
-PIECE = 200_000
+PIECE = 100_000
 FIRST, LAST = 1, 2
 N_FEATURES = len(STRETCHES) + len(STRONGEST) + 2
 

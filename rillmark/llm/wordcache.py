@@ -8,7 +8,9 @@ from itertools import repeat
 import numpy as np
 
 # distinct words remembered; beyond, the memory starts anew
-WORDS = 400_000
+WORDS = 300_000
+# new words computed at once
+BLOCK = 40_000
 
 
 class WordValues:
@@ -48,7 +50,9 @@ class WordValues:
         known = np.fromiter(map(self.place.get, tokens, repeat(-1)), np.int64, len(tokens))
         missing = np.flatnonzero(known < 0)
         if len(missing):
-            self._add(list({tokens[i] for i in missing.tolist()}))
+            fresh = list({tokens[i] for i in missing.tolist()})
+            for at in range(0, len(fresh), BLOCK):
+                self._add(fresh[at : at + BLOCK])
             known[missing] = [self.place[tokens[i]] for i in missing.tolist()]
         if self.values is None:
             return self.compute([])
