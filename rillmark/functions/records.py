@@ -20,12 +20,12 @@ def decode_users(df: DataFrame, raw: str) -> tuple[DataFrame, DataFrame]:
     """
     inner = F.substring(F.col(raw), F.lit(2), F.length(raw) - 2)
     parts = df.withColumn("_parts", F.split(inner, "//", -1)).withColumn(
-        "_id", F.get("_parts", F.lit(0)).try_cast("int")
+        "_id", F.get("_parts", F.lit(0)).try_cast("bigint")
     )
     short = F.size("_parts") < 3
     reason = F.when(short, "too few fields").when(F.col("_id").isNull(), "id is not an integer")
     good = parts.where(~short & F.col("_id").isNotNull()).select(
-        F.col("_id").cast("bigint").alias("id"),
+        F.col("_id").alias("id"),
         F.get("_parts", F.lit(1)).alias("email"),
         F.get("_parts", F.lit(2)).alias("name"),
     )

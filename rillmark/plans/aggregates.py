@@ -96,7 +96,7 @@ def agg_merged_substreams(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("agg_distinct_tags", with_views("songs", "SELECT playlist_id, string_agg(genre, ',' ORDER BY genre) AS tags FROM (SELECT DISTINCT playlist_id, genre FROM songs) GROUP BY playlist_id"))
 def agg_distinct_tags(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = tag_events(V.songs(spark, sf), "playlist_id", F.col("genre"))
+    tagged = tag_events(V.song_genres(spark, sf), "playlist_id", F.col("genre"))
     return tagged.select("playlist_id", F.array_join("tags", ",").alias("tags"))
 
 

@@ -129,7 +129,7 @@ def event_model_map(spark: SparkSession, sf: str) -> DataFrame:
 )
 def event_tag(spark: SparkSession, sf: str) -> DataFrame:
     """Each purchased playlist is tagged with its genres when it is written."""
-    tagged = J.tag_events(V.songs(spark, sf), "playlist_id", F.col("genre"))
+    tagged = J.tag_events(V.song_genres(spark, sf), "playlist_id", F.col("genre"))
     return tagged.select(
         "playlist_id", F.size("tags").cast("bigint").alias("n_tags"), F.array_contains("tags", "PROMO").alias("promo")
     )

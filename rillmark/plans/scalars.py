@@ -54,9 +54,12 @@ def filter_custom(spark: SparkSession, sf: str) -> DataFrame:
 )
 def filter_lowercase(spark: SparkSession, sf: str) -> DataFrame:
     """Words of each document and how many of them equal their lower-case form."""
-    stream = load(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"\s+", -1)).alias("word"))
-    lower = F.count_if(text.is_lower(F.col("word")))
-    return stream.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"), lower.alias("n_lower"))
+    words = load(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.split("text", r"\s+", -1).alias("words"))
+    return words.select(
+        "doc_id",
+        F.size("words").cast("bigint").alias("n_words"),
+        F.size(F.filter("words", text.is_lower)).cast("bigint").alias("n_lower"),
+    )
 
 
 @query("str_length", "SELECT doc_id, length(text) AS n, length(text) % 2 AS parity FROM documents")

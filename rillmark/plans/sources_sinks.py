@@ -147,7 +147,7 @@ def src_journal_jdbc(spark: SparkSession, sf: str) -> DataFrame:
 )
 def src_json(spark: SparkSession, sf: str) -> DataFrame:
     """Error events carry broken JSON, which lands in its own column."""
-    doc = F.when(F.col("event_type") == "error", F.substring("props", 2, 1_000_000)).otherwise(F.col("props"))
+    doc = F.when(F.col("event_type") == "error", F.substr("props", F.lit(2))).otherwise(F.col("props"))
     raw = load(spark, sf, "events").select(F.col("event_id").alias("seq"), doc.alias("doc"))
     return read_json(raw, "doc", T.StructType([T.StructField("k", T.LongType())])).select("seq", "k", "bad_json")
 

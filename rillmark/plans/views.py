@@ -135,6 +135,15 @@ def songs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def song_genres(spark: SparkSession, sf: str) -> DataFrame:
+    """Playlists and the genres of their songs; who sings does not matter here."""
+    items = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    parts = load(spark, sf, "part").select("p_partkey", "p_type")
+    return items.join(parts, items.l_partkey == parts.p_partkey).select(
+        F.col("l_orderkey").alias("playlist_id"), F.col("p_type").alias("genre")
+    )
+
+
 def guitar_events(spark: SparkSession, sf: str) -> DataFrame:
     items = load(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_linestatus")
     parts = load(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
