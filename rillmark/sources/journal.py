@@ -45,10 +45,15 @@ class Journal:
         )
 
     def append(self, events: DataFrame, order: Sequence[str], batch: int = 0) -> None:
-        """Write events (``persistence_id``, ``payload``, ``tags``, ``ts`` and order columns) as one batch."""
+        """Write events (``persistence_id``, ``payload``, ``tags``, ``ts`` and order columns) as one batch.
+
+        Batches are appended in turn.  If the run before was lost between its events and its heads, the
+        heads are derived from the events first, so that no number is given twice.
+        """
         placed = with_position(events, order, ["persistence_id"], "sequence_number", start=1)
         placed = with_position(placed, order, name="ordering", start=1)
-        if batch > 0 and folder_exists(self.spark, self.heads):
+        if batch > 0:
+            self._settle(batch - 1)
             before = self.spark.read.parquet(self.heads).where(F.col("batch") < batch)
             last = before.groupBy("persistence_id").agg(F.max("sequence_number").alias("_last"))
             placed = placed.join(last, "persistence_id", "left").withColumns(
@@ -67,11 +72,28 @@ class Journal:
             "batch", "pid_bucket", "persistence_id", "sequence_number"
         )
         self._replace(by_entity, self.fmt, ["batch", "pid_bucket"], self.path)
+        self._write_heads(batch)
+
+    def _settle(self, batch: int) -> None:
+        """Make sure that the heads of a batch are there; a batch without any rows has one head without a name."""
+        if folder_exists(self.spark, f"{self.heads}/batch={batch}"):
+            return
+        if not folder_exists(self.spark, f"{self.path}/batch={batch}"):
+            raise ValueError(f"batch {batch} has not been appended yet")
+        self._write_heads(batch)
+
+    def _write_heads(self, batch: int) -> None:
         written = self.spark.read.format(self.fmt).load(self.path).where(F.col("batch") == batch)
-        heads = written.groupBy("persistence_id", "batch").agg(
+        heads = written.groupBy("persistence_id").agg(
             F.max("sequence_number").alias("sequence_number"), F.max("ordering").alias("ordering")
         )
-        self._replace(heads, "parquet", ["batch"], self.heads)
+        nameless = self.spark.range(1).select(
+            F.lit(None).cast("string").alias("persistence_id"),
+            F.lit(0).cast("bigint").alias("sequence_number"),
+            F.lit(0).cast("bigint").alias("ordering"),
+        )
+        named = heads.select(*[F.col(f.name).cast(f.dataType) for f in nameless.schema])
+        self._replace(named.unionByName(nameless).withColumn("batch", F.lit(batch)), "parquet", ["batch"], self.heads)
 
     @staticmethod
     def _replace(df: DataFrame, fmt: str, folders: list[str], path: str) -> None:
