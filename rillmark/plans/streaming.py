@@ -55,7 +55,7 @@ def st_running_count(spark: SparkSession, sf: str) -> DataFrame:
 )
 def st_conflate(spark: SparkSession, sf: str) -> DataFrame:
     """Tumbling hours in update mode; the newest batch of an hour holds its current burst."""
-    hours = _events(spark, sf).withWatermark("ts", S.REPLAY_LATENESS).groupBy(F.window("ts", "1 hour"), "user_id")
+    hours = _events(spark, sf).groupBy(F.window("ts", "1 hour"), "user_id")
     n = F.count(F.lit(1))
     bursts = hours.agg(n.alias("n_instances"), F.min_by("event_type", "event_id").alias("only")).select(
         "user_id",
@@ -75,11 +75,11 @@ def st_session(spark: SparkSession, sf: str) -> DataFrame:
     """Idle sessions in append mode; a later far-future row closes the ones still open."""
     events, close_all = S.with_sentinel(_events(spark, sf).select("user_id", "ts"), "ts")
     marked = events.withWatermark("ts", S.REPLAY_LATENESS)
-    found = marked.groupBy("user_id", F.session_window("ts", "8 hours")).agg(
+    found = marked.groupBy("user_id", "closing", F.session_window("ts", "8 hours")).agg(
         F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n_events")
     )
     rows = found.select(
-        "user_id", F.unix_micros("first").alias("start_us"), F.unix_micros("last").alias("last_us"), "n_events"
+        "user_id", F.unix_micros("first").alias("start_us"), F.unix_micros("last").alias("last_us"), "n_events", "closing"
     )
     path, checkpoint = scratch(spark, "session"), scratch(spark, "session-checkpoint")
     writer = rows.writeStream.format("parquet").option("path", path)
@@ -87,7 +87,7 @@ def st_session(spark: SparkSession, sf: str) -> DataFrame:
         S.drain(writer, checkpoint)
         close_all()
         S.drain(writer, checkpoint)
-    return spark.read.schema(rows.schema).parquet(path).where("user_id IS NOT NULL")
+    return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
 
 
 @query("st_stateful_fold", with_views("ev ledger", ACCOUNT))
@@ -118,7 +118,7 @@ def st_state_timer(spark: SparkSession, sf: str) -> DataFrame:
         S.drain(writer, checkpoint)
         fire_all()
         S.drain(writer, checkpoint)
-    return spark.read.schema(rows.schema).parquet(path).where("user_id IS NOT NULL")
+    return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
 
 
 @query(

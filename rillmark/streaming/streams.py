@@ -87,8 +87,16 @@ def stateful(spark: SparkSession):
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Process everything available now, then return; a failed query raises."""
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    """Process everything available now, then return; a failed query raises, and so do rows dropped as late.
+
+    Late rows are counted in the progress that the session keeps (``spark.sql.streaming.numRecentProgressUpdates``
+    triggers); the rows written until then stay in the sink.
+    """
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    late = sum(op["numRowsDroppedByWatermark"] for step in query.recentProgress for op in step["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} rows came after the watermark had passed them: allow more lateness")
 
 
 def drain_to_table(stream: DataFrame, purpose: str) -> DataFrame:
@@ -123,18 +131,19 @@ def drain_by_batch(
 def with_sentinel(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]:
     """The stream plus a side input for one far-future row, and the function that sends that row.
 
-    Sent in a later run it moves the watermark past all real rows, so the open tail is emitted.
+    Sent in a later run it moves the watermark past all real rows, so the open tail is emitted.  The column
+    ``closing`` tells that row from real ones, whose other columns may be null as well; it has to be a key
+    of the state and to be filtered in the sink, since an earlier filter would also hide the row's time.
     """
     spark = stream.sparkSession
+    stream = stream.withColumn("closing", F.lit(False))
     landing = scratch(spark, "sentinel")
     nothing = spark.createDataFrame([], stream.schema)
     nothing.write.parquet(landing)
 
     def send() -> None:
-        row = [
-            F.lit(FAR_FUTURE).cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in stream.schema.fields
-        ]
+        known = {ts: FAR_FUTURE, "closing": True}
+        row = [F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
         spark.range(1).select(*row).write.mode("append").parquet(landing)
 
     return stream.unionByName(landed_stream(spark, landing, stream.schema)), send
@@ -189,26 +198,39 @@ class SilenceTimer(StatefulProcessor):
             self.handle.deleteTimer(old_timer)
         self.handle.registerTimer(last + self.idle_ms)
         self.last.update((last,))
-        yield pd.DataFrame({"user_id": [key[0]] * len(expired), "expired_ms": expired})
+        yield self._rows(key, expired)
+
+    @staticmethod
+    def _rows(key, expired: list[int]) -> pd.DataFrame:
+        # a null in a key would make every row a group of its own in Python
+        user = None if key[2] else key[0]
+        return pd.DataFrame(
+            {
+                "user_id": pd.array([user] * len(expired), "Int64"),
+                "closing": [bool(key[1])] * len(expired),
+                "expired_ms": pd.array(expired, "Int64"),
+            }
+        )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
-        yield pd.DataFrame({"user_id": [key[0]], "expired_ms": [expiredTimerInfo.getExpiryTimeInMs()]})
+        yield self._rows(key, [expiredTimerInfo.getExpiryTimeInMs()])
 
     def close(self) -> None:
         pass
 
 
 def silence_stream(stream: DataFrame, key: str, idle_ms: int) -> DataFrame:
-    """Silences per key; ``stream`` carries a watermark on ``ts`` and the epoch milliseconds ``ts_ms``.
+    """Silences per key; ``stream`` carries a watermark on ``ts``, the epoch milliseconds ``ts_ms`` and ``closing``.
 
     Rows are ordered within a trigger; the triggers themselves must bring a key's rows in order.
     """
     return (
-        stream.groupBy(key)
+        stream.withColumns({"nameless": F.col(key).isNull(), key: F.coalesce(key, F.lit(0))})
+        .groupBy(key, "closing", "nameless")
         .transformWithStateInPandas(
             SilenceTimer(idle_ms),
-            outputStructType="user_id bigint, expired_ms bigint",
+            outputStructType="user_id bigint, closing boolean, expired_ms bigint",
             outputMode="append",
             timeMode="EventTime",
         )
