@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rillmark.functions import records
 from rillmark.operators import flows
+from rillmark.plans import all_queries
 from rillmark.session import scratch
 from rillmark.sources.journal import Journal, recover, replay, snapshots
 from rillmark.streaming import streams as S
@@ -109,3 +111,62 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch(Session, "x")
+
+
+def test_a_lost_batch_gives_no_number_twice(spark):
+    store = Journal(spark, scratch(spark, "lost-heads"), buckets=4)
+    write_heads = store._write_heads
+    for batch in range(3):
+        # the run ends between the events and their heads, before the next batch comes
+        store._write_heads = lambda _: None
+        settle, store._settle = store._settle, lambda n: write_heads(n)
+        store.append(_commands(spark, 3 * batch, 3), ["o"], batch=batch)
+        store._settle = settle
+    rows = _rows(store.events())
+    assert [r[0] for r in rows] == list(range(1, 10))
+    assert all([r[2] for r in rows if r[1] == f"e{k}"] == [1, 2, 3] for k in range(3))
+
+
+def test_heads_are_derived_from_events_or_the_append_fails(spark):
+    store = Journal(spark, scratch(spark, "absent-batch"), buckets=4)
+    with pytest.raises(ValueError, match="batch 0"):
+        store.append(_commands(spark, 0, 3), ["o"], batch=1)
+    write_heads, store._write_heads = store._write_heads, lambda _: None
+    store.append(_commands(spark, 0, 3), ["o"], batch=0)
+    store._write_heads = write_heads
+    store.append(_commands(spark, 3, 0), ["o"], batch=1)
+    store.append(_commands(spark, 3, 3), ["o"], batch=2)
+    assert [r[0] for r in _rows(store.events())] == [1, 2, 3, 4, 5, 6]
+
+
+def test_streams_keep_rows_without_a_user(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    some = F.when(F.col("event_id") % 10 != 0, F.col("user_id"))
+    events.withColumn("user_id", some).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    runs = {name: query.run(spark, str(tmp_path)) for name, query in all_queries().items() if name in ("st_session", "session_idle", "st_state_timer")}
+    batch, live = (sorted(map(str, runs[n].select("user_id", "start_us", "last_us", "n_events").collect())) for n in ("session_idle", "st_session"))
+    assert batch == live and any("user_id=None" in row for row in live)
+    # a silence ends every session
+    assert runs["st_state_timer"].where("user_id IS NULL").count() == sum("user_id=None" in row for row in batch)
+
+
+def test_late_rows_fail_the_run(spark):
+    landing = scratch(spark, "late")
+    checkpoint = scratch(spark, "late-checkpoint")
+    rows = lambda day: spark.sql(f"SELECT 1 AS k, timestamp'{day} 00:00:00' AS ts")
+    for day, fails in (("2024-01-05", False), ("2024-01-06", False), ("2024-01-01", True)):
+        S.push(rows(day), landing)
+        counts = S.landed_stream(spark, landing, rows(day).schema).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour")).count()
+        writer = counts.writeStream.outputMode("update").foreachBatch(S.batch_writer(scratch(spark, "late-out")))
+        with S.stateful(spark):
+            if fails:
+                with pytest.raises(RuntimeError, match="came after the watermark"):
+                    S.drain(writer, checkpoint)
+            else:
+                S.drain(writer, checkpoint)
+
+
+def test_large_ids_decode(spark):
+    raw = spark.createDataFrame([("[2147483647//a@b//Ann]",), ("[2147483648//c@d//Cy]",), ("[x//e@f//Ed]",)], "raw string")
+    good, bad = records.decode_users(raw, "raw")
+    assert sorted(r["id"] for r in good.collect()) == [2147483647, 2147483648] and bad.count() == 1

@@ -86,9 +86,9 @@ def test_first_chars_and_substreams(spark):
 
 
 def test_mask_shift(spark):
-    words = _words(spark, ["abba", "is", "awesome"])
+    words = _words(spark, ["code", "ink", "tab"])
     masked = words.select(text.shift_ascii(F.col("word"), 3).alias("m"))
-    assert _column(masked, "m") == ["deed", "lv", "dzhvrph"]
+    assert _column(masked, "m") == ["frgh", "lqn", "wde"]
     wide = _words(spark, ["naïve Ωμέγα 漢字 😀~", "", None])
     there = wide.select("word", text.shift_text("word", F.lit(3)).alias("m"))
     back = there.select("word", "m", text.shift_text("m", F.lit(-3)).alias("b")).collect()
@@ -97,11 +97,11 @@ def test_mask_shift(spark):
 
 
 def test_lower_case_filter_and_replies(spark):
-    words = _words(spark, ["dog", "cats", "Robin", "Wren"])
-    assert _column(words.where(text.is_lower(F.col("word"))), "word") == ["dog", "cats"]
-    asked = _words(spark, ["tech", "hello", "hi", "hi"])
+    words = _words(spark, ["maple", "oakTree", "pine", "ELM"])
+    assert _column(words.where(text.is_lower(F.col("word"))), "word") == ["maple", "pine"]
+    asked = _words(spark, ["river", "tech", "hi", "hi"])
     answers = asked.select(F.explode(text.replies(F.col("word"), F.col("o"))).alias("r"))
-    assert _column(answers, "r") == ["scala", "akka", "HELLO", "hi", "hello"]
+    assert _column(answers, "r") == ["RIVER", "scala", "akka", "hi", "hello"]
 
 
 def test_zip_and_concat(spark):
@@ -160,10 +160,10 @@ def test_error_policies(spark):
 
 
 def test_conflate_and_sessions(spark):
-    rows = [(0, "service failed", 1), (1, "illegal elements", 1), (2, "non-responsive", 1), (3, "alone", 2)]
+    rows = [(0, "disk full", 1), (1, "fan stopped", 1), (2, "link down", 1), (3, "door open", 2)]
     events = spark.createDataFrame(rows, "o long, d string, burst int")
     got = timespine.conflate(events, [F.col("burst")], ["o"], F.lit(1), F.col("d")).orderBy("burst").collect()
-    assert [(r["n_instances"], r["description"]) for r in got] == [(3, "You have 3 events"), (1, "alone")]
+    assert [(r["n_instances"], r["description"]) for r in got] == [(3, "You have 3 events"), (1, "door open")]
     log = spark.createDataFrame([(0, 0), (1, 10), (2, 20), (3, 31)], "o long, ts_us long").withColumn("k", F.lit(0))
     found = timespine.sessions(log, ["k"], "ts_us", ["o"], 10).orderBy("start_us").collect()
     assert [(r["start_us"], r["last_us"], r["n_events"]) for r in found] == [(0, 20, 3), (31, 31, 1)]
@@ -178,7 +178,7 @@ def test_tick_fill(spark):
 
 
 def test_tickets_first_come_within_class(spark):
-    tickets = _words(spark, ["[P3] nice to have", "[P0] important", "later", "[P1] not important", "[P0] again"])
+    tickets = _words(spark, ["[P3] sort the shelf", "[P0] mend the pump", "water the fern", "[P1] paint the gate", "[P0] stop the leak"])
     done = flows.process_order(tickets, values.ticket_class(F.col("word")), ["o"], 5).orderBy("process_pos")
     assert _column(done, "o") == [1, 4, 3, 0, 2] and _column(done, "process_pos") == [0, 1, 2, 3, 4]
 
@@ -227,16 +227,16 @@ def test_supervision_scripts(spark):
         out = errors.supervised_word_count(log, ["child"], ["seq"], "text", **options).orderBy("seq")
         return [(r["child"], r["words"]) for r in out.collect()]
 
-    assert run([("c", 1, "I like kites"), ("c", 1, "Amx" * 50)]) == [("c", 3), ("c", 3)]
-    assert run([("c", 1, "I like kites"), ("c", 1, "")]) == [("c", 3), ("c", 0)]
-    assert run([("c", 1, "kites"), ("c", 1, "I like it")]) == [("c", 0)]
-    rows = [("c2", 1, "Hi there"), ("c1", 1, ""), ("c2", 1, "Amx" * 50)]
+    assert run([("c", 1, "We bake bread"), ("c", 1, "Loaf" * 40)]) == [("c", 3), ("c", 3)]
+    assert run([("c", 1, "We bake bread"), ("c", 1, "")]) == [("c", 3), ("c", 0)]
+    assert run([("c", 1, "bread"), ("c", 1, "We eat it")]) == [("c", 0)]
+    rows = [("c2", 1, "Good rye"), ("c1", 1, ""), ("c2", 1, "Loaf" * 40)]
     assert run(rows, group=["g"]) == [("c2", 2), ("c1", 0), ("c2", 0)]
 
 
 def test_votes(spark):
-    names = ["Martin", "Jonas", "Roland", "Daniel"]
-    rows = [(0, 1, 17, "Martin"), (1, 1, 20, "Nobody"), (2, 1, 20, "Martin"), (3, 1, 17, "Nobody"), (4, 2, 18, "Jonas")]
+    names = ["Ada", "Bruno", "Chen", "Dora"]
+    rows = [(0, 1, 17, "Ada"), (1, 1, 20, "Elsewhere"), (2, 1, 20, "Ada"), (3, 1, 17, "Elsewhere"), (4, 2, 18, "Bruno")]
     log = spark.createDataFrame(rows, "seq long, person long, age long, candidate string")
     got = states.validate_votes(
         log, "person", ["seq"], F.col("age"), F.col("candidate"), names, F.lit(False)
