@@ -1,0 +1,31 @@
+"""Text operators on small inputs whose results are known."""
+
+from math import log10
+from zlib import crc32
+
+import pytest
+
+from rillmark.llm import lm
+
+
+def _ids(held_out: bool, folds: int, of: int = 0):
+    return (i for i in range(10_000) if (crc32(str(i).encode()) % folds == of) == held_out)
+
+
+def test_long_unseen_words_cost_their_spelling(spark):
+    train, held = _ids(False, 10), _ids(True, 10)
+    rows = [(next(train), f"plain words of a small corpus number {i}") for i in range(40)]
+    long = "q7" * 1000
+    empty, once, twice = next(held), next(held), next(held)
+    rows += [(empty, ""), (once, long), (twice, f"{long} {long}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model, _ = lm.fit(docs.where(f"doc_id not in ({empty}, {once}, {twice})"))
+    share = model.mixer.log10([long.encode()])[0] + log10(lm.DISCOUNT * model.kinds / model.tokens)
+    assert share < -400
+    found = {r.doc_id: r for r in lm.report(docs).collect()}
+    end = found[empty].score
+    # the end's share and the word's; the second word falls on a total of KEPT + 1 and so on
+    assert found[once].score == pytest.approx(end + share + log10(lm.KEPT / (lm.KEPT + 1)), rel=1e-9)
+    again = log10(1 / (lm.KEPT + 1)) + log10(lm.KEPT / (lm.KEPT + 2))
+    assert found[twice].score == pytest.approx(end + share + again, rel=1e-9)
+    assert found[once].bits_per_byte > 0.5
