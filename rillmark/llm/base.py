@@ -49,29 +49,41 @@ def labelled_sample(
 ) -> tuple[dict[int, list[tuple[int, bytes]]], tuple[int, int]]:
     """A bounded sample of labelled rows of folds other than 2 of 4, and the number of all of each label.
 
-    Per label 0 and 1 the ``rows`` ids with the smallest MD5, as (id, text); rows are taken in that order
-    until ``most_bytes`` are full.  An id with several labels has the largest.
+    Per label 0 and 1 the ``rows`` ids with the smallest MD5, as (id, text), texts whole.  Where they have more
+    than ``most_bytes``, the longest texts are left out, no more than need be, and the next ids with texts
+    no longer than those that stay take their places.  An id with several labels has the largest.
     """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & (fold(doc_id, 4) != 2))
     known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("label"))
     totals = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     order = F.md5(F.col("id").cast("string"))
-    chosen = known.where("false")
-    for value in (0, 1):
-        chosen = chosen.unionAll(known.where(F.col("label") == value).orderBy(order, "id").limit(rows))
-    # a bounded list, 2 * rows ids, that every task may hold
-    chosen = {r.id: r.label for r in chosen.collect()}
-    ids = docs.sparkSession.createDataFrame([(int(i),) for i in chosen], "id bigint")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = stored(
-        docs.select(F.col(doc_id).alias("id"), body.alias("body")).join(F.broadcast(ids), "id"), "labelled-sample"
-    )
-    # one text per id, and no more bytes than the bound: what does not fit is left out whole
-    place = Window.partitionBy("label").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)
-    labels_of = docs.sparkSession.createDataFrame(list(chosen.items()), "id bigint, label int")
-    texts = found.groupBy("id").agg(F.min("body").alias("body")).join(F.broadcast(labels_of), "id")
-    texts = texts.withColumn("order", order).withColumn("upto", F.sum(F.octet_length("body")).over(place))
+    bodies = docs.select(F.col(doc_id).alias("id"), body.alias("body"))
+
+    def first(ids: DataFrame, values: list[int]) -> DataFrame:
+        chosen = ids.where("false")
+        for value in values:
+            chosen = chosen.unionAll(ids.where(F.col("label") == value).orderBy(order, "id").limit(rows))
+        # a bounded list, 2 * rows ids, that every task may hold
+        listed = [(int(r.id), r.label) for r in chosen.collect()]
+        return docs.sparkSession.createDataFrame(listed, "id bigint, label int")
+
+    def texts(ids: DataFrame, among: DataFrame) -> DataFrame:
+        found = stored(among.join(F.broadcast(ids), "id"), "labelled-sample")
+        # one text per id; the sum runs from the shortest text on, so that a long one costs no other its place
+        place = Window.partitionBy("label").orderBy("size", "order", "id").rowsBetween(Window.unboundedPreceding, 0)
+        one = found.groupBy("id", "label").agg(F.min("body").alias("body"))
+        sized = one.withColumn("order", order).withColumn("size", F.octet_length("body").cast("bigint"))
+        return sized.withColumn("fits", F.sum("size").over(place) <= most_bytes)
+
+    sample = texts(first(known, [0, 1]), bodies)
+    longest = F.max(F.when(F.col("fits"), F.col("size")))
+    over = sample.groupBy("label").agg(F.every("fits").alias("all"), longest.alias("longest")).where("not all").collect()
+    for r in over:
+        shorter = bodies.where(F.octet_length("body") <= (most_bytes if r.longest is None else r.longest))
+        ids = first(known.join(shorter.select("id"), "id", "left_semi"), [r.label])
+        sample = sample.where(F.col("label") != r.label).unionAll(texts(ids, shorter))
     held: dict[int, list[tuple[int, bytes]]] = {0: [], 1: []}
-    for r in texts.where(F.col("upto") <= most_bytes).orderBy("order", "id").toLocalIterator():
+    for r in sample.where("fits").orderBy("order", "id").toLocalIterator():
         held[r.label].append((r.id, r.body.encode()))
     return held, (totals.get(0, 0), totals.get(1, 0))

@@ -1,11 +1,13 @@
 """Text operators on small inputs whose results are known."""
 
+from hashlib import md5
 from math import log10
 from zlib import crc32
 
 import pytest
 
 from rillmark.llm import lm
+from rillmark.llm.base import labelled_sample
 
 
 def _ids(held_out: bool, folds: int, of: int = 0):
@@ -29,3 +31,18 @@ def test_long_unseen_words_cost_their_spelling(spark):
     again = log10(1 / (lm.KEPT + 1)) + log10(lm.KEPT / (lm.KEPT + 2))
     assert found[twice].score == pytest.approx(end + share + again, rel=1e-9)
     assert found[once].bits_per_byte > 0.5
+
+
+@pytest.mark.parametrize("long", [300, 5_000])
+def test_a_long_labelled_text_costs_no_other_its_place(spark, long):
+    free = _ids(False, 4, 2)
+    by_label = {value: sorted((next(free) for _ in range(30)), key=lambda i: md5(str(i).encode()).hexdigest()) for value in (0, 1)}
+    # the first toxic text by MD5 is above the bound, or nearly fills it; all others have the same length
+    texts = {i: f"{i:020d}" for ids in by_label.values() for i in ids}
+    texts[by_label[1][0]] = "x" * long
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, v) for v, ids in by_label.items() for i in ids], "doc_id bigint, toxic int")
+    held, totals = labelled_sample(docs, labels, "doc_id", "text", "toxic", 12, 320)
+    assert [i for i, _ in held[0]] == by_label[0][:12]
+    assert [i for i, _ in held[1]] == by_label[1][1:13]
+    assert all(body.decode() == texts[i] for v in (0, 1) for i, body in held[v]) and totals == (30, 30)
