@@ -58,7 +58,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", spans_as:
     """
     spans = spans_as or free_name(docs, "covered_lines")
     mine = free_name(docs, "text_print")
-    lines = F.expr("array_sort(array_distinct(flatten(collect_list(sequence(first, last)))))")
+    # a set: repeated rows have the same windows, and only distinct ones are gathered
+    lines = F.expr("array_sort(array_distinct(flatten(transform(collect_set(struct(first, last)), w -> sequence(w.first, w.last)))))")
     covered = repeated(docs, doc_id, text).groupBy("doc", "print").agg(lines.alias("c"))
     starts = "filter(c, (x, i) -> i = 0 OR get(c, i - 1) < x - 1)"
     ends = "transform(filter(c, (x, i) -> i = size(c) - 1 OR get(c, i + 1) > x + 1), x -> x + 1)"

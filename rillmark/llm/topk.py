@@ -125,11 +125,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     usable = vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & sound).select(
         F.col(vec_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")
     )
-    asked = usable.where(F.col("id") % every == 0)
+    # one row per id and number of components before any goes to the driver
+    asked = usable.where(F.col("id") % every == 0).groupBy("id", F.size("v").alias("width")).agg(F.min("v").alias("v"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     answers = None
     for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).collect()
+        rows = asked.where(F.pmod(F.xxhash64("id", "width"), F.lit(blocks)) == block).collect()
         found = _pass(usable, prepare([(r.id, r.v) for r in rows]), k)
         answers = found if answers is None else answers.unionAll(found)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

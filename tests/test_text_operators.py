@@ -6,7 +6,7 @@ from zlib import crc32
 
 import pytest
 
-from rillmark.llm import lm
+from rillmark.llm import decontaminate, linededup, lm, topk
 from rillmark.llm.base import labelled_sample
 
 
@@ -46,3 +46,28 @@ def test_a_long_labelled_text_costs_no_other_its_place(spark, long):
     assert [i for i, _ in held[0]] == by_label[0][:12]
     assert [i for i, _ in held[1]] == by_label[1][1:13]
     assert all(body.decode() == texts[i] for v in (0, 1) for i, body in held[v]) and totals == (30, 30)
+
+
+def test_repeated_rows_are_made_distinct_before_they_are_gathered(spark, monkeypatch):
+    seen = []
+    prepare, phrases = topk.prepare, decontaminate.phrases
+    monkeypatch.setattr(topk, "prepare", lambda rows: seen.append(len(rows)) or prepare(rows))
+    monkeypatch.setattr(decontaminate, "phrases", lambda rows, window: seen.append(len(rows)) or phrases(rows, window))
+    vectors = spark.createDataFrame([(0, [2.0, 1.0]), (0, [1.0, 2.0])] * 50 + [(1, [1.0, 0.0]), (0, [1.0]), (2, [3.0])], "vec_id bigint, embedding array<double>")
+    found = [tuple(r) for r in topk.top_k(vectors, k=2).collect()]
+    # an id is asked once with each number of components
+    assert found == [(0, 1, 2, 3 * 256 * 256), (0, 2, 1, 256 * 256)]
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "two three")] * 100, "item_id bigint, text string")
+    hit = decontaminate.report(docs, items).first()
+    assert (hit.n_hit, hit.n_items) == (2, 1)
+    assert seen == [2, 1]
+
+
+def test_repeated_rows_gather_their_windows_once(spark):
+    text = "a\nb\nc\nd"
+    docs = spark.createDataFrame([(1, text)] + [(2, text + "\ne")] * 20, "doc_id bigint, text string")
+    done = linededup.dedup(docs)
+    assert sorted(tuple(r) for r in done.collect()) == [(1, text)] + [(2, "e")] * 20
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" in plan and "collect_list" not in plan
