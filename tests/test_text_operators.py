@@ -6,7 +6,7 @@ from zlib import crc32
 
 import pytest
 
-from rillmark.llm import decontaminate, linededup, lm, topk
+from rillmark.llm import decontaminate, language, linededup, lm, topk
 from rillmark.llm.base import labelled_sample
 
 
@@ -71,3 +71,25 @@ def test_repeated_rows_gather_their_windows_once(spark):
     assert sorted(tuple(r) for r in done.collect()) == [(1, text)] + [(2, "e")] * 20
     plan = done._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" in plan and "collect_list" not in plan
+
+
+def test_languages_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
+    train, held = _ids(False, 5), _ids(True, 5)
+    words = {"aa": "bak dor fen gul hap", "bb": "kab rod nef lug pah"}
+    rows = [(next(train), f"{w} {w}{i}x {w}{w}", tongue) for tongue, mine in words.items() for w in mine.split() for i in range(3)]
+    # a known word, unseen ones with known beginnings, one without any known n-gram but its end, and no word at all
+    rows += [(next(held), t, None) for t in ("fen", "lug lugnef", "gulbak dorr", "zzz \u00e9", "12 34", "", None)]
+    rows += [(rows[-6][0], rows[-6][1], None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+    def found():
+        return sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in language.report(docs).collect()))
+
+    whole = found()
+    assert len(whole) == len(rows)
+    by_text = {t: next(r for r in whole if r[0] == i) for i, t, _ in rows[-9:]}
+    assert [by_text[t][2] for t in ("fen", "lug lugnef", "gulbak dorr", "12 34", "", None)] == ["aa", "bb", "aa", "und", "und", "und"]
+    for most in (0, 3):
+        monkeypatch.setattr(language, "WORDS", most)
+        monkeypatch.setattr(language, "GRAMS", most)
+        assert found() == whole
