@@ -114,7 +114,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     Offsets are code points, ends exclusive.  A null text is empty; a null id stays null; repeated
     rows give repeated results; an empty table gives no rows.  Other columns are not read, so their
-    names cannot clash.  No shuffle: every text is searched whole where it was read.
+    names cannot clash.  No shuffle: every text is searched whole where it was read.  Weak parts are
+    reported if a complement stands in their paragraph, no more than ``REACH`` code points away.
     """
     schema = (
         f"`{doc_id}` {docs.schema[doc_id].dataType.simpleString()}, n_assign bigint, n_access bigint, n_hex bigint,"
