@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmark.llm import decontaminate, language, linededup, lm, mixing, quality, secrets, simhash, topk, toxicity
+from rillmark.llm import centroids, contentsort, decontaminate, fim, language, linededup, lm, mixing, quality, secrets, simhash, topk, toxicity
 from rillmark.llm.base import table
 
 
@@ -48,4 +48,33 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_mixing, op3_language, op4_topk, op5_toxicity, op6_language_model, op7_line_dedup, op8_decontamination, op9_secret_scan, op10_simhash)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contentsort.report(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_quality,
+        op2_mixing,
+        op3_language,
+        op4_topk,
+        op5_toxicity,
+        op6_language_model,
+        op7_line_dedup,
+        op8_decontamination,
+        op9_secret_scan,
+        op10_simhash,
+        op11_exact_dedup,
+        op12_centroids,
+        op13_fill_in_middle,
+    )
+}

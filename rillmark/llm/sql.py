@@ -109,4 +109,76 @@ SELECT n.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coales
 FROM numbered n LEFT JOIN gone g ON n.doc_id IS NOT DISTINCT FROM g.doc_id AND n.print IS NOT DISTINCT FROM g.print
 """
 
-ORACLE_SQL = {"op2_mixing": OP2, "op4_topk": OP4, "op7_line_dedup": OP7, "op8_decontamination": OP8}
+OP11 = r"""
+WITH cut AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents
+), placed AS (
+  SELECT doc_id, norm, first_value(doc_id) OVER best AS keep_id, row_number() OVER best = 1 AS kept, count(*) OVER (PARTITION BY norm) AS group_size
+  FROM cut WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM placed
+"""
+
+
+def _lloyd(rounds: int) -> str:
+    """Whole vectors, the first centroids, and for each round the nearest centroids and the floors of the means."""
+    nearest = """near{i} AS (
+  SELECT nr, vec_id, v, arg_min(number, (distance, number)) AS cluster, min(distance) AS distance
+  FROM (SELECT v.*, c.number, CAST(list_sum(list_transform(list_zip(v.v, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+        FROM vectors v CROSS JOIN c{i} c) GROUP BY ALL
+)"""
+    moved = """sums{i} AS (
+  SELECT cluster, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS place FROM near{i}) GROUP BY ALL
+), means{i} AS (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM sums{i} GROUP BY ALL
+), c{j} AS (SELECT number, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN means{i} m ON m.cluster = number)"""
+    steps = [part.format(i=i, j=i + 1) for i in range(rounds) for part in (nearest, moved)]
+    return ",\n".join([*steps, nearest.format(i=rounds)])
+
+
+OP12 = f"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY hash, v) - 1 AS INTEGER) AS number, v AS c
+  FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS hash, v FROM vectors WHERE vec_id IS NOT NULL ORDER BY hash, v LIMIT 16)
+), {_lloyd(3)}, totals AS (
+  SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia, CAST(sum(sum(distance)) OVER () AS BIGINT) AS inertia FROM near3 GROUP BY cluster
+)
+SELECT vec_id, cluster, distance, cluster_inertia, inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near3 JOIN totals USING (cluster) JOIN c3 ON number = cluster
+"""
+
+OP13 = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         list_transform([0, 1, 2, 3], lambda i: CAST('0x' || substr(h, CAST(1 + 8 * i AS BIGINT), 8) AS BIGINT)) AS d
+  FROM hashed
+), cut AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS a, greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 100 THEN 'plain'
+              WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 : n], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLE_SQL = {
+    "op2_mixing": OP2,
+    "op4_topk": OP4,
+    "op7_line_dedup": OP7,
+    "op8_decontamination": OP8,
+    "op11_exact_dedup": OP11,
+    "op12_centroids": OP12,
+    "op13_fill_in_middle": OP13,
+}
