@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from rillmark.functions import values
 from rillmark.operators import flows, states, tables, timespine
-from rillmark.operators.scan import OrderedScan, union_all, written
+from rillmark.operators.scan import OrderedScan, union_all
 from rillmark.plans import views as V
 from rillmark.plans.sources_sinks import WRITTEN, written_journal
 from rillmark.plans.views import HOUR_US, MEMBERSHIP, with_views
 from rillmark.registry import query
-from rillmark.session import load
+from rillmark.session import load, scratch
 from rillmark.sources import journal as J
 
 
@@ -33,28 +33,31 @@ def journal_replay(spark: SparkSession, sf: str) -> DataFrame:
     return J.replay(written_journal(spark, sf).events(), F.col("payload.amount")).drop("next_id")
 
 
-@query("journal_resume_id", with_views("journal", "SELECT persistence_id, max(sequence_number) + 1 AS next_id FROM journal GROUP BY 1"))
+@query("journal_resume_id", with_views("ev", f"{WRITTEN} SELECT persistence_id, max(sequence_number) + 1 AS next_id FROM stored GROUP BY 1"))
 def journal_resume_id(spark: SparkSession, sf: str) -> DataFrame:
-    return J.replay(written_journal(spark, sf).events(), F.col("payload.amount")).select("persistence_id", "next_id")
+    """From the heads alone, without the events."""
+    return written_journal(spark, sf).next_ids()
 
 
-_RUNNING = """, r AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY persistence_id ORDER BY sequence_number) AS BIGINT) AS total FROM journal)"""
+_RUNNING = f"""{WRITTEN}, r AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY persistence_id ORDER BY sequence_number) AS BIGINT) AS total FROM stored)"""
 
 
 @query(
     "snapshot_write",
-    with_views("journal", f"{_RUNNING} SELECT persistence_id, sequence_number, total, sequence_number AS n_events FROM r WHERE sequence_number % 10 = 0"),
+    with_views("ev", f"{_RUNNING} SELECT persistence_id, sequence_number, ordering, total, sequence_number AS n_events FROM r WHERE sequence_number % 10 = 0"),
 )
 def snapshot_write(spark: SparkSession, sf: str) -> DataFrame:
-    return J.snapshots(V.journal(spark, sf), F.col("amount"), 10)
+    """States after every tenth event of an entity, as the snapshot store holds them."""
+    source = written_journal(spark, sf)
+    store = J.Journal(spark, scratch(spark, "snapshot-journal"), buckets=source.buckets)
+    store.append(source.events().select("persistence_id", "payload", "tags", "ts", "ordering"), ["ordering"])
+    return J.SnapshotStore(store, F.col("payload.amount")).take_every(10)
 
 
-@query("snapshot_recover", with_views("journal", "SELECT persistence_id, CAST(sum(amount) AS BIGINT) AS total, count(*) AS n_events, max(sequence_number) + 1 AS next_id FROM journal GROUP BY 1"))
+@query("snapshot_recover", with_views("ev", f"{WRITTEN} SELECT persistence_id, CAST(sum(amount) AS BIGINT) AS total, count(*) AS n_events, max(sequence_number) + 1 AS next_id FROM stored GROUP BY 1"))
 def snapshot_recover(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest stored snapshot and the tail after it; the oracle is the full replay."""
-    events, amount = written_journal(spark, sf).events(), F.col("payload.amount")
-    taken = written(J.snapshots(events, amount, 10), "snapshots")
-    return J.recover(events, taken, amount)
+    """The states stored after the first batch and the events after them; the oracle is the full replay."""
+    return J.SnapshotStore(written_journal(spark, sf), F.col("payload.amount")).recover()
 
 
 @query(
@@ -81,15 +84,25 @@ def multi_event_async(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "bulk_persist",
-    """SELECT l_orderkey AS invoice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber,
-    l_extendedprice, l_shipdate, l_discount, l_tax) - 1 AS place, l_partkey AS part FROM lineitem""",
+    """WITH placed AS (SELECT l_orderkey, l_linestatus = 'O' AS later, l_partkey, row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY l_linestatus = 'O', l_linenumber, l_partkey, l_suppkey) AS id FROM lineitem)
+    SELECT 'invoice-' || CAST(l_orderkey AS VARCHAR) AS invoice, id, min(id) OVER (PARTITION BY l_orderkey, later) AS base, l_partkey AS part FROM placed""",
 )
 def bulk_persist(spark: SparkSession, sf: str) -> DataFrame:
-    """All lines of an order are persisted at once and get consecutive ids from the order's first."""
-    order = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"]
-    items = load(spark, sf, "lineitem").select("l_orderkey", *order)
-    placed = OrderedScan(items, order, ["l_orderkey"]).upto(n=("count", F.lit(1))).df
-    return placed.select(F.col("l_orderkey").alias("invoice"), (F.col("n") - 1).alias("place"), F.col("l_partkey").alias("part"))
+    """The lines of an order come as one list of finished and one of open lines; the second goes on from the first's ids."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    lists = load(spark, sf, "lineitem").groupBy("l_orderkey", (F.col("l_linestatus") == "O").alias("later"))
+    # an order has a few lines
+    lists = lists.agg(F.array_sort(F.collect_list(line)).alias("items"), F.min("l_shipdate").alias("ts"))
+    lists = lists.withColumns(
+        {"persistence_id": F.concat(F.lit("invoice-"), F.col("l_orderkey").cast("string")), "tags": F.array(F.lit("invoice"))}
+    )
+    store = J.Journal(spark, scratch(spark, "invoices"), buckets=16)
+    for batch, later in enumerate((False, True)):
+        J.persist_lists(store, lists.where(F.col("later") == later), ["l_orderkey"], batch)
+    return store.events().select(
+        F.col("persistence_id").alias("invoice"), F.col("sequence_number").alias("id"), "payload.base", F.col("payload.item.l_partkey").alias("part")
+    )
 
 
 @query(

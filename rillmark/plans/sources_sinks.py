@@ -13,23 +13,23 @@ from rillmark.operators.substreams import chars
 from rillmark.plans import views as V
 from rillmark.plans.views import with_views
 from rillmark.registry import query
-from rillmark.session import load, scratch
-from rillmark.sources.journal import Journal
+from rillmark.session import changed_at, load, scratch
+from rillmark.sources.journal import Journal, SnapshotStore
 from rillmark.streaming import streams as S
 
 
 JOURNAL_BUCKETS = 16
 
 
-_JOURNALS: dict[tuple[str, str], str] = {}
+_JOURNALS: dict[tuple[str, str, int], str] = {}
 
 
 def written_journal(spark: SparkSession, sf: str) -> Journal:
-    """Orders written once per application as a journal in two batches, tagged by priority and status."""
-    owner = (spark.sparkContext.applicationId, sf)
-    path = _JOURNALS.get(owner) or scratch(spark, "journal")
+    """Orders as a journal in two batches, tagged by priority and status; written once per application and state of the table."""
+    owner = (spark.sparkContext.applicationId, sf, changed_at(spark, f"{sf.rstrip('/')}/orders.parquet"))
+    path = _JOURNALS.setdefault(owner, scratch(spark, "journal"))
     store = Journal(spark, path, buckets=JOURNAL_BUCKETS)
-    if owner in _JOURNALS:
+    if len(store.live()) == 2:
         return store
     level = F.split("o_orderpriority", "-")
     events = load(spark, sf, "orders").select(
@@ -41,8 +41,8 @@ def written_journal(spark: SparkSession, sf: str) -> Journal:
         (F.col("o_orderstatus") == "O").alias("late"),
     )
     store.append(events.where(~F.col("late")), ["o_orderkey"], batch=0)
+    SnapshotStore(store, F.col("payload.amount")).take()
     store.append(events.where("late"), ["o_orderkey"], batch=1)
-    _JOURNALS[owner] = path
     return store
 
 
@@ -128,11 +128,10 @@ def src_journal_by_tag(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("src_journal_jdbc", with_views("ev", f"{WRITTEN} SELECT {_STORED_COLUMNS} FROM stored"))
 def src_journal_jdbc(spark: SparkSession, sf: str) -> DataFrame:
-    """The store is chosen by its format name; here the same events are copied into ORC and read back."""
+    """The store is chosen by its format name; here the same events are appended to an ORC journal and read back."""
     events = written_journal(spark, sf).events()
     copy = Journal(spark, scratch(spark, "journal-orc"), fmt="orc", buckets=JOURNAL_BUCKETS)
-    by_folder = events.hint("rebalance", "batch", "pid_bucket")
-    by_folder.write.format(copy.fmt).partitionBy("batch", "pid_bucket").save(copy.path)
+    copy.append(events.select("persistence_id", "payload", "tags", "ts", "ordering"), ["ordering"])
     return _plain(copy.events())
 
 

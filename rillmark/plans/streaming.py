@@ -24,9 +24,9 @@ def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("bigint")
 
 
-def _events(spark: SparkSession, sf: str, trigger_bytes: int = S.TRIGGER_BYTES) -> DataFrame:
+def _events(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a stream; event time is a timestamp in UTC because watermarks need one."""
-    return S.table_stream(spark, sf, "events", trigger_bytes).withColumn("ts", F.col("ts").cast("timestamp"))
+    return S.table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("st_map_filter", with_views("ev", "SELECT seq, cents * 2 AS value FROM ev WHERE cents % 2 = 0"))
@@ -81,21 +81,17 @@ def st_session(spark: SparkSession, sf: str) -> DataFrame:
     rows = found.select(
         "user_id", F.unix_micros("first").alias("start_us"), F.unix_micros("last").alias("last_us"), "n_events", "closing"
     )
-    path, checkpoint = scratch(spark, "session"), scratch(spark, "session-checkpoint")
-    writer = rows.writeStream.format("parquet").option("path", path)
-    with S.stateful(spark):
-        S.drain(writer, checkpoint)
-        close_all()
-        S.drain(writer, checkpoint)
-    return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
+    return S.drain_closed(spark, rows, close_all, "session")
 
 
 @query("st_stateful_fold", with_views("ev ledger", ACCOUNT))
 def st_stateful_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Guarded balances; a later far-future row releases what still waits for the watermark."""
     amount = F.when(F.col("event_type") == "purchase", -_cents()).otherwise(_cents())
-    ledger = _events(spark, sf, S.KEYED_TRIGGER_BYTES).select(F.col("event_id").alias("seq"), "user_id", amount.alias("amount"))
-    with S.stateful(spark):
-        return S.drain_to_table(S.guarded_account_stream(ledger, "user_id", "seq", "amount"), "account")
+    ledger = _events(spark, sf).select(F.col("event_id").alias("seq"), "user_id", amount.alias("amount"), "ts")
+    marked, release_all = S.with_sentinel(ledger, "ts")
+    rows = S.guarded_account_stream(marked.withWatermark("ts", S.REPLAY_LATENESS), "user_id", "ts", "seq", "amount")
+    return S.drain_closed(spark, rows, release_all, "account")
 
 
 @query(
@@ -107,18 +103,10 @@ def st_stateful_fold(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def st_state_timer(spark: SparkSession, sf: str) -> DataFrame:
-    """Timeouts of silent users from state timers; a later far-future row fires those still armed."""
-    small = _events(spark, sf, S.KEYED_TRIGGER_BYTES)
-    events, fire_all = S.with_sentinel(small.select("user_id", "ts"), "ts")
-    marked = events.withColumn("ts_ms", F.floor(F.unix_micros("ts") / 1000)).withWatermark("ts", S.REPLAY_LATENESS)
-    rows = S.silence_stream(marked, "user_id", 8 * HOUR_US // 1000)
-    path, checkpoint = scratch(spark, "timer"), scratch(spark, "timer-checkpoint")
-    writer = rows.writeStream.format("parquet").option("path", path)
-    with S.stateful(spark):
-        S.drain(writer, checkpoint)
-        fire_all()
-        S.drain(writer, checkpoint)
-    return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
+    """Timeouts of silent users from their rows and from state timers; a later far-future row fires those still armed."""
+    events, fire_all = S.with_sentinel(_events(spark, sf).select("user_id", "ts"), "ts")
+    marked = events.withWatermark("ts", S.REPLAY_LATENESS)
+    return S.drain_closed(spark, S.silence_stream(marked, "user_id", "ts", 8 * HOUR_US // 1000), fire_all, "timer")
 
 
 @query(
@@ -126,11 +114,17 @@ def st_state_timer(spark: SparkSession, sf: str) -> DataFrame:
     with_views("ev", f"{WRITTEN} SELECT ordering, persistence_id, amount FROM stored WHERE priority = 'p1'"),
 )
 def st_journal_live(spark: SparkSession, sf: str) -> DataFrame:
-    """Live tail of one tag."""
+    """Live tail of one tag: each published batch brings its tagged events, found by the tag index."""
     store = written_journal(spark, sf)
-    schema = spark.read.format(store.fmt).load(store.path).schema
-    tagged = store.stream(schema).where(F.array_contains("tags", "p1"))
-    return S.drain_to_table(tagged.select("ordering", "persistence_id", "payload.amount"), "live")
+    path = scratch(spark, "live")
+    keep = S.batch_writer(path)
+
+    def take(published: DataFrame, batch_id: int) -> None:
+        tagged = store.by_tag("p1", parts=store.published(published))
+        keep(tagged.select("ordering", "persistence_id", "payload.amount"), batch_id)
+
+    S.drain(store.stream_parts().writeStream.foreachBatch(take), scratch(spark, "live-checkpoint"))
+    return spark.read.parquet(path).select("ordering", "persistence_id", "amount")
 
 
 @query(

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCHEMAS: dict[str, object] = {}
+_SCHEMAS: dict[tuple[str, int], object] = {}
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -31,11 +31,12 @@ def session(app: str = "rillmark", master: str | None = None, **conf: str) -> Sp
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; the schema is read from the file footer once per process."""
+    """Read one table; the schema is read from the file footer again when the table has changed."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    known = (path, changed_at(spark, path))
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
@@ -49,7 +50,9 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = _LOCAL_SCRATCH.setdefault(context.applicationId, tempfile.mkdtemp(prefix="rillmark-"))
+        if context.applicationId not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="rillmark-")
+        base = _LOCAL_SCRATCH[context.applicationId]
     return os.path.join(base, "rillmark", f"{purpose}-{uuid.uuid4().hex}")
 
 
@@ -59,6 +62,19 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder last changed, in milliseconds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getModificationTime()
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame, the same figure the automatic broadcast check uses."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -7,11 +7,12 @@ from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rillmark.session import folder_exists, load, scratch
 
@@ -19,9 +20,12 @@ FAR_FUTURE = "2200-01-01 00:00:00"
 # files of a replayed history arrive in any time order and no row may be dropped as late; a live
 # stream would allow minutes, so that closed windows leave the state earlier
 REPLAY_LATENESS = "3650 days"
-# input bytes per trigger; the smaller one bounds the rows of one key that Python state code sees at once
+# input bytes per trigger
 TRIGGER_BYTES = 256 << 30
-KEYED_TRIGGER_BYTES = 1 << 30
+# a key's rows wait and are folded by slots of event time; Python sees one slot of one key at once
+REPLAY_SLOT_MS = 7 * 24 * 3_600_000
+# state partitions are fixed when a query first starts; unset: the shuffle partitions, two per core at most
+STATE_PARTITIONS = "spark.rillmark.state.partitions"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -75,12 +79,16 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
 
 
 def stateful(spark: SparkSession):
-    """State in RocksDB (on local disk, not in the heap), sessions merged before their shuffle, and no
-    more state partitions than two per core: their number is fixed when the query first starts."""
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    """State in RocksDB (on local disk, not in the heap) and sessions merged before their shuffle.
+
+    ``spark.rillmark.state.partitions`` sets the number of state partitions of queries that start from now on.
+    Choose it by the state that a query will hold: it cannot change later, a restart keeps the checkpoint's number.
+    """
+    chosen = spark.conf.get(STATE_PARTITIONS, None)
+    usual = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     return settings(
         spark,
-        spark__sql__shuffle__partitions=str(partitions),
+        spark__sql__shuffle__partitions=chosen or str(usual),
         spark__sql__streaming__stateStore__providerClass=_ROCKSDB,
         spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true",
     )
@@ -89,14 +97,21 @@ def stateful(spark: SparkSession):
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process everything available now, then return; a failed query raises, and so do rows dropped as late.
 
-    Late rows are counted in the progress that the session keeps (``spark.sql.streaming.numRecentProgressUpdates``
-    triggers); the rows written until then stay in the sink.
+    Dropped rows are added up over all triggers while the query runs; the rows written until then stay in the sink.
     """
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    late = sum(op["numRowsDroppedByWatermark"] for step in query.recentProgress for op in step["stateOperators"])
-    if late:
-        raise RuntimeError(f"{late} rows came after the watermark had passed them: allow more lateness")
+    spark = SparkSession.active()
+    late: dict[int, int] = {}
+    # far more triggers than can pass between two looks at the progress
+    with settings(spark, spark__sql__streaming__numRecentProgressUpdates="10000"):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        ended = False
+        while not ended:
+            # raises what ended the query
+            ended = query.awaitTermination(1)
+            for step in query.recentProgress:
+                late[step["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in step["stateOperators"])
+    if any(late.values()):
+        raise RuntimeError(f"{sum(late.values())} rows came after the watermark had passed them: allow more lateness")
 
 
 def drain_to_table(stream: DataFrame, purpose: str) -> DataFrame:
@@ -149,89 +164,170 @@ def with_sentinel(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], N
     return stream.unionByName(landed_stream(spark, landing, stream.schema)), send
 
 
-def guarded_account_stream(stream: DataFrame, key: str, order: str, amount: str) -> DataFrame:
-    """Balance per key that rejects overdrafts, kept across micro-batches.
-
-    Rows are ordered within a trigger; the triggers themselves must bring a key's rows in order.
-    """
-
-    def fold(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        balance = state.get[0] if state.exists else 0
-        # one key's rows of one trigger, whose size the source options bound
-        rows = pd.concat(list(batches)).sort_values(order)
-        accepted, balances = [], []
-        for change in rows[amount].tolist():
-            ok = balance + change >= 0
-            balance += change if ok else 0
-            accepted.append(ok)
-            balances.append(balance)
-        state.update((balance,))
-        yield rows.assign(accepted=accepted, balance=balances)[[order, key, amount, "accepted", "balance"]]
+Fold = Callable[[tuple | None, pd.DataFrame], tuple[tuple, pd.DataFrame]]
 
-    out = f"{order} bigint, {key} bigint, {amount} bigint, accepted boolean, balance bigint"
-    return (
-        stream.select(order, key, amount)
-        .groupBy(key)
-        .applyInPandasWithState(fold, out, "balance bigint", "append", GroupStateTimeout.NoTimeout)
-    )
 
+class OrderedState(StatefulProcessor):
+    """Folds the rows of a key in order, however the triggers bring them.
 
-class SilenceTimer(StatefulProcessor):
-    """Emits the instant at which a key has been silent for ``idle_ms``, from rows or from a timer."""
+    Rows wait in the state by slots of event time, as Arrow batches.  When the watermark passes the end of a slot no
+    more rows can come for it, so its timer takes the slot out, sorts it and folds it.  Timers fire in the
+    order of time, so the slots of a key follow one another.  With ``idle_ms`` the state also expires: ``expire`` is
+    asked once all rows up to that time after the key's last row have been folded and none has come.
+    """
 
-    def __init__(self, idle_ms: int) -> None:
-        self.idle_ms = idle_ms
+    def __init__(
+        self,
+        rows: T.StructType,
+        order: list[str],
+        time: str,
+        slot_ms: int,
+        state: str,
+        fold: Fold,
+        idle_ms: int | None = None,
+        expire: Callable[[tuple], pd.DataFrame] | None = None,
+    ) -> None:
+        self.rows, self.order, self.time, self.slot_ms = rows, order, time, slot_ms
+        self.state_schema, self.fold, self.idle_ms, self.expire = state, fold, idle_ms, expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "last_ms bigint")
+        self.handle, self.arrow = handle, to_arrow_schema(self.rows)
+        self.parts = handle.getMapState("parts", "slot bigint", "n int")
+        self.waiting = handle.getMapState("waiting", "slot bigint, part int", "batch binary")
+        self.state = handle.getValueState("state", self.state_schema)
+        # time of the last folded row
+        self.last = handle.getValueState("last", "ms bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
-        old_timer = None if last is None else last + self.idle_ms
-        expired = []
-        for now in sorted(ms for batch in rows for ms in batch["ts_ms"].tolist()):
-            if last is not None and now - last > self.idle_ms:
-                expired.append(last + self.idle_ms)
-            last = now if last is None else max(last, now)
-        if old_timer is not None:
-            self.handle.deleteTimer(old_timer)
-        self.handle.registerTimer(last + self.idle_ms)
-        self.last.update((last,))
-        yield self._rows(key, expired)
+    def _end(self, ms: int) -> int:
+        return (ms // self.slot_ms + 1) * self.slot_ms
 
-    @staticmethod
-    def _rows(key, expired: list[int]) -> pd.DataFrame:
-        # a null in a key would make every row a group of its own in Python
-        user = None if key[2] else key[0]
-        return pd.DataFrame(
-            {
-                "user_id": pd.array([user] * len(expired), "Int64"),
-                "closing": [bool(key[1])] * len(expired),
-                "expired_ms": pd.array(expired, "Int64"),
-            }
-        )
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            for slot, mine in batch.groupby(batch[self.time] // self.slot_ms):
+                at = (int(slot),)
+                n = self.parts.getValue(at)[0] if self.parts.containsKey(at) else 0
+                packed = pa.RecordBatch.from_pandas(mine[self.rows.names], self.arrow, preserve_index=False)
+                self.waiting.updateValue((*at, n), (packed.serialize().to_pybytes(),))
+                self.parts.updateValue(at, (n + 1,))
+                if n == 0:
+                    self.handle.registerTimer(self._end(int(slot) * self.slot_ms))
+                if self.idle_ms is not None:
+                    self.handle.registerTimer(self._end(int(mine[self.time].max()) + self.idle_ms))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        yield self._rows(key, [expiredTimerInfo.getExpiryTimeInMs()])
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        slot = (now // self.slot_ms - 1,)
+        if self.parts.containsKey(slot):
+            held = []
+            for part in range(self.parts.getValue(slot)[0]):
+                packed = self.waiting.getValue((*slot, part))[0]
+                held.append(pa.ipc.read_record_batch(pa.py_buffer(bytes(packed)), self.arrow))
+                self.waiting.removeKey((*slot, part))
+            self.parts.removeKey(slot)
+            # one slot of one key
+            rows = pa.Table.from_batches(held).to_pandas().sort_values(self.order, ignore_index=True)
+            state, out = self.fold(self.state.get() if self.state.exists() else None, rows)
+            self.state.update(state)
+            self.last.update((int(rows[self.time].max()),))
+            yield self._named(key, out)
+        if self.idle_ms is not None and self.last.exists() and self._end(self.last.get()[0] + self.idle_ms) <= now:
+            yield self._named(key, self.expire(self.state.get()))
+            self.last.clear()
+            self.state.clear()
+
+    @staticmethod
+    def _named(key, out: pd.DataFrame) -> pd.DataFrame:
+        return out.assign(**{name: value for name, value in zip(("named", "nameless", "closing"), key, strict=True)})
 
     def close(self) -> None:
         pass
 
 
-def silence_stream(stream: DataFrame, key: str, idle_ms: int) -> DataFrame:
-    """Silences per key; ``stream`` carries a watermark on ``ts``, the epoch milliseconds ``ts_ms`` and ``closing``.
+def ordered_fold(
+    stream: DataFrame,
+    key: str,
+    time: str,
+    order: list[str],
+    columns: list[str],
+    state: str,
+    out: str,
+    fold: Fold,
+    slot_ms: int = REPLAY_SLOT_MS,
+    idle_ms: int | None = None,
+    expire: Callable[[tuple], pd.DataFrame] | None = None,
+) -> DataFrame:
+    """A sequential fold per key over a stream whose triggers bring rows in any order.
 
-    Rows are ordered within a trigger; the triggers themselves must bring a key's rows in order.
+    ``stream`` has a watermark on the timestamp ``time``: rows are held until it has passed their slot of ``slot_ms``, so a
+    key's state is what arrived within the lateness that the watermark allows.  ``order`` must agree with event
+    time between slots.  ``fold(state, rows)`` gets the ``columns`` of one slot, in order, with ``ms`` (the event time), and
+    gives the new state and rows of the schema ``out``; ``expire(state)`` gives rows when a key was silent for ``idle_ms``.
+    Null keys are one key.  A column ``closing`` keeps the sentinel row apart, see ``with_sentinel``.
     """
-    return (
-        stream.withColumns({"nameless": F.col(key).isNull(), key: F.coalesce(key, F.lit(0))})
-        .groupBy(key, "closing", "nameless")
-        .transformWithStateInPandas(
-            SilenceTimer(idle_ms),
-            outputStructType="user_id bigint, closing boolean, expired_ms bigint",
-            outputMode="append",
-            timeMode="EventTime",
-        )
+    kind = stream.schema[key].dataType
+    closing = F.col("closing") if "closing" in stream.columns else F.lit(False)
+    # a null in a key would make every row a group of its own in Python
+    rows = stream.select(
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("named"),
+        F.col(key).isNull().alias("nameless"),
+        closing.alias("closing"),
+        F.col(time).alias("event_time"),
+        F.floor(F.unix_micros(time) / 1000).alias("ms"),
+        *columns,
+    )
+    held = T.StructType([rows.schema[c] for c in ("ms", *columns)])
+    folded = rows.groupBy("named", "nameless", "closing").transformWithStateInPandas(
+        OrderedState(held, order, "ms", slot_ms, state, fold, idle_ms, expire),
+        outputStructType=f"named string, nameless boolean, closing boolean, {out}",
+        outputMode="append",
+        timeMode="EventTime",
     )
+    results = T.StructType.fromDDL(out).names
+    return folded.select(F.when(~F.col("nameless"), F.col("named").cast(kind)).alias(key), "closing", *results)
+
+
+def drain_closed(spark: SparkSession, rows: DataFrame, close_all: Callable[[], None], purpose: str) -> DataFrame:
+    """Drain, send the sentinel, drain again: the table of all rows, without those of the sentinel."""
+    path, checkpoint = scratch(spark, purpose), scratch(spark, f"{purpose}-checkpoint")
+    writer = rows.writeStream.format("parquet").option("path", path)
+    with stateful(spark):
+        drain(writer, checkpoint)
+        close_all()
+        drain(writer, checkpoint)
+    return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
+
+
+def guarded_account_stream(
+    stream: DataFrame, key: str, time: str, order: str, amount: str, slot_ms: int = REPLAY_SLOT_MS
+) -> DataFrame:
+    """Balance per key that rejects overdrafts, in the order of ``order`` whatever trigger a row comes with."""
+
+    def fold(state: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        balance = state[0] if state else 0
+        accepted, balances = [], []
+        for change in rows[amount].tolist():
+            ok = balance + change >= 0
+            balance += change if ok else 0
+            accepted.append(ok)
+            balances.append(balance)
+        return (balance,), rows[[order, amount]].assign(accepted=accepted, balance=balances)
+
+    out = f"{order} bigint, {amount} bigint, accepted boolean, balance bigint"
+    return ordered_fold(stream, key, time, [order], [order, amount], "balance bigint", out, fold, slot_ms)
+
+
+def silence_stream(stream: DataFrame, key: str, time: str, idle_ms: int, slot_ms: int = REPLAY_SLOT_MS) -> DataFrame:
+    """``expired_ms``: the instants at which a key has been silent for ``idle_ms``, by its rows in time order or by a timer."""
+
+    def fold(state: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        before = rows["ms"].shift(1)
+        if state:
+            before = before.fillna(state[0])
+        silent = rows["ms"] - before > idle_ms
+        return (int(rows["ms"].iloc[-1]),), pd.DataFrame({"expired_ms": (before[silent] + idle_ms).astype("int64")})
+
+    def expire(state: tuple) -> pd.DataFrame:
+        return pd.DataFrame({"expired_ms": [state[0] + idle_ms]})
+
+    return ordered_fold(stream, key, time, ["ms"], [], "last_ms bigint", "expired_ms bigint", fold, slot_ms, idle_ms, expire)

@@ -5,7 +5,7 @@ from rillmark.functions import records
 from rillmark.operators import flows
 from rillmark.plans import all_queries
 from rillmark.session import scratch
-from rillmark.sources.journal import Journal, recover, replay, snapshots
+from rillmark.sources.journal import Journal, SnapshotStore, persist_lists, replay, snapshots
 from rillmark.streaming import streams as S
 
 
@@ -22,7 +22,7 @@ def _commands(spark, first, count):
 
 @pytest.fixture
 def journal(spark):
-    store = Journal(spark, scratch(spark, "test-journal"), buckets=4)
+    store = Journal(spark, scratch(spark, "test-journal"), buckets=4, bucket_rows=2)
     store.append(_commands(spark, 0, 10), ["o"], batch=0)
     store.append(_commands(spark, 10, 5), ["o"], batch=1)
     return store
@@ -49,25 +49,131 @@ def test_reads_by_id_and_tag(journal):
     assert [r[2] for r in _rows(journal.by_id("e2", 2, 4))] == [2, 3, 4]
     assert {r["persistence_id"] for r in journal.ids().collect()} == {"e0", "e1", "e2"}
     assert [r[0] for r in _rows(journal.by_tag("even", 9))] == [11, 13, 15]
+    assert _rows(journal.by_tag("none")) == _rows(journal.by_tag("even", 100)) == []
     plan = journal.by_id("e2")._jdf.queryExecution().executedPlan().toString()
     assert "pid_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
-def test_snapshot_and_tail_equal_full_replay(journal):
-    events, amount = journal.events(), F.col("payload.amount")
-    full = {tuple(r) for r in replay(events, amount).select("persistence_id", "total", "n_events", "next_id").collect()}
-    for every in (2, 100):
-        taken = snapshots(events, amount, every)
-        assert {tuple(r) for r in recover(events, taken, amount).collect()} == full
+def test_heads_and_tags_prune_what_is_read(journal):
+    assert all("-heads/" in f for df in (journal.ids(), journal.next_ids()) for f in df.inputFiles())
+    assert {r["persistence_id"]: r["next_id"] for r in journal.next_ids().collect()} == {"e0": 6, "e1": 6, "e2": 6}
+    # the first batch ends with ordering 10
+    tagged = journal.by_tag("odd", 10)
+    assert all("part=b000000000001" in f for f in tagged.inputFiles())
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert any("tag_bucket" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_merged_parts_replay_the_same(spark, journal):
+    for batch in range(2, 9):
+        journal.append(_commands(spark, 5 + 5 * batch, 5), ["o"], batch=batch)
+    journal.append(_commands(spark, 0, 0), ["o"], batch=9)
+    reads = {
+        "events": journal.events, "id": lambda: journal.by_id("e1", 3, 9), "tag": lambda: journal.by_tag("even", 12),
+    }
+    before = {name: _rows(read()) for name, read in reads.items()}
+    heads = sorted(map(tuple, journal.last_numbers().collect()))
+    publish = journal._publish
+    # the run ends before the merge is published: nothing has changed
+    journal._publish = lambda *_: (_ for _ in ()).throw(KeyboardInterrupt)
+    with pytest.raises(KeyboardInterrupt):
+        journal.compact(20)
+    journal._publish = publish
+    assert len(journal.live()) == 10 and {n: _rows(r()) for n, r in reads.items()} == before
+    assert journal.compact(20) == 3 and journal.compact(20) == 3
+    assert {n: _rows(r()) for n, r in reads.items()} == before
+    assert sorted(map(tuple, journal.last_numbers().collect())) == heads
+    journal.append(_commands(spark, 50, 5), ["o"], batch=10)
+    journal.append(_commands(spark, 0, 5), ["o"], batch=3)
+    assert [r[0] for r in _rows(journal.events())] == list(range(1, 56))
+    assert [r[2] for r in _rows(journal.by_id("e1"))] == list(range(1, 19))
+
+
+def test_live_tail_brings_each_batch_once(spark, journal):
+    path, checkpoint, seen = scratch(spark, "tail"), scratch(spark, "tail-checkpoint"), []
+
+    def follow():
+        def take(published, _):
+            seen.extend(r["ordering"] for r in journal.by_tag("even", parts=journal.published(published)).collect())
+
+        S.drain(journal.stream_parts(1).writeStream.foreachBatch(take), checkpoint)
+
+    follow()
+    journal.compact(100)
+    journal.append(_commands(spark, 15, 5), ["o"], batch=2)
+    follow()
+    assert sorted(seen) == list(range(1, 20, 2)) and path
+
+
+def test_snapshot_and_tail_equal_full_replay(spark, journal):
+    amount = F.col("payload.amount")
+    columns = ["persistence_id", "total", "n_events", "next_id"]
+
+    def replayed():
+        return {tuple(r) for r in replay(journal.events(), amount).select(columns).collect()}
+
+    store = SnapshotStore(journal, amount)
+    assert {tuple(r) for r in store.recover().select(columns).collect()} == replayed()
+    for step in (lambda: store.take_every(2), store.take, lambda: store.take_every(100), lambda: journal.compact(100), store.take):
+        step()
+        assert {tuple(r) for r in store.recover().select(columns).collect()} == replayed()
+    for batch in range(2, 5):
+        journal.append(_commands(spark, 5 + 5 * batch, 5), ["o"], batch=batch)
+        assert {tuple(r) for r in store.recover().select(columns).collect()} == replayed()
+
+
+def test_recovery_reads_only_the_parts_with_a_tail(spark, journal):
+    store = SnapshotStore(journal, F.col("payload.amount"))
+    store.take()
+    journal.append(_commands(spark, 15, 3), ["o"], batch=2)
+    tail = store.tail()
+    assert sorted(r["ordering"] for r in tail.collect()) == [16, 17, 18]
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.split("PartitionFilters")[1].split("]")[0]
+    parts = journal.events().select("part").distinct().count()
+    assert parts == 3 and {r["part"] for r in tail.select("part").distinct().collect()} == {"b000000000002"}
+
+
+def test_a_snapshot_that_was_lost_is_not_read(spark, journal):
+    store = SnapshotStore(journal, F.col("payload.amount"))
+    store.take()
+    # a run that ended before it committed left a folder without files
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{store.path}/000000000001-all")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    assert sorted(r["n_events"] for r in store.recover().collect()) == [5, 5, 5]
 
 
 def test_twenty_messages_with_a_snapshot_after_ten(spark):
-    events = spark.range(1, 21).select(
-        F.lit("simple").alias("persistence_id"), F.col("id").alias("sequence_number"), F.lit(1).alias("amount")
-    )
-    taken = snapshots(events, F.col("amount"), 10).where("sequence_number = 10")
-    assert [r["total"] for r in taken.collect()] == [10]
-    assert [(r["total"], r["next_id"]) for r in recover(events, taken, F.col("amount")).collect()] == [(20, 21)]
+    journal = Journal(spark, scratch(spark, "twenty"))
+    rows = spark.range(1, 21).select(
+        F.lit("simple").alias("persistence_id"), F.struct(F.lit(1).alias("amount")).alias("payload"),
+        F.array().cast("array<string>").alias("tags"), F.current_timestamp().alias("ts"), "id",
+    )
+    journal.append(rows.where("id <= 10"), ["id"], 0)
+    store = SnapshotStore(journal, F.col("payload.amount"))
+    assert [r["total"] for r in store.take_every(10).collect()] == [10]
+    journal.append(rows.where("id > 10"), ["id"], 1)
+    assert [(r["total"], r["next_id"]) for r in store.recover().collect()] == [(20, 21)]
+
+
+def test_lists_reserve_consecutive_ids(spark):
+    journal = Journal(spark, scratch(spark, "lists"), buckets=4)
+
+    def lists(*rows):
+        df = spark.createDataFrame(rows, "persistence_id string, o long, items array<string>")
+        return df.select("*", F.array(F.lit("t")).alias("tags"), F.timestamp_micros("o").alias("ts"))
+
+    persist_lists(journal, lists(("a", 1, ["p", "q"]), ("a", 2, []), ("b", 3, ["x"]), ("a", 4, ["r", "s", "t"])), ["o"], 0)
+    persist_lists(journal, lists(("c", 5, ["z"]), ("a", 6, ["u", "v"]), (None, 7, ["n"]), (None, 8, ["m"])), ["o"], 1)
+    # the run that appended it was lost, and does so again
+    persist_lists(journal, lists(("a", 6, ["u", "v"])), ["o"], 1)
+    rows = journal.events().select("persistence_id", "sequence_number", "payload.*").collect()
+    got = sorted(((r["persistence_id"] or "", r["sequence_number"], r["base"], r["place"], r["item"]) for r in rows))
+    assert got == [
+        ("", 1, 1, 0, "n"), ("", 2, 2, 0, "m"),
+        ("a", 1, 1, 0, "p"), ("a", 2, 1, 1, "q"), ("a", 3, 3, 0, "r"), ("a", 4, 3, 1, "s"), ("a", 5, 3, 2, "t"),
+        ("a", 6, 6, 0, "u"), ("a", 7, 6, 1, "v"), ("b", 1, 1, 0, "x"), ("c", 1, 1, 0, "z"),
+    ]
 
 
 def test_counter_stream(spark):
@@ -113,29 +219,30 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
         scratch(Session, "x")
 
 
-def test_a_lost_batch_gives_no_number_twice(spark):
-    store = Journal(spark, scratch(spark, "lost-heads"), buckets=4)
-    write_heads = store._write_heads
+@pytest.mark.parametrize("lost", ["_write_part", "_publish"])
+def test_a_lost_append_is_written_again(spark, lost):
+    store = Journal(spark, scratch(spark, "lost-append"), buckets=4)
     for batch in range(3):
-        # the run ends between the events and their heads, before the next batch comes
-        store._write_heads = lambda _: None
-        settle, store._settle = store._settle, lambda n: write_heads(n)
+        # the run ends with or without written events, before the batch is published
+        whole = getattr(store, lost)
+        setattr(store, lost, lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            store.append(_commands(spark, 100, 7), ["o"], batch=batch)
+        setattr(store, lost, whole)
         store.append(_commands(spark, 3 * batch, 3), ["o"], batch=batch)
-        store._settle = settle
     rows = _rows(store.events())
     assert [r[0] for r in rows] == list(range(1, 10))
     assert all([r[2] for r in rows if r[1] == f"e{k}"] == [1, 2, 3] for k in range(3))
 
 
-def test_heads_are_derived_from_events_or_the_append_fails(spark):
+def test_batches_come_in_turn_and_may_be_empty(spark):
     store = Journal(spark, scratch(spark, "absent-batch"), buckets=4)
     with pytest.raises(ValueError, match="batch 0"):
         store.append(_commands(spark, 0, 3), ["o"], batch=1)
-    write_heads, store._write_heads = store._write_heads, lambda _: None
-    store.append(_commands(spark, 0, 3), ["o"], batch=0)
-    store._write_heads = write_heads
-    store.append(_commands(spark, 3, 0), ["o"], batch=1)
-    store.append(_commands(spark, 3, 3), ["o"], batch=2)
+    with pytest.raises(ValueError, match="nothing"):
+        store.events()
+    for batch, (first, count) in enumerate([(0, 0), (0, 3), (3, 0), (3, 3)]):
+        store.append(_commands(spark, first, count), ["o"], batch=batch)
     assert [r[0] for r in _rows(store.events())] == [1, 2, 3, 4, 5, 6]
 
 
