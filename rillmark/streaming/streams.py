@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,10 @@ FAR_FUTURE = "2200-01-01 00:00:00"
 REPLAY_LATENESS = "3650 days"
 # input bytes per trigger
 TRIGGER_BYTES = 256 << 30
-# a key's rows wait and are folded by slots of event time; Python sees one slot of one key at once
+# a key's rows wait and are released by slots of event time
 REPLAY_SLOT_MS = 7 * 24 * 3_600_000
+# waiting rows of a key that are folded at once, and the rows of the slot that goes beyond
+RELEASE_ROWS = 50_000
 # state partitions are fixed when a query first starts; unset: the shuffle partitions, two per core at most
 STATE_PARTITIONS = "spark.rillmark.state.partitions"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -171,9 +174,9 @@ class OrderedState(StatefulProcessor):
     """Folds the rows of a key in order, however the triggers bring them.
 
     Rows wait in the state by slots of event time, as Arrow batches.  When the watermark passes the end of a slot no
-    more rows can come for it, so its timer takes the slot out, sorts it and folds it.  Timers fire in the
-    order of time, so the slots of a key follow one another.  With ``idle_ms`` the state also expires: ``expire`` is
-    asked once all rows up to that time after the key's last row have been folded and none has come.
+    more rows can come for it: its timer takes out the slots that are due, in order, and folds them, as many at
+    once as hold ``RELEASE_ROWS`` (at least one).  With ``idle_ms`` the state also expires: ``expire`` is asked once all
+    rows up to that time after the key's last row have been folded and none has come.
     """
 
     def __init__(
@@ -203,34 +206,51 @@ class OrderedState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            for slot, mine in batch.groupby(batch[self.time] // self.slot_ms):
-                at = (int(slot),)
-                n = self.parts.getValue(at)[0] if self.parts.containsKey(at) else 0
-                packed = pa.RecordBatch.from_pandas(mine[self.rows.names], self.arrow, preserve_index=False)
-                self.waiting.updateValue((*at, n), (packed.serialize().to_pybytes(),))
-                self.parts.updateValue(at, (n + 1,))
+            ordered = batch.sort_values(self.time, ignore_index=True)
+            times = ordered[self.time].to_numpy()
+            slots = times // self.slot_ms
+            packed = pa.RecordBatch.from_pandas(ordered[self.rows.names], self.arrow, preserve_index=False)
+            starts = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
+            for first, end in zip(starts, starts[1:], strict=False):
+                slot = int(slots[first])
+                n = self.parts.getValue((slot,))[0] if self.parts.containsKey((slot,)) else 0
+                self.waiting.updateValue((slot, n), (packed.slice(first, end - first).serialize().to_pybytes(),))
+                self.parts.updateValue((slot,), (n + 1,))
                 if n == 0:
-                    self.handle.registerTimer(self._end(int(slot) * self.slot_ms))
+                    self.handle.registerTimer(self._end(int(times[first])))
                 if self.idle_ms is not None:
-                    self.handle.registerTimer(self._end(int(mine[self.time].max()) + self.idle_ms))
+                    self.handle.registerTimer(self._end(int(times[end - 1]) + self.idle_ms))
         return iter(())
 
+    def _due(self, watermark: int) -> Iterator[pd.DataFrame]:
+        """Rows of the slots that end by then, in order, some ``RELEASE_ROWS`` at once."""
+        held: list[pa.RecordBatch] = []
+
+        def ordered() -> pd.DataFrame:
+            return pa.Table.from_batches(held).to_pandas().sort_values(self.order, ignore_index=True)
+
+        for slot in sorted(slot for (slot,) in self.parts.keys() if (slot + 1) * self.slot_ms <= watermark):
+            for part in range(self.parts.getValue((slot,))[0]):
+                packed = self.waiting.getValue((slot, part))[0]
+                held.append(pa.ipc.read_record_batch(pa.py_buffer(bytes(packed)), self.arrow))
+                self.waiting.removeKey((slot, part))
+            self.parts.removeKey((slot,))
+            if sum(map(len, held)) >= RELEASE_ROWS:
+                yield ordered()
+                held.clear()
+        if held:
+            yield ordered()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = expiredTimerInfo.getExpiryTimeInMs()
-        slot = (now // self.slot_ms - 1,)
-        if self.parts.containsKey(slot):
-            held = []
-            for part in range(self.parts.getValue(slot)[0]):
-                packed = self.waiting.getValue((*slot, part))[0]
-                held.append(pa.ipc.read_record_batch(pa.py_buffer(bytes(packed)), self.arrow))
-                self.waiting.removeKey((*slot, part))
-            self.parts.removeKey(slot)
-            # one slot of one key
-            rows = pa.Table.from_batches(held).to_pandas().sort_values(self.order, ignore_index=True)
-            state, out = self.fold(self.state.get() if self.state.exists() else None, rows)
+        if self.parts.containsKey((now // self.slot_ms - 1,)):
+            state = self.state.get() if self.state.exists() else None
+            for rows in self._due(timerValues.getCurrentWatermarkInMs()):
+                state, out = self.fold(state, rows)
+                last = int(rows[self.time].max())
+                yield self._named(key, out)
             self.state.update(state)
-            self.last.update((int(rows[self.time].max()),))
-            yield self._named(key, out)
+            self.last.update((last,))
         if self.idle_ms is not None and self.last.exists() and self._end(self.last.get()[0] + self.idle_ms) <= now:
             yield self._named(key, self.expire(self.state.get()))
             self.last.clear()
@@ -261,7 +281,7 @@ def ordered_fold(
 
     ``stream`` has a watermark on the timestamp ``time``: rows are held until it has passed their slot of ``slot_ms``, so a
     key's state is what arrived within the lateness that the watermark allows.  ``order`` must agree with event
-    time between slots.  ``fold(state, rows)`` gets the ``columns`` of one slot, in order, with ``ms`` (the event time), and
+    time between slots.  ``fold(state, rows)`` gets the ``columns`` of some slots, in order, with ``ms`` (the event time), and
     gives the new state and rows of the schema ``out``; ``expire(state)`` gives rows when a key was silent for ``idle_ms``.
     Null keys are one key.  A column ``closing`` keeps the sentinel row apart, see ``with_sentinel``.
     """
