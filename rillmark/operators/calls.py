@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from typing import Any
+from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,10 +66,54 @@ def keyed_call(
     return df.select(key, argument).mapInPandas(run, schema)
 
 
-@F.udtf(returnType="place: int, value: bigint", useArrow=True)
+@F.arrow_udtf(returnType="id bigint, place bigint, value bigint")
 class RangeToTriple:
-    """x becomes x .. 3x."""
+    """Table function of (id, x), a batch at a time: x becomes x .. 3x; null and what is negative give nothing."""
 
-    def eval(self, x: int):
-        for place, value in enumerate(range(x, 3 * x + 1)):
-            yield place, value
+    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+        known = rows.filter(pc.greater_equal(rows.column("x"), 0))
+        x = known.column("x").to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = 2 * x + 1
+        row = np.repeat(np.arange(len(x)), sizes)
+        place = np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+        ids = known.column("id").cast(pa.int64()).take(pa.array(row))
+        yield pa.table({"id": ids, "place": pa.array(place), "value": pa.array(x[row] + place)})
+
+
+class Stage(Protocol):
+    """A user-written stage: gets the batches of one task in turn and may hold state between them."""
+
+    def push(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]: ...
+
+    def finish(self) -> Iterator[pa.RecordBatch]: ...
+
+
+def stage(df: DataFrame, make: Callable[[], Stage], schema: T.StructType) -> DataFrame:
+    """Run a stage of its own in every task over Spark's Arrow batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = make()
+        for batch in batches:
+            yield from mine.push(batch)
+        yield from mine.finish()
+
+    return df.mapInArrow(run, schema)
+
+
+class KeepWhole:
+    """Filter stage: keeps rows whose number divides evenly; batches too small to be worth sending wait for more."""
+
+    def __init__(self, column: str, by: int, least: int = 1024) -> None:
+        self.column, self.by, self.least = column, by, least
+        self.held: list[pa.RecordBatch] = []
+
+    def push(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        numbers = batch.column(self.column)
+        divided = pc.multiply(pc.divide(numbers, self.by), self.by)
+        self.held.append(batch.filter(pc.equal(divided, numbers)))
+        if sum(map(len, self.held)) >= self.least:
+            yield from self.finish()
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        yield from self.held
+        self.held = []

@@ -52,11 +52,12 @@ MAX_TEXT = 20
 
 
 def text_policy(text: Column) -> Column:
-    """The four outcomes of a fussy word counter, checked in this order."""
+    """The five outcomes of a fussy word counter, checked in this order; null stands for what is no text."""
     first = F.substring(text, 1, 1)
     upper = (first == F.upper(first)) & (first != F.lower(first))
     return (
-        F.when(text == "", "reset")
+        F.when(text.isNull(), "escalate")
+        .when(text == "", "reset")
         .when(F.length(text) > MAX_TEXT, "skip")
         .when(~upper, "stop")
         .otherwise("ok")
@@ -64,17 +65,28 @@ def text_policy(text: Column) -> Column:
 
 
 def supervised_word_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, group: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    text: str,
+    group: Sequence[str] = (),
+    supervisor: Sequence[str] = (),
+    children_survive: bool = False,
 ) -> DataFrame:
     """Running word count per key under the policy above, as ``words`` on every row that is handled.
 
     With ``group`` a reset or a stop of any member hits all members of the group.  Rows after a stop
     are not handled.  Closed form: words so far minus words at the latest reset.
+
+    With ``supervisor`` a row that escalates restarts the supervisor of its key: that stops all children, or resets
+    them if ``children_survive``; children that had stopped stay so, and cannot escalate.  Without it such rows are
+    skipped.  The two levels compose: rows of stopped children go first, then escalations are counted per
+    supervisor, and each count is an epoch in which a child starts from zero.
     """
     rows = df.withColumn("policy", text_policy(F.col(text))).withColumn(
         "_words", F.when(F.col("policy") == "ok", word_count(F.col(text))).otherwise(F.lit(0))
     )
-    is_stop, is_reset = F.col("policy") == "stop", F.col("policy") == "reset"
+    is_stop, is_reset, rises = (F.col("policy") == kind for kind in ("stop", "reset", "escalate"))
     # nothing counts once a stop was seen, so resets and words can be folded along with the stops
     stops = {"_stopped": ("count", F.when(is_stop, 1))}
     if group:
@@ -83,7 +95,16 @@ def supervised_word_count(
         live = cuts.where(F.col("_stopped") == 0).table()
         scan = OrderedScan(live, order, [*keys, "_reset_no"]).upto(words=("sum", F.col("_words")))
         return scan.df.drop("_words", "_reset_no", "_stopped")
-    scan = OrderedScan(rows, order, keys).fold(upto={"_all": ("sum", F.col("_words"))}, before=stops)
+    epoch = []
+    if supervisor:
+        alive = OrderedScan(rows, order, keys).fold(before=stops).where(F.col("_stopped") == 0).table().drop("_stopped")
+        risen = {"_epoch": ("count", F.when(rises, 1))}
+        above = OrderedScan(alive, order, supervisor)
+        if children_survive:
+            rows, epoch = above.upto(**risen).table(), ["_epoch"]
+        else:
+            rows = above.before(**risen).where(F.col("_epoch") == 0).table().drop("_epoch")
+    scan = OrderedScan(rows, order, [*keys, *epoch]).fold(upto={"_all": ("sum", F.col("_words"))}, before=stops)
     scan = scan.upto(_base=("last", F.when(is_reset, F.col("_all")))).where(F.col("_stopped") == 0)
     words = F.col("_all") - F.coalesce("_base", F.lit(0))
-    return scan.df.withColumn("words", words).drop("_words", "_all", "_base", "_stopped")
+    return scan.df.withColumn("words", words).drop("_words", "_all", "_base", "_stopped", *epoch)

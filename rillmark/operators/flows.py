@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from rillmark.operators.scan import union_all, with_position
+from rillmark.operators.scan import join_same, union_all, with_position
 
 SORT_LIMIT = 100_000
 
@@ -126,11 +126,23 @@ def balance(df: DataFrame, order: Sequence[str], lanes: int) -> DataFrame:
     )
 
 
-def tee(df: DataFrame, *branches) -> tuple[DataFrame, ...]:
+def tee(df: DataFrame, *branches: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, ...]:
     """Feed one frame to several branches."""
     return tuple(df.transform(branch) for branch in branches)
 
 
+def tee_write(df: DataFrame, sinks: dict[str, Column], path: str) -> dict[str, DataFrame]:
+    """Write one frame to several tables, each with the rows of its condition; the input is computed once.
+
+    A row goes out once for each sink that takes it, and one writer puts the sinks into folders of their own.
+    """
+    taken = F.array_compact(F.array(*[F.when(condition, name) for name, condition in sinks.items()]))
+    routed = df.withColumn("sink", F.explode(taken))
+    routed.write.partitionBy("sink").parquet(path)
+    table = df.sparkSession.read.schema(routed.schema).parquet(path)
+    return {name: table.where(F.col("sink") == name).drop("sink") for name in sinks}
+
+
 def route_to_all(df: DataFrame, routees: Sequence[str]) -> DataFrame:
     """Every row once per routee of a fixed list."""
     return df.withColumn("routee", F.explode(F.array(*map(F.lit, routees))))
@@ -146,10 +158,21 @@ def random_slot(workers: Column, *row_id: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % workers
 
 
+# up to this many rows a key are trimmed by the tasks before the shuffle
+TRIM_ROWS = 1000
+
+
 def newest(df: DataFrame, order: Sequence[str], n: int, keys: Sequence[str]) -> DataFrame:
-    """The last ``n`` rows per key; tasks trim their rows to ``n`` per key before the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("age_rank", F.row_number().over(window)).where(F.col("age_rank") <= n)
+    """The last ``n`` rows per key, with ``age_rank`` from 1; up to ``TRIM_ROWS`` the tasks trim their rows before the shuffle.
+
+    More rows of a key are found by position, as in every scan, so that a heavy key is not one task's.
+    """
+    if n <= TRIM_ROWS:
+        window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        return df.withColumn("age_rank", F.row_number().over(window)).where(F.col("age_rank") <= n)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    placed = join_same(with_position(df, order, keys, "_pos"), sizes, keys)
+    return placed.withColumn("age_rank", F.col("_size") - F.col("_pos")).where(F.col("age_rank") <= n).drop("_size", "_pos")
 
 
 def throttle(df: DataFrame, order: Sequence[str], n: int, interval_s: int) -> DataFrame:

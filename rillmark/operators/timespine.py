@@ -23,6 +23,22 @@ def conflate(
     )
 
 
+SPINE = 10_000
+
+
+def numbered(df: DataFrame, n: Column, name: str) -> DataFrame:
+    """Each row ``n`` times (not at all below one), with its number from 0.
+
+    Rows expand in two levels, into blocks and then within them, so that no array has more than ``SPINE`` numbers up
+    to a square of that, however long the life of a key is.
+    """
+    blocks = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / SPINE)))
+    spread = df.withColumn("_end_no", n.cast("bigint") - 1).withColumn("_block_no", F.explode(blocks))
+    first = F.col("_block_no") * SPINE
+    inner = F.sequence(first, F.least(F.col("_end_no"), first + (SPINE - 1)))
+    return spread.select(*df.columns, F.explode(inner).alias(name))
+
+
 def fill_ticks(
     df: DataFrame, keys: Sequence[str], ts_us: str, order: Sequence[str], value: str, step_us: int
 ) -> DataFrame:
@@ -38,10 +54,9 @@ def fill_ticks(
         F.max_by(F.col(value), F.struct(*order)).alias("value")
     )
     following = F.lead("tick_us").over(Window.partitionBy(*keys).orderBy("tick_us"))
-    spans = ticks.withColumn("_until", F.coalesce(following - step_us, F.col("tick_us")))
-    filled = spans.select(
-        *keys, "value", F.posexplode(F.sequence("tick_us", "_until", F.lit(step_us))).alias("_j", "tick_us")
-    )
+    until = F.coalesce(following - step_us, F.col("tick_us"))
+    spans = ticks.withColumn("_n", F.floor((until - F.col("tick_us")) / step_us) + 1)
+    filled = numbered(spans.withColumnRenamed("tick_us", "_from"), F.col("_n"), "_j").withColumn("tick_us", F.col("_from") + F.col("_j") * step_us)
     return filled.select(
         *keys,
         "tick_us",
@@ -61,14 +76,15 @@ def missing_beats(
     """
     lives = df.groupBy(*keys).agg(F.min(ts_us).alias("_start"), F.max(ts_us).alias("_end"))
     first_beat = F.col("_start") + delay_us
-    beats = lives.where(first_beat <= F.col("_end")).select(
-        *keys, F.posexplode(F.sequence(first_beat, F.col("_end"), F.lit(period_us))).alias("beat_no", "beat_us")
+    n = F.floor((F.col("_end") - first_beat) / period_us) + 1
+    beats = numbered(lives.withColumn("_n", n), F.col("_n"), "beat_no").select(
+        *keys, "beat_no", (first_beat + F.col("beat_no") * period_us).alias("beat_us")
     )
     starts = lives.select(*keys, first_beat.alias("_first"))
     seen = (
         join_same(df.select(*keys, ts_us), starts, keys)
         .where(F.col(ts_us) >= F.col("_first"))
-        .select(*keys, F.floor((F.col(ts_us) - F.col("_first")) / period_us).cast("int").alias("beat_no"))
+        .select(*keys, F.floor((F.col(ts_us) - F.col("_first")) / period_us).alias("beat_no"))
         .distinct()
     )
     return join_same(beats, seen, [*keys, "beat_no"], "left_anti")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions import text
 from rillmark.operators import flows, timespine
-from rillmark.operators.scan import OrderedScan
+from rillmark.operators.scan import OrderedScan, union_all
 from rillmark.plans import views as V
 from rillmark.plans.views import HOUR_US, with_views, words
 from rillmark.registry import query
@@ -134,15 +134,31 @@ def agg_signed_counter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "agg_partitioned_sum",
-    """SELECT CAST(o_orderkey // 1000 AS BIGINT) AS bucket, bool_or(o_orderkey % 4999 = 17) AS failed,
-    CASE WHEN NOT bool_or(o_orderkey % 4999 = 17) THEN CAST(sum(o_orderkey) AS BIGINT) END AS value FROM orders GROUP BY 1""",
+    """WITH b AS (SELECT CAST(o_orderkey // 1000 AS BIGINT) AS bucket, bool_or(o_orderkey % 4999 = 17) AS failed,
+    CASE WHEN NOT bool_or(o_orderkey % 4999 = 17) THEN CAST(sum(o_orderkey) AS BIGINT) END AS value FROM orders GROUP BY 1)
+    SELECT 'bucket' AS scope, * FROM b
+    UNION ALL SELECT 'total', NULL, bool_or(failed), CASE WHEN NOT bool_or(failed) THEN CAST(sum(value) AS BIGINT) END FROM b
+    UNION ALL SELECT 'total of the rest', NULL, false, CAST(coalesce(sum(value), 0) AS BIGINT) FROM b""",
 )
 def agg_partitioned_sum(spark: SparkSession, sf: str) -> DataFrame:
-    """Range partitions summed separately; one bad element fails its whole partition."""
+    """Range partitions summed separately and then reduced; one bad element fails its partition, and that the total.
+
+    The total of the rest takes failed partitions as nothing.
+    """
     key = F.col("o_orderkey")
-    failed = F.bool_or(key % 4999 == 17)
+    bad = F.bool_or(key % 4999 == 17)
     buckets = load(spark, sf, "orders").groupBy(F.floor(key / 1000).alias("bucket"))
-    return buckets.agg(failed.alias("failed"), F.when(~failed, F.sum(key)).alias("value"))
+    parts = buckets.agg(bad.alias("failed"), F.when(~bad, F.sum(key)).alias("value"))
+    failed, total = F.bool_or("failed"), F.sum("value")
+    reduced = parts.agg(failed.alias("any"), total.alias("sum")).select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("total").alias("scope"), F.col("any").alias("failed"), F.when(~F.col("any"), F.col("sum")).alias("value")),
+                F.struct(F.lit("total of the rest").alias("scope"), F.lit(False).alias("failed"), F.coalesce("sum", F.lit(0)).alias("value")),
+            )
+        )
+    )
+    return union_all([parts.withColumn("scope", F.lit("bucket")), reduced]).select("scope", "bucket", "failed", "value")
 
 
 _CONFLATED = """, w AS (SELECT *, CAST(ts_us // 3600000000 AS BIGINT) AS hour FROM ev)

@@ -219,15 +219,18 @@ _PAGE = 100
     ),
 )
 def nested_explode(spark: SparkSession, sf: str) -> DataFrame:
-    """Playlists as nested pages of at most a hundred songs, flattened; an empty playlist keeps one row."""
-    songs = V.songs(spark, sf)
+    """Nested playlists, in pages of at most a hundred songs, flattened; an empty playlist keeps one row."""
     tie_break = ["artist", "title", "genre"]
-    hashed = songs.withColumn("_h", F.xxhash64(*tie_break))
-    placed = with_position(hashed, ["_h", *tie_break], ["playlist_id"], name="_n")
-    pages = placed.groupBy("playlist_id", F.floor(F.col("_n") / _PAGE).alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct("_n", *tie_break))).alias("songs")
-    )
-    lists = load(spark, sf, "orders").select(F.col("o_orderkey").alias("playlist_id"))
-    nested = lists.join(pages, "playlist_id", "left")
-    flat = nested.select("playlist_id", F.explode_outer("songs").alias("song"))
+
+    def nested() -> DataFrame:
+        hashed = V.songs(spark, sf).withColumn("_h", F.xxhash64(*tie_break))
+        placed = with_position(hashed, ["_h", *tie_break], ["playlist_id"], name="_n")
+        pages = placed.groupBy("playlist_id", F.floor(F.col("_n") / _PAGE).alias("page")).agg(
+            F.array_sort(F.collect_list(F.struct("_n", *tie_break))).alias("songs")
+        )
+        lists = load(spark, sf, "orders").select(F.col("o_orderkey").alias("playlist_id"))
+        return lists.join(pages, "playlist_id", "left")
+
+    playlists = V.stored_once(spark, sf, "lineitem", "playlists", nested)
+    flat = playlists.select("playlist_id", F.explode_outer("songs").alias("song"))
     return flat.select("playlist_id", "song.artist", "song.title", "song.genre")

@@ -112,20 +112,36 @@ def err_restart_state(spark: SparkSession, sf: str) -> DataFrame:
     return totals.select("seq", "user_id", "total")
 
 
-_POLICY = """, p AS (SELECT *, CASE WHEN text = '' THEN 'reset' WHEN length(text) > 20 THEN 'skip'
+_POLICIES = """, p AS (SELECT *, CASE WHEN text IS NULL THEN 'escalate' WHEN text = '' THEN 'reset' WHEN length(text) > 20 THEN 'skip'
     WHEN NOT regexp_matches(text, '^[A-Z]') THEN 'stop' ELSE 'ok' END AS policy,
-    CASE WHEN text = 'I like it' THEN 3 ELSE 0 END AS w FROM supervised),
+    CASE WHEN text = 'Tea at noon' THEN 3 ELSE 0 END AS w FROM supervised),
     live AS (SELECT *, count(*) FILTER (policy = 'stop') OVER (PARTITION BY {scope} ORDER BY seq
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stops FROM p),
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stops FROM p)"""
+_POLICY = _POLICIES + """,
     cut AS (SELECT *, count(*) FILTER (policy = 'reset') OVER (PARTITION BY {scope} ORDER BY seq) AS cut FROM live WHERE stops = 0)
     SELECT seq, user_id, policy, CAST(sum(CASE WHEN policy = 'ok' THEN w ELSE 0 END)
     OVER (PARTITION BY user_id, cut ORDER BY seq) AS BIGINT) AS words FROM cut"""
-
-
-@query("err_policy_wordcount", with_views("ev supervised", _POLICY.format(scope="user_id")))
+# children that die with their supervisor see no row after an escalation, surviving ones begin anew with it
+_ESCALATED = _POLICIES.format(scope="user_id") + """,
+    risen AS (SELECT *, count(*) FILTER (policy = 'escalate') OVER (PARTITION BY grp ORDER BY seq) AS epoch FROM live WHERE stops = 0),
+    kinds AS (SELECT 'stopped' AS children, seq, user_id, policy, w, 0 AS epoch FROM risen
+    WHERE epoch - CASE WHEN policy = 'escalate' THEN 1 ELSE 0 END = 0
+    UNION ALL SELECT 'restarted', seq, user_id, policy, w, epoch FROM risen),
+    cut AS (SELECT *, count(*) FILTER (policy = 'reset') OVER (PARTITION BY children, user_id, epoch ORDER BY seq) AS cut FROM kinds)
+    SELECT children, seq, user_id, policy, CAST(sum(CASE WHEN policy = 'ok' THEN w ELSE 0 END)
+    OVER (PARTITION BY children, user_id, epoch, cut ORDER BY seq) AS BIGINT) AS words FROM cut"""
+
+
+@query("err_policy_wordcount", with_views("ev supervised", _ESCALATED))
 def err_policy_wordcount(spark: SparkSession, sf: str) -> DataFrame:
-    counted = errors.supervised_word_count(V.supervised(spark, sf), ["user_id"], ["seq"], "text")
-    return counted.select("seq", "user_id", "policy", "words")
+    """Two kinds of supervisors, one for each ten users: an escalated failure stops their children, or restarts them."""
+    parts = []
+    for children in ("stopped", "restarted"):
+        counted = errors.supervised_word_count(
+            V.supervised(spark, sf), ["user_id"], ["seq"], "text", supervisor=["grp"], children_survive=children == "restarted"
+        )
+        parts.append(counted.select(F.lit(children).alias("children"), "seq", "user_id", "policy", "words"))
+    return union_all(parts)
 
 
 @query("err_all_for_one", with_views("ev supervised", _POLICY.format(scope="grp")))

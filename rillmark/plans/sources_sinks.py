@@ -19,6 +19,8 @@ from rillmark.streaming import streams as S
 
 
 JOURNAL_BUCKETS = 16
+# of the paced counter, in each batch
+TICKS = 5000
 
 
 _JOURNALS: dict[tuple[str, str, int], str] = {}
@@ -64,12 +66,16 @@ _STORED_COLUMNS = "ordering, persistence_id, sequence_number, id, amount"
 
 @query("src_counter_stream", with_views("ev", "SELECT seq AS tick, user_id, cents FROM ev"))
 def src_counter_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """A counter stream paces the log: tick i releases the event with sequence number i."""
+    """A counter paces the log: tick i releases the event with sequence number i, a fixed number of ticks in each batch.
+
+    The counter is endless; it is stopped after the first batch that released less than its ticks.
+    """
+    ticks = S.counter(spark, rows_per_batch=TICKS).withColumnRenamed("value", "tick")
     events = V.ev(spark, sf)
-    size = events.agg(F.max("seq") + 1).first()[0]
-    ticks = S.counter(spark, rows_per_batch=size).withColumnRenamed("value", "tick")
     paced = ticks.join(events, ticks["tick"] == events["seq"]).select("tick", "user_id", "cents")
-    return S.drain_to_table(paced, "counter")
+    path = scratch(spark, "counter")
+    S.run_until(paced, path, lambda released: released < TICKS)
+    return spark.read.schema(paced.schema).parquet(path)
 
 
 @query("src_text_lines", with_views("doc_lines", "SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, line FROM doc_lines"))
@@ -229,12 +235,7 @@ def sink_journal_append(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def sink_tee(spark: SparkSession, sf: str) -> DataFrame:
-    """One frame into two tables; the second sink has its own filter."""
-    events = V.ev(spark, sf).select("seq", "cents")
-    sinks = dict(zip(["all", "large"], flows.tee(events, lambda df: df, lambda df: df.where("cents > 5000")), strict=True))
-    back = []
-    for name, df in sinks.items():
-        path = scratch(spark, f"tee-{name}")
-        df.write.parquet(path)
-        back.append(spark.read.schema(df.schema).parquet(path).select(F.lit(name).alias("sink"), "seq", "cents"))
-    return union_all(back)
+    """One frame into two tables in one pass; the second sink has its own filter."""
+    sinks = {"all": F.lit(True), "large": F.col("cents") > 5000}
+    tables = flows.tee_write(V.ev(spark, sf).select("seq", "cents"), sinks, scratch(spark, "tee"))
+    return union_all([df.select(F.lit(name).alias("sink"), "seq", "cents") for name, df in tables.items()])

@@ -16,7 +16,6 @@ from rillmark.plans.sources_sinks import WRITTEN, written_journal
 from rillmark.plans.views import HOUR_US, with_views
 from rillmark.registry import query
 from rillmark.session import load, scratch
-from rillmark.sources.tables import RowGroupSource
 from rillmark.streaming import streams as S
 
 
@@ -203,11 +202,9 @@ def udf_keyed_call(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("udf_stage", "SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY event_type")
 def udf_stage(spark: SparkSession, sf: str) -> DataFrame:
-    """A user-written source (tasks share the row groups of Parquet files) and a user-written filter stage."""
-    spark.dataSource.register(RowGroupSource)
-    columns = load(spark, sf, "events").select("event_id", "event_type").schema
-    events = spark.read.format(RowGroupSource.name()).schema(columns).load(f"{sf}/events.parquet")
-    even = events.transform(lambda df: df.where(F.col("event_id") % 2 == 0))
+    """A user-written filter stage with state of its own between Spark's reader and an aggregation."""
+    events = load(spark, sf, "events").select("event_id", "event_type")
+    even = calls.stage(events, lambda: calls.KeepWhole("event_id", 2), events.schema)
     return even.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -240,6 +237,5 @@ def udaf_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("udtf_flatmap", "SELECT id, row_number() OVER (PARTITION BY id ORDER BY value) - 1 AS place, value FROM (SELECT p_partkey AS id, CAST(unnest(generate_series(p_size, 3 * p_size)) AS BIGINT) AS value FROM part)")
 def udtf_flatmap(spark: SparkSession, sf: str) -> DataFrame:
-    parts = load(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_size")
-    flat = parts.lateralJoin(calls.RangeToTriple(F.col("p_size").outer()))
-    return flat.select("id", F.col("place").cast("bigint"), "value")
+    parts = load(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("x"))
+    return calls.RangeToTriple(parts.asTable())

@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.operators.scan import with_position
 from rillmark.operators.substreams import lines
-from rillmark.session import load
+from rillmark.session import changed_at, load, scratch
 
 HOUR_US = 3_600_000_000
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored_once(spark: SparkSession, sf: str, table: str, purpose: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stand-in input that is a table of its own: written once per application and state of the table it comes from."""
+    owner = (spark.sparkContext.applicationId, sf, purpose, changed_at(spark, f"{sf.rstrip('/')}/{table}.parquet"))
+    if owner not in _STORED:
+        path = scratch(spark, purpose)
+        build().write.parquet(path)
+        _STORED[owner] = path
+    return spark.read.parquet(_STORED[owner])
+
 
 def ev(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "events").select(
@@ -72,9 +86,10 @@ def commands(spark: SparkSession, sf: str) -> DataFrame:
 def supervised(spark: SparkSession, sf: str) -> DataFrame:
     text = (
         F.when(_is("error"), "")
-        .when(_is("purchase"), "Amx" * 50)
-        .when(_is("signup") & (F.col("k") < 5), "lower case")
-        .otherwise("I like it")
+        .when(_is("purchase"), "A note of more than twenty characters")
+        .when(_is("signup") & (F.col("k") < 5), "small letters first")
+        .when(_is("view") & (F.col("k") == 7), None)
+        .otherwise("Tea at noon")
     )
     return ev(spark, sf).select("seq", "user_id", (F.col("user_id") % 10).alias("grp"), text.alias("text"))
 
@@ -203,8 +218,9 @@ VIEWS = {
     "commands": """SELECT seq, ts_us, user_id AS machine, CASE event_type WHEN 'signup' THEN 'init'
         WHEN 'view' THEN 'request' WHEN 'error' THEN 'other' ELSE 'money' END AS cmd, cents FROM ev""",
     "supervised": """SELECT seq, user_id, user_id % 10 AS grp, CASE WHEN event_type = 'error' THEN ''
-        WHEN event_type = 'purchase' THEN repeat('Amx', 50)
-        WHEN event_type = 'signup' AND k < 5 THEN 'lower case' ELSE 'I like it' END AS text FROM ev""",
+        WHEN event_type = 'purchase' THEN 'A note of more than twenty characters'
+        WHEN event_type = 'signup' AND k < 5 THEN 'small letters first'
+        WHEN event_type = 'view' AND k = 7 THEN NULL ELSE 'Tea at noon' END AS text FROM ev""",
     "kv_log": """SELECT seq, user_id AS id, CASE WHEN event_type = 'error' THEN 'del' ELSE 'put' END AS op, k AS v FROM ev""",
     "auth_log": """SELECT seq, user_id, CASE event_type WHEN 'signup' THEN 'register' ELSE 'authenticate' END AS kind,
         k % 5 AS pw FROM ev WHERE event_type IN ('signup', 'purchase')""",

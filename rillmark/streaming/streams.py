@@ -117,6 +117,28 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> None:
         raise RuntimeError(f"{sum(late.values())} rows came after the watermark had passed them: allow more lateness")
 
 
+def run_until(stream: DataFrame, path: str, ended: Callable[[int], bool]) -> int:
+    """Append an endless stream to a table until ``ended`` accepts the number of rows that a batch put out.
+
+    Returns the number of batches up to that one.  A batch that is written again replaces its folder.
+    """
+    spark = stream.sparkSession
+    counted = stream.observe("put_out", F.count(F.lit(1)).alias("n"))
+    writer = counted.writeStream.format("parquet").option("path", path)
+    writer = writer.option("checkpointLocation", scratch(spark, "run-until")).trigger(processingTime="0 seconds")
+    with settings(spark, spark__sql__streaming__numRecentProgressUpdates="10000"):
+        query = writer.start()
+        try:
+            while True:
+                for step in query.recentProgress:
+                    if "put_out" in step["observedMetrics"] and ended(step["observedMetrics"]["put_out"]["n"]):
+                        return step["batchId"] + 1
+                # raises what ended the query
+                query.awaitTermination(0.2)
+        finally:
+            query.stop()
+
+
 def drain_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Append the stream to a table and return the table."""
     spark = stream.sparkSession

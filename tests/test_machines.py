@@ -162,7 +162,7 @@ def test_nesting(spark, sizes):
 @pytest.mark.parametrize("all_for_one", [False, True])
 def test_supervised_word_count(spark, sizes, all_for_one):
     rng = random.Random(7)
-    texts = ["", "lower", "I like it", "Hi there  ", "Amx" * 20, "Three more words here"]
+    texts = ["", "lower", "Tea at noon", "Hi there  ", "Xyz" * 20, "Three more words here"]
     weights = [4, 1, 20, 10, 6, 10]
     log = [(i, k, k % 3, rng.choices(texts, weights)[0]) for i, k in enumerate(_keys(rng, 300))]
     words, stopped, expected = {}, set(), {}
@@ -185,6 +185,34 @@ def test_supervised_word_count(spark, sizes, all_for_one):
     assert {r["seq"]: r["words"] for r in got} == expected
 
 
+@pytest.mark.parametrize("survive", [False, True])
+def test_escalation(spark, sizes, survive):
+    """Supervisors with three children each: a failure that none handles restarts the supervisor."""
+    rng = random.Random(8)
+    texts = ["", "lower", "Tea at noon", "Xyz" * 20, "Two words", None]
+    log = [(i, k, k % 3, rng.choices(texts, [4, 1, 20, 6, 10, 2])[0]) for i, k in enumerate(_keys(rng, 300))]
+    words, dead, expected = {}, set(), {}
+    for seq, child, boss, text in log:
+        if child in dead:
+            continue
+        siblings = [k for k in range(9) if k % 3 == boss]
+        if text is None and survive:
+            words.update(dict.fromkeys(siblings, 0))
+        elif text is None:
+            dead.update(siblings)
+        elif text == "":
+            words[child] = 0
+        elif len(text) <= 20 and text[0].isupper():
+            words[child] = words.get(child, 0) + len(text.split(" "))
+        elif len(text) <= 20:
+            dead.add(child)
+        expected[seq] = words.get(child, 0)
+    df = spark.createDataFrame(log, "seq long, k long, g long, text string")
+    got = errors.supervised_word_count(df, ["k"], ["seq"], "text", supervisor=["g"], children_survive=survive)
+    assert {r["seq"]: r["words"] for r in got.collect()} == expected
+    assert "escalate" in {r["policy"] for r in got.select("policy").distinct().collect()}
+
+
 def test_fold_rows_keeps_null_keys_apart(spark):
     from pyspark.sql import types as T
 
