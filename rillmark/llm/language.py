@@ -19,17 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.llm.base import fold, stored
-from rillmark.llm.wordcache import WordValues
 
-# words per language, and n-grams per language and length, that every task holds
-WORDS = 20_000
-GRAMS = 10_000
+# scores that every task holds: a word or n-gram has one for each language, and languages have equal shares
+WORD_SCORES = 1_000_000
+GRAM_SCORES = 640_000
 LONGEST = 4
+# Spark's own hash of strings, by which words beyond the head are looked up
+SEED = 42
 # part of a language's mass that a form may have without having been seen in it
 UNSEEN = 0.5
 # distinct words a task counts before it hands them on
 FLUSH = 200_000
-PIECE = 100_000
 # texts scored at once
 TEXTS = 256
 
@@ -135,58 +135,6 @@ class Model:
     grams: dict[str, int]
     gram_scores: np.ndarray
 
-    def scores(self, words: list[bytes]) -> np.ndarray:
-        """Log frequency of each word, or of the n-grams it falls apart into, per language, as far as they are held here."""
-        out = np.zeros((len(words), len(self.languages)))
-        rows, places, owner, used = [], [], [], []
-        place_of = self.grams.get
-        for i, raw in enumerate(words):
-            known = self.words.get(raw)
-            if known is not None:
-                rows.append(i)
-                places.append(known)
-                continue
-            word, before = f"^{raw.decode()}$", len(used)
-            for at in range(len(word)):
-                for n in range(LONGEST, 0, -1):
-                    place = place_of(word[at : at + n])
-                    if place is not None:
-                        used.append(place)
-                        break
-            owner.append((i, before, len(used)))
-        out[rows] = self.word_scores[places]
-        if used:
-            total = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(self.gram_scores[used], axis=0)])
-            i, begin, end = np.array([o for o in owner if o[2] > o[1]], np.int64).T
-            # places overlap, so their sum speaks several times over: a word counts as one form
-            out[i] = (total[end] - total[begin]) / (end - begin)[:, None]
-        return out
-
-    def predict(self, texts: list[str | None], values: WordValues) -> tuple[list[str], np.ndarray]:
-        """Languages of some texts by what is held here alone; ``report`` joins the rest."""
-        names, sure = [], np.zeros(len(texts))
-        held: list[list[bytes]] = []
-        volume = 0
-        for i, text in enumerate(texts):
-            held.append(spoken_words(text.encode()) if text else [])
-            volume += len(held[-1])
-            if volume >= PIECE or i == len(texts) - 1:
-                rows = values.of([w for words in held for w in words])
-                b = 0
-                for j, words in enumerate(held, i + 1 - len(held)):
-                    a, b = b, b + len(words)
-                    if not self.languages or not texts[j] or not any(map(str.isalpha, texts[j])):
-                        names.append("und")
-                        continue
-                    total = rows[a:b].sum(0)
-                    # neighbouring words are no independent witnesses
-                    part = np.exp((total - total.max()) / max(1, len(words)) ** 0.5)
-                    best = int(np.argmax(total))
-                    names.append(self.languages[best])
-                    sure[j] = part[best] / part.sum()
-                held, volume = [], 0
-        return names, sure
-
 
 def _scored(counts: DataFrame, languages: list[str], totals: dict[str, int], kinds: int) -> DataFrame:
     """``form, scores``: the log of its share in each language, level where it is equally frequent in all."""
@@ -216,7 +164,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Model,
         return model, None, None
     grams = stored(gram_counts(words).withColumn("size", F.char_length("form")), "language-grams")
     scored = stored(_scored(words, languages, word_totals, words.select("form").distinct().count()), "language-word-scores")
-    forms, scores = _head(scored, words, ["lang"], WORDS)
+    forms, scores = _head(scored, words, ["lang"], WORD_SCORES // len(languages) ** 2)
     if forms:
         model.words, model.word_scores = {f.encode(): i for i, f in enumerate(forms)}, scores
     gram_totals = {(r.lang, r.size): int(r.n) for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
@@ -229,7 +177,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Model,
     for other in by_size[1:]:
         whole = whole.unionAll(other)
     gram_scored = stored(whole, "language-gram-scores")
-    forms, scores = _head(gram_scored, grams, ["lang", "size"], GRAMS)
+    forms, scores = _head(gram_scored, grams, ["lang", "size"], GRAM_SCORES // (LONGEST * len(languages) ** 2))
     if forms:
         model.grams, model.gram_scores = {f: i for i, f in enumerate(forms)}, scores
     return model, scored, gram_scored
@@ -288,7 +236,10 @@ def _looked_up(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _parts(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """Per text one row with what the head settles, and one per distinct word beyond the head."""
+    """Per text one row with what the head settles, and one per distinct word beyond the head.
+
+    ``item`` is the hash of id and text, ``key`` that of the word; rows of texts have a key of no use, which deals them out.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema[doc_id].dataType.simpleString()
 
@@ -296,12 +247,13 @@ def _parts(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
         known: Model = shared.value
         place_of = known.words.get
         width = len(known.languages)
+        hashed = xxhash.xxh64_intdigest
         # the last row is that of all words beyond the head
         scores = np.concatenate([known.word_scores, np.zeros((1, width))])
         for whole in batches:
             for begin in range(0, len(whole), TEXTS):
                 batch = whole.slice(begin, TEXTS)
-                texts = [t.as_py() for t in batch.column(1).cast(pa.large_binary())]
+                texts = [t.as_py() for t in batch.column(2).cast(pa.large_binary())]
                 bags = [Counter(spoken_words(t)) for t in texts]
                 forms = [w for bag in bags for w in bag]
                 times = np.fromiter((n for bag in bags for n in bag.values()), np.int64, len(forms))
@@ -309,30 +261,33 @@ def _parts(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
                 places = np.fromiter((place_of(w, -1) for w in forms), np.int64, len(forms))
                 sums = [np.bincount(text_of, times * scores[places, i], minlength=len(texts)).astype(float) for i in range(width)]
                 rare = np.flatnonzero(places < 0)
-                prints = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-                # no word holds a line feed, so the row of a text meets no score
-                words = [b"\n%d" % (p ^ i) for i, p in enumerate(prints.tolist())] + [forms[i] for i in rare.tolist()]
+                ids = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).tolist()
+                items = np.array([hashed(t, i & (2**64 - 1)) for t, i in zip(texts, ids, strict=True)], np.uint64).view(np.int64)
+                keys = np.array([hashed(forms[i], SEED) for i in rare.tolist()], np.uint64).view(np.int64)
                 owner = np.concatenate([np.arange(len(texts)), text_of[rare]])
                 held = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(texts) + 1) * width, pa.int32()), pa.array(np.stack(sums, 1).reshape(-1))
                 )
                 n = np.bincount(text_of, times, minlength=len(texts)).astype(np.int64)
                 spoken = [any(map(str.isalpha, t.decode())) for t in texts]
-                settled = pa.StructArray.from_arrays([pa.array(n), pa.array(spoken, pa.bool_()), held], names=["n_words", "spoken", "held"])
+                settled = pa.StructArray.from_arrays(
+                    [batch.column(0), pa.array(n), pa.array(spoken, pa.bool_()), held], names=["doc", "n_words", "spoken", "held"]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(owner)),
-                        pa.array(prints[owner]),
-                        pa.array(words, pa.binary()).cast(pa.string()),
-                        pa.array(np.concatenate([np.zeros(len(texts), np.int64), times[rare]])),
+                        pa.array(items[owner]),
+                        pa.array(np.concatenate([items ^ np.arange(len(texts)), keys])),
+                        pa.array(np.concatenate([np.zeros(len(texts), np.int64), times[rare]]), pa.int32()),
                         pa.concat_arrays([settled, pa.nulls(len(rare), settled.type)]),
                     ],
-                    names=["doc", "print", "form", "times", "whole"],
+                    names=["item", "key", "times", "whole"],
                 )
 
-    source = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-    whole = "whole struct<n_words:bigint,spoken:boolean,held:array<double>>"
-    return source.mapInArrow(score, f"doc {id_type}, print bigint, form string, times bigint, {whole}")
+    doc = F.col(doc_id)
+    seed = F.xxhash64(doc.isNull(), F.coalesce(doc.cast("string"), F.lit("")))
+    source = docs.select(doc.alias("doc"), seed.alias("seed"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    whole = f"whole struct<doc:{id_type},n_words:bigint,spoken:boolean,held:array<double>>"
+    return source.mapInArrow(score, f"item bigint, key bigint, times int, {whole}")
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -351,15 +306,17 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     others = docs.where(~training | F.col(lang).isNull()).select(F.col(text).alias("t"), F.lit("").alias("l"))
     unseen = word_counts(others, "t", "l").join(word_scores, "form", "left_anti")
     scored = word_scores.unionAll(stored(unseen_scores(unseen, model, gram_scores), "language-unseen"))
-    parts = _parts(docs, model, doc_id, text).join(scored, "form", "left")
+    scored = scored.select(F.xxhash64("form").alias("key"), "scores")
+    parts = _parts(docs, model, doc_id, text).join(scored, "key", "left")
     rare = F.col("whole").isNull()
     sums = [
         F.sum(F.when(rare, F.col("times") * F.get("scores", F.lit(i))).otherwise(F.get("whole.held", F.lit(i))))
         for i in range(len(model.languages))
     ]
     # rows that repeat an id and a text meet here; each gets its equal part of the sums
-    summed = parts.groupBy("doc", "print").agg(
+    summed = parts.groupBy("item").agg(
         F.sum(F.when(~rare, 1).otherwise(0)).alias("copies"),
+        F.first("whole.doc", ignorenulls=True).alias("doc"),
         F.max("whole.n_words").alias("n_words"),
         F.max("whole.spoken").alias("spoken"),
         F.array(*sums).alias("sums"),

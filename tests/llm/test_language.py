@@ -1,11 +1,15 @@
+import math
 from collections import Counter
+from functools import cache
+from zlib import crc32
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from rillmark.llm import language
 from rillmark.llm.base import table
-from rillmark.llm.wordcache import WordValues
-from tests.conftest import SF_CHECK
+from tests.conftest import SF_CHECK, SF_TINY
 from tests.llm.helpers import awkward, rows
 
 
@@ -38,15 +42,79 @@ def test_tables_keep_to_their_size(spark):
     assert language.most_frequent(counts.where("lang = 'a'"), ["lang"], 2).count() == 0
 
 
-def test_known_words_come_first_and_long_grams_before_short():
-    import numpy as np
+def plain(docs):
+    """Languages and scores by dictionaries of all words and n-grams; ``docs`` are (id, text, lang)."""
+    words, grams, kinds = {}, {}, {}
+    for doc, text, lang in docs:
+        if lang is not None and crc32(str("" if doc is None else doc).encode()) % 5:
+            words.setdefault(lang, Counter()).update(w.decode() for w in language.spoken_words((text or "").encode()))
+    words = {lang: counted for lang, counted in words.items() if counted}
+    names, forms = sorted(words), {w for counted in words.values() for w in counted}
+    for lang, counted in words.items():
+        for w in counted:
+            for n in range(1, 5):
+                grams.setdefault((lang, n), Counter()).update(f"^{w}$"[i : i + n] for i in range(len(w) + 3 - n))
+    for n in range(1, 5):
+        kinds[n] = len({g for lang in names for g in grams[lang, n]})
 
-    model = language.Model(["a", "b"], {b"the": 0}, np.array([[-1.0, -9.0]]), {"^un": 0, "u": 1, "n": 2, "und$": 3}, np.array([[-2.0, -1.0], [-5.0, -5.0], [-6.0, -6.0], [-7.0, -3.0]]))
-    scores = model.scores([b"the", b"und", b"zzz"])
-    # ^un at place 0, und$ before u at place 1, n at place 2
-    assert scores.tolist() == [[-1.0, -9.0], [-5.0, (-1.0 - 3.0 - 6.0) / 3], [0.0, 0.0]]
-    names, sure = model.predict(["the", "", None, "123 ...", "zzz"], WordValues(model.scores))
-    assert names == ["a", "und", "und", "und", "a"] and sure[4] == 0.5
+    def share(n, total, kinds):
+        return math.log((n + 0.5) / (total + 0.5 * (kinds + 1)))
+
+    def of_gram(gram):
+        n = len(gram)
+        return [share(grams[lang, n][gram], sum(grams[lang, n].values()), kinds[n]) for lang in names]
+
+    @cache
+    def of_word(word):
+        if word in forms:
+            return [share(words[lang][word], sum(words[lang].values()), len(forms)) for lang in names]
+        found = []
+        for at in range(len(word) + 2):
+            known = [g for g in language.grams_at(f"^{word}$", at) if any(grams[lang, len(g)][g] for lang in names)]
+            if known:
+                found.append(of_gram(known[0]))
+        return [sum(column) / len(found) for column in zip(*found, strict=True)] if found else [0.0] * len(names)
+
+    out = []
+    for doc, text, _ in docs:
+        held_out = crc32(str("" if doc is None else doc).encode()) % 5 == 0
+        if not names or not any(map(str.isalpha, text or "")):
+            out.append((doc, held_out, "und", 0.0))
+            continue
+        mine = [of_word(w.decode()) for w in language.spoken_words(text.encode())]
+        total = [sum(column) for column in zip(*mine, strict=True)] if mine else [0.0] * len(names)
+        most = max(total)
+        parts = [math.exp((x - most) / max(1, len(mine)) ** 0.5) for x in total]
+        out.append((doc, held_out, names[total.index(most)], round(1 / sum(parts), 7)))
+    return sorted(out, key=repr)
+
+
+def found_in(docs):
+    return sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 7)) for r in language.report(docs).collect()), key=repr)
+
+
+@pytest.mark.parametrize("held", [0, 400, 10**6])
+def test_plain_twin(spark, monkeypatch, held):
+    """Whatever part of the words and n-grams the tasks hold."""
+    monkeypatch.setattr(language, "WORD_SCORES", held)
+    monkeypatch.setattr(language, "GRAM_SCORES", held)
+    docs = table(spark, SF_TINY, "documents").select("doc_id", "text", "lang").limit(120)
+    cut = docs.withColumn("text", F.substring("text", 1, 300)).cache()
+    assert found_in(cut) == plain([tuple(r) for r in cut.collect()])
+
+
+def test_plain_twin_on_awkward_rows(spark):
+    docs = awkward(spark, "item", "key", "doc", "seed", "t", "whole")
+    more = spark.createDataFrame([(None, "zweite Zeile", None, None), (None, "other text", None, None), (6, "words", "en", None)] * 2, docs.select("doc_id", "text", "lang", "source").schema)
+    docs = docs.unionByName(more, allowMissingColumns=True)
+    assert found_in(docs) == plain([(r.doc_id, r.text, r.lang) for r in docs.collect()])
+
+
+def test_the_key_of_a_word_is_the_hash_of_spark(spark):
+    words = ["a", "straße", "x" * 100, ""]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    keys = [r[0] for r in df.select(F.xxhash64("w")).collect()]
+    assert [k & (2**64 - 1) for k in keys] == [xxhash.xxh64_intdigest(w.encode(), language.SEED) for w in words]
 
 
 def test_awkward_rows(spark):
