@@ -5,17 +5,19 @@ segment numbers) is a prefix fold.  A window over the key does it with one shuff
 ordinary size are always folded that way.  But a window puts all rows of a key into one task, so the
 rows of heavy keys (or of a log without keys) are taken apart first:
 
-1. counts per key over a sample find the keys with more rows than a task should hold; their number is
-   limited, which bounds the list that reaches the driver and the broadcast that marks their rows;
-2. quantiles of the order column give cut points, and each heavy log is shuffled by (key, chunk);
-3. a window folds inside the chunk, and each chunk is summarised to one row by partial aggregation;
-4. the summaries are folded over the chunks of a key, and the result (the carry) is joined back on
-   (key, chunk), the partitioning that the window already has.
-
-Cut points and heavy keys are literals in the plan, so a recomputed task puts each row into the same
-chunk again.  A fold over the result of an earlier fold reads its input twice; for heavy logs that
-input is first written to the shared scratch folder, so the work grows linearly with the folds.
-Inputs below ``spark.rillmark.scan.smallBytes`` skip the search: any one task can hold them.
+1. counts per key over a sample find the keys with more rows than a task should hold; they are a stored
+   table, broadcast to mark their rows, and are fewer than the table has tasks' worth of rows;
+2. the heavy rows are range-partitioned by (key, order), whatever types these have, into chunks of about a
+   task's rows, and written down, so that a recomputed task finds each row in the same chunk again;
+3. a window folds inside (key, chunk);
+4. only the first and the last key of a chunk can have rows in other chunks too.  Of these, each chunk is
+   summarised to one row a key, the summaries are folded over the chunks, and the result (the carry, two
+   rows a chunk at most) is broadcast and joined back.
+
+A fold over the result of an earlier fold reads its input twice; for heavy logs that input is first
+written to the shared scratch folder, so the work grows linearly with the folds.
+Inputs below ``spark.rillmark.scan.smallBytes`` skip the search if their plan cannot multiply rows: any one
+task can hold them.
 """
 
 from __future__ import annotations
@@ -25,21 +27,17 @@ from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rillmark.session import plan_bytes, scratch
+from rillmark.session import multiplies_rows, plan_bytes, scratch
 
-MAX_CHUNKS = 4096
 SMALL_BYTES = ("spark.rillmark.scan.smallBytes", 64 * 1024 * 1024)
 TASK_ROWS = ("spark.rillmark.scan.taskRows", 20_000_000)
 
-_CUT_SAMPLE = 2000
+# rows that the sample has of a key with as many rows as a task should hold
 _KEY_SAMPLE = 2000
 _CHUNK = "_chunk"
-_LOG = "_log"
 
 Folds = dict[str, tuple[str, Column]]
 
@@ -48,19 +46,15 @@ def _setting(spark: SparkSession, option: tuple[str, int]) -> int:
     return int(spark.conf.get(option[0], str(option[1])))
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether one task could hold the whole frame."""
-    return plan_bytes(df) <= _setting(df.sparkSession, SMALL_BYTES)
+def task_rows(spark: SparkSession) -> int:
+    """How many rows of one key a task should hold."""
+    return _setting(spark, TASK_ROWS)
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases along the given order column."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"order by a leading number or time, not by {name} ({kind.simpleString()})")
+def is_small(df: DataFrame) -> bool:
+    """Whether one task could hold the whole frame; not known of plans that may multiply rows."""
+    limit = _setting(df.sparkSession, SMALL_BYTES)
+    return limit > 0 and plan_bytes(df) <= limit and not multiplies_rows(df)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -72,40 +66,26 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Layout:
-    """Which logs are heavy (``None``: the one log without keys) and where they are cut."""
+    """Which logs are heavy (a stored table of keys; ``None``: the one log without keys), and their number of chunks."""
 
-    heavy: tuple[tuple, ...] | None
-    splits: tuple[float, ...]
+    heavy: DataFrame | None
+    chunks: int
 
 
-def find_layout(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> Layout | None:
+def find_layout(df: DataFrame, keys: Sequence[str]) -> Layout | None:
     """How to take the heavy logs of a frame apart; ``None`` if windows over the keys will do."""
     if is_small(df):
         return None
-    heavy, logs, rows = None, df, df.count()
-    task_rows = _setting(df.sparkSession, TASK_ROWS)
-    if rows <= task_rows:
-        return None
-    if keys:
-        # heavy keys stand out in a sample; a key misjudged near the limit costs balance, never rows
-        share = min(1.0, _KEY_SAMPLE / task_rows)
-        counts = df.select(*keys).sample(share, seed=7).groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
-        largest = counts.orderBy(F.desc("_n")).limit(MAX_CHUNKS).collect()
-        limit = rows / min(MAX_CHUNKS, ceil(rows / task_rows))
-        found = [row for row in largest if row["_n"] > limit]
-        if not found:
-            return None
-        heavy = tuple(tuple(row)[:-1] for row in found)
-        logs, rows = _mark_heavy(df, keys, heavy), sum(row["_n"] for row in found)
-    chunks = max(2, min(MAX_CHUNKS, ceil(rows / task_rows)))
-    # cut points only need to be about even, so a sample of the order column gives them
-    sample = logs.select(order_number(df, order[0]).alias("_number"))
-    sample = sample.sample(min(1.0, _CUT_SAMPLE * chunks / rows), seed=7)
-    shares = [i / chunks for i in range(1, chunks)]
-    cuts = sorted(set(sample.approxQuantile("_number", shares, 0.2 / chunks)))
-    if not cuts:
-        return None
-    return Layout(heavy, (float("-inf"), *cuts, float("inf")))
+    most = task_rows(df.sparkSession)
+    if not keys:
+        rows = df.count()
+        return Layout(None, ceil(rows / most)) if rows > most else None
+    # heavy keys stand out in a sample; a key misjudged near the limit costs balance, never rows
+    share = min(1.0, _KEY_SAMPLE / most)
+    counts = df.select(*keys).sample(share, seed=7).groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
+    heavy = counts.where(F.col("_n") > most)
+    rows = heavy.agg(F.sum("_n")).first()[0]
+    return None if rows is None else Layout(written(heavy.drop("_n"), "heavy-keys"), max(2, ceil(rows / most)))
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -115,25 +95,11 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
 
 
-def _marks(df: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> tuple[DataFrame, Column]:
-    """The heavy keys as a broadcast table (at most ``MAX_CHUNKS`` rows) and the join condition."""
-    fields = [T.StructField(f"_of_{k}", df.schema[k].dataType) for k in keys]
-    schema = T.StructType([*fields, T.StructField(_LOG, T.IntegerType())])
-    table = df.sparkSession.createDataFrame([(*key, i) for i, key in enumerate(heavy)], schema)
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
-    return F.broadcast(table), same
-
-
-def _mark_heavy(df: DataFrame, keys: Sequence[str], heavy: Sequence[tuple]) -> DataFrame:
-    marks, same = _marks(df, keys, heavy)
-    return df.join(marks, same).select(*df.columns, _LOG)
-
-
 class OrderedScan:
     """A log, its keys and its total order, to which running columns are added.
 
-    ``order`` must be a total order within a key and start with a number or a time.  A scan over a
-    frame derived from an earlier one may take over that one's ``layout``.
+    ``order`` must be a total order within a key.  A scan over a frame derived from an earlier one may take over
+    that one's ``layout``.
     """
 
     def __init__(
@@ -144,7 +110,7 @@ class OrderedScan:
         layout: Layout | None | str = "find",
     ) -> None:
         self.order, self.keys = list(order), list(keys)
-        self.layout = find_layout(df, self.order, self.keys) if layout == "find" else layout
+        self.layout = find_layout(df, self.keys) if layout == "find" else layout
         self._plain: DataFrame | None = df
         self._heavy: DataFrame | None = None
         self._folded = False
@@ -153,16 +119,14 @@ class OrderedScan:
 
     def _take_apart(self, df: DataFrame, layout: Layout) -> None:
         if layout.heavy is None:
-            self._plain, logs = None, df.withColumn(_LOG, F.lit(0))
+            self._plain, logs = None, df
         else:
-            marks, same = _marks(df, self.keys, layout.heavy)
-            self._plain = df.join(marks, same, "left_anti")
-            logs = _mark_heavy(df, self.keys, layout.heavy)
-        numbered = logs.withColumn("_number", order_number(df, self.order[0]))
-        cut = Bucketizer(
-            splits=list(layout.splits), inputCol="_number", outputCol=_CHUNK, handleInvalid="keep"
-        ).transform(numbered)
-        self._heavy = cut.withColumn(_CHUNK, F.col(_CHUNK).cast("int")).drop("_number")
+            # a key of the table has more rows than a task should hold
+            marks = F.broadcast(layout.heavy)
+            self._plain = join_same(df, marks, self.keys, "left_anti")
+            logs = join_same(df, marks, self.keys, "left_semi")
+        dealt = logs.repartitionByRange(layout.chunks, *self.keys, *self.order)
+        self._heavy = written(dealt.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
     def _each(self, change: Callable[[DataFrame], DataFrame]) -> OrderedScan:
         self._plain = None if self._plain is None else change(self._plain)
@@ -171,7 +135,7 @@ class OrderedScan:
 
     @property
     def df(self) -> DataFrame:
-        parts = [self._plain, None if self._heavy is None else self._heavy.drop(_LOG, _CHUNK)]
+        parts = [self._plain, None if self._heavy is None else self._heavy.drop(_CHUNK)]
         return union_all([part for part in parts if part is not None])
 
     def table(self) -> DataFrame:
@@ -202,8 +166,9 @@ class OrderedScan:
             self._plain = self._finish(local, plain.columns, spans, lambda name: F.lit(None))
         if self._heavy is not None:
             heavy = written(self._heavy, "scan") if self._folded else self._heavy
-            local = self._local(heavy, [_LOG, _CHUNK], spans).join(self._carry(heavy, spans), [_LOG, _CHUNK], "left")
-            self._heavy = self._finish(local, heavy.columns, spans, lambda name: F.col(f"_carry_{name}"))
+            by = [*self.keys, _CHUNK]
+            carried = join_same(self._local(heavy, by, spans), F.broadcast(self._carry(heavy, spans)), by, "left")
+            self._heavy = self._finish(carried, heavy.columns, spans, lambda name: F.col(f"_carry_{name}"))
         self._folded = True
         return self
 
@@ -216,13 +181,20 @@ class OrderedScan:
 
     def _carry(self, heavy: DataFrame, spans: dict[str, Folds]) -> DataFrame:
         folds, order = {**spans["upto"], **spans["before"]}, F.struct(*self.order)
-        parts = heavy.groupBy(_LOG, _CHUNK).agg(
+        if self.keys:
+            key = F.struct(*self.keys)
+            ends = heavy.groupBy(_CHUNK).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+            at_ends = ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("key"))
+            spread = at_ends.groupBy("key").count().where("count > 1").select("key.*")
+            heavy = join_same(heavy, F.broadcast(spread), self.keys, "left_semi")
+        parts = heavy.groupBy(*self.keys, _CHUNK).agg(
             *[_PARTIAL[kind](value, order).alias(f"_part_{name}") for name, (kind, value) in folds.items()]
         )
-        # one row per chunk: at most MAX_CHUNKS rows per log
-        earlier = Window.partitionBy(_LOG).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        # one row a chunk of each key
+        earlier = Window.partitionBy(*self.keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         merged = [_MERGE[kind](F.col(f"_part_{name}")).over(earlier) for name, (kind, _) in folds.items()]
-        return parts.select(_LOG, _CHUNK, *[m.alias(f"_carry_{n}") for m, n in zip(merged, folds, strict=True)])
+        carries = [m.alias(f"_carry_{n}") for m, n in zip(merged, folds, strict=True)]
+        return parts.select(*self.keys, _CHUNK, *carries)
 
     @staticmethod
     def _finish(

@@ -3,22 +3,25 @@
 Where a machine has a closed form it is written with running folds.  Where its next step truly depends
 on the previous decision, running folds first settle all rows whose outcome is certain, so that only
 the rest passes through ``fold_rows``: a sequential fold over sorted rows that keeps one state in
-memory and streams, however long the log of a key is.
+memory and streams, however long the log of a key is.  The guarded account goes further: the claims of a
+heavy key are walked in parts side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.functions.values import MIN_VOTING_AGE
-from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, union_all, with_position, written
+from rillmark.operators.scan import OrderedScan, join_same, ordered_reduce, task_rows, union_all, with_position, written
 
 Step = Callable[[dict[str, Any], tuple], tuple]
 
@@ -64,6 +67,10 @@ def nesting(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Colu
     return scan.df.withColumn("depth", depth).drop("_step", "_sum", "_low")
 
 
+# doubtful claims of a key that are settled one after another in one task
+CLAIMS = 1_000_000
+
+
 def guarded_balance(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str
 ) -> DataFrame:
@@ -72,7 +79,8 @@ def guarded_balance(
     Rejections only ever raise the balance, so the running sum minus its lowest point so far is a
     lower bound of it.  Withdrawals within that bound are certainly accepted.  The doubtful ones cut
     the log into segments; a segment is its doubtful claim plus the sum of certain amounts after it.
-    Only this one row per claim is folded sequentially, and the decision is joined back.
+    Only this one row per claim is settled in sequence, and the decision is joined back.  Keys with more
+    than ``CLAIMS`` of them (or than a task should hold) are settled part by part, see ``settled_in_parts``.
     """
     a = F.col(amount)
     scan = OrderedScan(df, order, keys)
@@ -87,6 +95,25 @@ def guarded_balance(
         F.coalesce(F.sum(F.when(~doubt, a)), F.lit(0)).alias("_sure"),
         F.coalesce(F.sum(F.when(doubt, F.col("_sum"))), F.lit(0)).alias("_at"),
     )
+    if scan.layout is None:
+        decided = _settled(segments, keys)
+    else:
+        # segments are numbered from 0, so this one row tells that a key has more
+        claims = min(CLAIMS, task_rows(df.sparkSession))
+        segments = written(segments, "claims")
+        long = segments.where(F.col("_segment") == claims).select(*keys)
+        light = _settled(join_same(segments, long, keys, "left_anti"), keys)
+        decided = union_all([light, settled_in_parts(join_same(segments, long, keys, "left_semi"), keys, claims)])
+    joined = join_same(rows, decided, [*keys, "_segment"])
+    return joined.select(
+        *df.columns,
+        (~doubt | F.col("_ok")).alias("accepted"),
+        (F.col("_sum") + F.col("_shift")).alias("balance"),
+    )
+
+
+def _settled(segments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_segment, _ok, _shift`` (balance minus running sum) of each claim, key by key in sequence."""
     key_count = len(keys)
 
     def decide(state: dict, row: tuple) -> tuple:
@@ -98,17 +125,105 @@ def guarded_balance(
         state["balance"] = balance + sure
         return (*row[:key_count], segment, accepted, balance - at)
 
-    schema = T.StructType(
-        _fields(segments, *keys, "_segment")
-        + [T.StructField("_ok", T.BooleanType()), T.StructField("_shift", T.LongType())]
-    )
-    decided = fold_rows(segments, keys, ["_segment"], decide, schema)
-    joined = join_same(rows, decided, [*keys, "_segment"])
-    return joined.select(
-        *df.columns,
-        (~doubt | F.col("_ok")).alias("accepted"),
-        (F.col("_sum") + F.col("_shift")).alias("balance"),
-    )
+    return fold_rows(segments, keys, ["_segment"], decide, _decisions(segments, keys))
+
+
+def _decisions(segments: DataFrame, keys: Sequence[str]) -> T.StructType:
+    ends = [T.StructField("_ok", T.BooleanType()), T.StructField("_shift", T.LongType())]
+    return T.StructType(_fields(segments, *keys, "_segment") + ends)
+
+
+@dataclass
+class Walk:
+    """A part of a log walked from one entry balance.
+
+    Its decisions are the same from every balance between ``low`` and ``high``, so there the part is a translation:
+    one piece of the piecewise translation that it is as a whole.
+    """
+
+    out: int
+    low: int
+    high: int
+    accepted: list[bool]
+    balances: list[int]
+
+    @classmethod
+    def of(cls, entry: int, claims: list[int], sures: list[int]) -> Walk:
+        balance, fall, rise, accepted, balances = entry, entry, 2**62, [], []
+        for claim, sure in zip(claims, sures, strict=True):
+            left = balance + claim
+            if left >= 0:
+                fall, balance = min(fall, left), left
+            else:
+                rise = min(rise, -1 - left)
+            accepted.append(left >= 0)
+            balances.append(balance)
+            balance += sure
+        return cls(balance, entry - fall, entry + rise, accepted, balances)
+
+
+def settled_in_parts(segments: DataFrame, keys: Sequence[str], claims: int) -> DataFrame:
+    """The decisions of ``_settled`` for keys with many claims, cut into parts of ``claims`` that tasks walk side by side.
+
+    A part maps its entry balance to its exit balance by a piecewise translation.  All parts are walked from a guess, each of
+    which yields one piece with the exact bounds where it holds.  Chaining the pieces of a key gives every part the
+    balance it is entered with; parts for which that falls outside their pieces are walked again from there.  Rejections
+    bring different balances together, so a few rounds do; each round settles the first open part of every key for
+    good, so there are never more rounds than parts.
+    """
+    parts = written(segments.withColumn("_part", F.floor(F.col("_segment") / claims)), "parts")
+    by = [*keys, "_part"]
+    key_fields = _fields(parts, *by)
+
+    def walked(entries: DataFrame, give: Callable[[pa.Table, int, Walk], pa.Table], schema: T.StructType) -> DataFrame:
+        def run(table: pa.Table) -> pa.Table:
+            table = table.sort_by("_segment")
+            entry = table.column("_entry")[0].as_py()
+            return give(table, entry, Walk.of(entry, table.column("_claim").to_pylist(), table.column("_sure").to_pylist()))
+
+        met = join_same(parts, entries.select(*by, "_entry"), by)
+        return met.groupBy(*by).applyInArrow(run, schema)
+
+    def piece(table: pa.Table, entry: int, walk: Walk) -> pa.Table:
+        ends = {"_entry": [entry], "_out": [walk.out], "_low": [walk.low], "_high": [walk.high]}
+        return pa.table({**{c: table.column(c).slice(0, 1) for c in by}, **ends})
+
+    def decisions(table: pa.Table, entry: int, walk: Walk) -> pa.Table:
+        shift = pc.subtract(pa.array(walk.balances, pa.int64()), table.column("_at"))
+        return pa.table({**{c: table.column(c) for c in (*keys, "_segment")}, "_ok": walk.accepted, "_shift": shift})
+
+    numbers = [T.StructField(c, T.LongType()) for c in ("_entry", "_out", "_low", "_high")]
+    piece_schema = T.StructType(key_fields + numbers)
+    pieces = walked(parts.select(*by).distinct().withColumn("_entry", F.lit(0).cast("bigint")), piece, piece_schema)
+    pieces = written(pieces, "pieces")
+    while True:
+        entries = written(_chained(pieces, keys, key_fields), "entries")
+        unknown = entries.where("NOT _known")
+        if unknown.isEmpty():
+            return walked(entries, decisions, _decisions(segments, keys))
+        pieces = written(union_all([pieces, walked(unknown, piece, piece_schema)]), "pieces")
+
+
+def _chained(pieces: DataFrame, keys: Sequence[str], key_fields: list[T.StructField]) -> DataFrame:
+    """The entry balance of every part as far as the pieces tell, and whether one of its pieces holds there.
+
+    Beyond the first part whose pieces do not, entries are guesses: the exit of the piece nearest to the entry.
+    """
+    known = F.collect_list(F.struct("_entry", "_out", "_low", "_high")).alias("_pieces")
+    rows = pieces.groupBy(*keys, "_part").agg(known)
+    width = len(keys)
+
+    def step(state: dict, row: tuple) -> tuple:
+        balance, found = state.get("balance", 0), row[width + 1]
+        holds = next((p for p in found if p["_low"] <= balance <= p["_high"]), None)
+        if holds:
+            state["balance"] = balance + holds["_out"] - holds["_entry"]
+        else:
+            state["balance"] = min(found, key=lambda p: abs(p["_entry"] - balance))["_out"]
+        return (*row[: width + 1], balance, holds is not None)
+
+    ends = [T.StructField("_entry", T.LongType()), T.StructField("_known", T.BooleanType())]
+    return fold_rows(rows, keys, ["_part"], step, T.StructType(key_fields + ends))
 
 
 def validate_votes(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -78,3 +79,11 @@ def changed_at(spark: SparkSession, path: str) -> int:
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame, the same figure the automatic broadcast check uses."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+_MULTIPLYING = re.compile(r"(?m)^[\s:+|-]*(?:\w+ )?(Generate|Join|Expand|MapIn\w+|FlatMap\w+|\w*UDTF)\b")
+
+
+def multiplies_rows(df: DataFrame) -> bool:
+    """Whether a plan has a step (join, explode, user code) after which its size estimate says nothing."""
+    return bool(_MULTIPLYING.search(df._jdf.queryExecution().optimizedPlan().toString()))

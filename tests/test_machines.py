@@ -38,6 +38,47 @@ def test_guarded_balance(spark, sizes):
     assert any(not ok for ok, _ in expected.values())
 
 
+@pytest.mark.parametrize("amounts", ["mixed", "equal claims", "falling claims", "rarely covered"])
+def test_claims_of_one_key_in_parts(spark, amounts):
+    """Parts of five claims each, walked side by side, for logs in which balances meet soon, late or never."""
+    rng = random.Random(12)
+    draw = {
+        "mixed": lambda i: rng.randrange(-60, 40),
+        "equal claims": lambda i: rng.choice([-10, -10, 10]) if i else 7,
+        "falling claims": lambda i: [64, -64, -32, -16, -8, -4, -2, -1][i % 8] + (i == 0),
+        "rarely covered": lambda i: -rng.randrange(1, 10**9) if rng.random() < 0.9 else rng.randrange(10**8),
+    }[amounts]
+    log = [(i, None if i % 4 == 1 else i % 4 // 2, draw(i)) for i in range(600)]
+    balance, expected = {}, {}
+    for seq, key, amount in log:
+        now = balance.get(key, 0)
+        ok = now + amount >= 0
+        balance[key] = now + amount if ok else now
+        expected[seq] = (ok, balance[key])
+    spark.conf.set("spark.rillmark.scan.smallBytes", "0")
+    spark.conf.set("spark.rillmark.scan.taskRows", "5")
+    try:
+        df = spark.createDataFrame(log, "seq long, k long, amount long")
+        got = states.guarded_balance(df, ["k"], ["seq"], "amount").collect()
+    finally:
+        spark.conf.unset("spark.rillmark.scan.smallBytes")
+        spark.conf.unset("spark.rillmark.scan.taskRows")
+    assert {r["seq"]: (r["accepted"], r["balance"]) for r in got} == expected
+
+
+def test_a_walk_holds_between_its_bounds():
+    rng = random.Random(13)
+    for _ in range(200):
+        claims, sures = ([rng.randrange(*span) for _ in range(rng.randrange(1, 9))] for span in ((-9, 0), (0, 5)))
+        sures = (sures * 9)[: len(claims)]
+        walk = states.Walk.of(entry := rng.randrange(20), claims, sures)
+        for other in range(40):
+            same = states.Walk.of(other, claims, sures)
+            holds = walk.low <= other <= walk.high
+            assert (same.accepted == walk.accepted) == holds
+            assert not holds or same.out - other == walk.out - entry
+
+
 def _vend(log, price, stock0, timeout, any_restarts):
     """(machine, seq, sub, reply, amount) of a vending machine, row by row."""
     out, machines = [], {}

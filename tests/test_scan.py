@@ -53,7 +53,7 @@ def test_keyed_and_global_scan_in_chunks(spark, cut_chunks):
 def test_heavy_key_is_cut(spark, cut_chunks):
     _, df = _log(spark)
     scan = OrderedScan(df, ["seq"], ["k"])
-    assert (0,) in scan.layout.heavy
+    assert (0,) in {tuple(r) for r in scan.layout.heavy.collect()}
     sizes = scan._heavy.groupBy("k", "_chunk").count().collect()
     assert max(r["count"] for r in sizes) < 30
     assert len({r["_chunk"] for r in sizes if r["k"] == 0}) > 5
@@ -72,3 +72,30 @@ def test_position(spark, cut_chunks):
     data, df = _log(spark)
     got = {r["seq"]: r["pos"] for r in with_position(df, ["seq"]).collect()}
     assert got == {row[0]: i for i, row in enumerate(sorted(data))}
+
+
+def test_string_orders_and_several_keys_in_chunks(spark, cut_chunks):
+    """Orders and keys of any type, null among the keys, and light keys that a chunk ends within."""
+    data, df = _log(spark)
+    named = df.select(F.concat(F.lit("n"), F.lpad(F.col("seq").cast("string"), 6, "0")).alias("name"), "seq", "k", "x", "tag")
+    named = named.withColumns({"a": F.concat(F.lit("key "), F.col("k").cast("string")), "b": F.col("k") % 2 == 0})
+    scan = OrderedScan(named, ["name"], ["a", "b"])
+    assert scan.layout is not None
+    got = scan.upto(total=("sum", F.col("x")), n=("count", F.lit(1)), low=("min", F.col("x")), tag_now=("last", F.col("tag")))
+    got = got.before(prev=("last", F.col("seq")))
+    assert {r["seq"]: (r["total"], r["n"], r["low"], r["tag_now"], r["prev"]) for r in got.df.collect()} == _expected(data, True)
+    placed = with_position(named, ["name"])
+    assert {r["seq"]: r["pos"] for r in placed.collect()} == {row[0]: i for i, row in enumerate(sorted(data))}
+
+
+def test_estimates_are_not_trusted_after_an_explode(spark):
+    from rillmark.operators.scan import is_small
+    from rillmark.session import multiplies_rows, scratch
+
+    path = scratch(spark, "small")
+    spark.range(10).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert is_small(small) and is_small(small.where("id > 3").withColumn("x", F.col("id") * 2))
+    many = small.select("id", F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("i"))
+    assert multiplies_rows(many) and not is_small(many)
+    assert multiplies_rows(small.join(small.withColumnRenamed("id", "j"))) and multiplies_rows(small.mapInArrow(lambda b: b, small.schema))
