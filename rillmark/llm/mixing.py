@@ -83,7 +83,7 @@ def _moment(share: Column, start: Column, end: Column) -> Column:
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Per row: id, size, source size and target, ``taken`` words and the training ``positions`` of its copies.
 
-    Within a source, documents come in the order of the MD5 of their id.  The source is read once, and
+    Within a source, documents come in the order of the MD5 of their id and text.  The source is read once, and
     up to once more, until its target (rounded down) is met; the last copy may be taken in part, so the
     taken words of a source are its whole target.  A null source is a source of its own, last in order;
     a null text has size 0, takes nothing and has no position; a null id counts as the empty text;
@@ -91,7 +91,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     gives no rows.  Other columns are not read.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("bigint")
-    key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    # the text is part of it, so that rows without an id, or under one, are spread as well
+    key = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text).cast("string"), F.lit(""))))
     rows = stored(docs.select(F.col(doc_id), F.col(source).alias("source"), size.alias("size"), key.alias("mix")), "sizes")
     goals = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
     named = goals.withColumnsRenamed({"source": "goal_source"})

@@ -31,7 +31,7 @@ FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 OP2 = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mix
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS mix
   FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

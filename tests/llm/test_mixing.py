@@ -77,3 +77,21 @@ def test_order_is_by_position(spark):
     rows = mixing.in_training_order(mixing.mix(table(spark, SF_CHECK, "documents"))).collect()
     first = [r.positions[0] if r.positions else 2.0 for r in rows]
     assert first == sorted(first)
+
+
+def test_a_third_of_the_ids_may_be_null(spark):
+    """Rows without an id, or under one id, are cut into windows by their texts."""
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 1, F.col("id")).when(F.col("id") % 3 == 2, F.lit(7)).alias("doc_id"),
+        F.repeat(F.concat(F.lit("w "), F.lit("x")), (F.col("id") % 50).cast("int")).alias("text"), F.lit("s").alias("source"),
+    )
+    docs = docs.withColumn("text", F.concat("text", F.lit(" "), F.monotonically_increasing_id().cast("string")))
+    seen = []
+    cumulative = mixing._cumulative
+    mixing._cumulative = lambda rows: seen.append(rows) or cumulative(rows)
+    try:
+        mixed = mixing.mix(docs)
+        _check(docs, mixed.collect())
+    finally:
+        mixing._cumulative = cumulative
+    assert seen[0].groupBy("rank", "part").count().agg(F.max("count")).first()[0] < 10
