@@ -1,3 +1,4 @@
+import random
 import re
 
 from rillmark.llm import secrets
@@ -63,3 +64,36 @@ def test_awkward_rows(spark):
     got = rows(secrets.scan(docs))
     assert len(got) == docs.count() and all(r[-1] == "" for r in got)
     assert secrets.scan(docs.limit(0)).collect() == []
+
+
+def plain_link(text):
+    """Every weak part against every part of its paragraph."""
+    strong = plain_base(text)
+    weak, taken = [], [(a, b) for a, b, _ in strong]
+    for kind, pattern in (("endpoint", secrets.ENDPOINT), ("ident", secrets.IDENT), ("blob", secrets.BLOB)):
+        found = [m for m in pattern.finditer(text) if not any(a < m.end() and m.start() < b for a, b in taken)]
+        if kind == "blob":
+            found = [m for m in found if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+        weak += [(*m.span(), kind) for m in found]
+        taken += [m.span() for m in found]
+    borders = [m.start() for m in secrets.SCOPE_END.finditer(text)]
+    scope = lambda at: sum(b < at for b in borders)
+    needs = {"ident": {"assign", "hex", "blob"}, "blob": {"access", "ident", "endpoint"}, "endpoint": {"assign", "hex", "blob", "access", "ident"}}
+    reported = [
+        (a, b, kind)
+        for a, b, kind in weak
+        if any(k in needs[kind] and scope(c) == scope(a) and c < b + secrets.REACH and d > a - secrets.REACH for c, d, k in strong + weak)
+    ]
+    order = [*secrets.KINDS]
+    return sorted(strong + reported, key=lambda s: (s[0], order.index(s[2]), s[1]))
+
+
+def test_links_against_all_pairs():
+    draw = random.Random(6)
+    pieces = ["user: fred", "Zx9Kq2Lm8Np4Rs6T", "https://host.example/x", "token = abcdefgh", "AKIA" + "Q1" * 9, "0123456789abcdef01234567", "\n\n", "\n", "client_id=abc", "password: short", "x" * 100, "plain words", "key_id=Zx9Kq2Lm8Np4Rs6T", "wss://Zx9Kq2Lm8Np4Rs6T"]
+    seen = 0
+    for _ in range(600):
+        text = draw.choice([" ", "", "\n"]).join(draw.choice(pieces) for _ in range(draw.randrange(1, 14)))
+        assert secrets.link(text)[1] == plain_link(text), text
+        seen += len(secrets.link(text)[1]) - len(secrets.link(text)[0])
+    assert seen > 300
