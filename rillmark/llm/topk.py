@@ -12,9 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillmark.llm.base import stored
+from rillmark.session import scratch
+
 SCALE = 256
 PIVOTS = 24
 # queries that one pass over the vectors answers; more queries take more passes
@@ -23,6 +27,8 @@ QUERY_BLOCK = 4096
 ROWS = 4096
 STEP = 64
 LONG = np.iinfo(np.int64)
+# components beyond this count as this: their products are beyond a long already, and sums of squares stay finite
+LARGEST = 1e150
 
 
 @dataclass
@@ -40,6 +46,10 @@ def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.floor(SCALE * np.clip(x, -LARGEST, LARGEST))
+
+
 def pivots_of(vectors: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     """Farthest-first choice among the queries."""
     chosen = [int(np.argmax((vectors**2).sum(1)))]
@@ -58,7 +68,7 @@ def prepare(rows: list[tuple[int, list[float]]]) -> dict[int, Queries]:
         held[vec_id] = min(mine, held.get(vec_id, mine))
     prepared = {}
     for width, held in by_width.items():
-        vectors = np.floor(SCALE * np.array(list(held.values()), np.float64).reshape(len(held), width))
+        vectors = _whole(np.array(list(held.values()), np.float64).reshape(len(held), width))
         pivots = pivots_of(vectors)
         prepared[width] = Queries(np.array(list(held), np.int64), vectors, pivots, _distances(vectors, pivots))
     return prepared
@@ -119,7 +129,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     candidates are the rows under other ids with as many components; repeated rows are candidates each,
     an id repeated with other vectors is asked once, with the smallest.  Scores are exact; those beyond
     the range of long stay at its end.  Fewer candidates give fewer rows, an empty table none.
-    The queries go in blocks of some ``QUERY_BLOCK``, only one of which is on the driver at a time.
+    The queries are stored once and go in blocks of some ``QUERY_BLOCK``.  Each block is one pass, whose answers are
+    stored before the next begins, so that the driver and the tasks hold the queries of one block at a time.
     """
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & sound).select(
@@ -127,21 +138,22 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     )
     # one row per id and number of components before any goes to the driver
     asked = usable.where(F.col("id") % every == 0).groupBy("id", F.size("v").alias("width")).agg(F.min("v").alias("v"))
+    asked = stored(asked, "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    answers = None
+    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    paths = []
     for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("id", "width"), F.lit(blocks)) == block).collect()
-        found = _pass(usable, prepare([(r.id, r.v) for r in rows]), k)
-        answers = found if answers is None else answers.unionAll(found)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
-
+        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).collect()
+        shared = usable.sparkSession.sparkContext.broadcast(prepare([(r.id, r.v) for r in rows]))
+        paths.append(scratch(usable.sparkSession, "answers"))
+        ranked = _pass(usable, shared, k).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+        ranked.write.parquet(paths[-1])
+        shared.destroy()
+    schema = "query_id bigint, vec_id bigint, score bigint, rank int"
+    return usable.sparkSession.read.schema(schema).parquet(*paths).select("query_id", "rank", "vec_id", "score")
 
-def _pass(usable: DataFrame, known: dict[int, Queries], k: int) -> DataFrame:
-    shared = usable.sparkSession.sparkContext.broadcast(known)
 
+def _pass(usable: DataFrame, shared: Broadcast[dict[int, Queries]], k: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = shared.value
         best = {width: Best(len(q.ids), k) for width, q in queries.items()}
@@ -151,7 +163,7 @@ def _pass(usable: DataFrame, known: dict[int, Queries], k: int) -> DataFrame:
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 lists = part.column(1)
                 widths = np.diff(lists.offsets.to_numpy())
-                flat = np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False))
+                flat = _whole(lists.flatten().to_numpy(zero_copy_only=False))
                 starts = np.concatenate([[0], np.cumsum(widths)])[:-1]
                 for width in np.unique(widths).tolist():
                     if width in queries:

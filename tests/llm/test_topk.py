@@ -70,3 +70,29 @@ def test_elimination_evaluates_few(monkeypatch):
         order = np.lexsort((ids, -exact))[:5]
         assert found.tolist() == order.tolist() and scores.tolist() == exact[order].tolist()
     assert sum(seen) < 0.5 * 4000 * len(known.ids)
+
+
+def test_many_blocks_and_one_broadcast_at_a_time(spark, monkeypatch):
+    draw = random.Random(5)
+    vectors = [(i, [draw.gauss(0, 1) for _ in range(3)], 0) for i in range(0, 400, 10)] + [(0, [1.0], 0), (7, [2.0], 0)]
+    alive, most = set(), []
+    broadcast = spark.sparkContext.broadcast
+
+    def counted(value):
+        shared = broadcast(value)
+        alive.add(id(shared))
+        most.append(len(alive))
+        destroy = shared.destroy
+        shared.destroy = lambda: (alive.discard(id(shared)), destroy())
+        return shared
+
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    assert rows(topk.top_k(spark.createDataFrame(vectors, SCHEMA))) == plain(vectors)
+    assert len(most) >= 4 and max(most) == 1 and not alive
+
+
+def test_components_beyond_every_product(spark):
+    vectors = [(0, [1e306, 1.0], 0), (1, [1e306, 0.0], 0), (2, [-1e306, 0.0], 0), (3, [0.0, 2.0], 0)]
+    got = rows(topk.top_k(spark.createDataFrame(vectors, SCHEMA)))
+    assert got == [(0, 1, 1, 2**63 - 1), (0, 2, 3, 2 * 256 * 256), (0, 3, 2, -(2**63))]
