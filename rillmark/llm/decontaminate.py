@@ -134,6 +134,8 @@ def find(
 ) -> DataFrame:
     """The columns ``keep`` of every row, then ``n_words``, ``hit_spans`` (word positions) and ``hit_items``.
 
+    Where ``keep`` has such a name in any case, that column stays and the new one has a line before its name.
+
     With ``clean`` the text among ``keep`` loses the words of the spans.  A null text has no words and
     stays null; items without words have no window; a null item id is found but not listed; repeated
     rows give repeated results; empty tables give no rows or no hits.  Columns not in ``keep`` are not
@@ -151,16 +153,13 @@ def find(
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-2 * int(total) // BLOCK_BYTES)) if total > BLOCK_BYTES else 1
     placed = items.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
-    state = ["n_words", "hit_spans", "hit_items"]
-    clash = [c for c in keep if c.lower() in state]
-    if clash:
-        raise ValueError(f"rename the columns {clash} first")
-    source = free_name(docs.select(*keep), "shard_text")
+    kept = docs.select(*keep)
+    n_words, spans, found, source = (free_name(kept, c) for c in ("n_words", "hit_spans", "hit_items", "shard_text"))
     frame = docs.select(
         *keep,
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hit_spans"),
-        F.array().cast("array<string>").alias("hit_items"),
+        F.lit(0).cast("bigint").alias(n_words),
+        F.array().cast("array<struct<start:bigint,end:bigint>>").alias(spans),
+        F.array().cast("array<string>").alias(found),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias(source),
     )
     for block in range(blocks):

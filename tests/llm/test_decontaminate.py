@@ -110,3 +110,12 @@ def test_index_against_plain_search():
             for row, a, b in zip(phrases, low, high, strict=True):
                 plain = [i for i in range(len(symbols) - size + 1) if (symbols[i : i + size] == row).all()]
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == plain
+
+
+def test_columns_with_the_names_of_results_stay(spark):
+    docs = spark.createDataFrame([(1, "some one two three", 7, "a", "b")], "doc_id bigint, text string, n_words int, Hit_Spans string, hit_items string")
+    items = spark.createDataFrame([(5, "two three")], "item_id bigint, text string")
+    found = decontaminate.find(docs, items, docs.columns, clean=True)
+    assert found.columns == [*docs.columns, "_n_words", "_hit_spans", "_hit_items"]
+    assert [(r.n_words, r["Hit_Spans"], r.hit_items, r._n_words, r._hit_items) for r in found.collect()] == [(7, "a", "b", 4, ["5"])]
+    assert "three" not in found.first().text
