@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.operators.scan import OrderedScan, join_same
@@ -47,22 +47,23 @@ def fill_ticks(
     ``value`` is the newest one up to the tick (repeat), ``counted`` counts up from it: the first
     filled tick repeats it, the next adds one.  ``is_filled`` marks ticks without an event of their
     own.  Events are first reduced to one row per tick, so a key has no more rows than ticks; each of
-    them then expands into the ticks up to the next, without a join against a spine.
+    them then expands into itself and the ticks since the one before, without a join against a spine.
     """
     tick = F.floor(F.col(ts_us) / step_us) * step_us
-    ticks = df.groupBy(*keys, tick.alias("tick_us")).agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("value")
-    )
-    following = F.lead("tick_us").over(Window.partitionBy(*keys).orderBy("tick_us"))
-    until = F.coalesce(following - step_us, F.col("tick_us"))
-    spans = ticks.withColumn("_n", F.floor((until - F.col("tick_us")) / step_us) + 1)
-    filled = numbered(spans.withColumnRenamed("tick_us", "_from"), F.col("_n"), "_j").withColumn("tick_us", F.col("_from") + F.col("_j") * step_us)
+    ticks = df.groupBy(*keys, tick.alias("_tick")).agg(F.max_by(F.col(value), F.struct(*order)).alias("value"))
+    # a struct, so that a value of null is remembered too
+    before = F.struct(F.col("_tick").alias("tick"), F.col("value").alias("value"))
+    scan = OrderedScan(ticks, ["_tick"], keys).before(_before=("last", before))
+    apart = F.coalesce(F.floor((F.col("_tick") - F.col("_before.tick")) / step_us), F.lit(1))
+    filled = numbered(scan.df, apart, "_j")
+    own = F.col("_j") == 0
+    repeated = F.when(own, F.col("value")).otherwise(F.col("_before.value"))
     return filled.select(
         *keys,
-        "tick_us",
-        "value",
-        (F.col("value") + F.greatest(F.col("_j") - 1, F.lit(0))).alias("counted"),
-        (F.col("_j") > 0).alias("is_filled"),
+        F.when(own, F.col("_tick")).otherwise(F.col("_before.tick") + F.col("_j") * step_us).alias("tick_us"),
+        repeated.alias("value"),
+        (repeated + F.greatest(F.col("_j") - 1, F.lit(0))).alias("counted"),
+        (~own).alias("is_filled"),
     )
 
 

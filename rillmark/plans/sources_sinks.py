@@ -23,14 +23,15 @@ JOURNAL_BUCKETS = 16
 TICKS = 5000
 
 
-_JOURNALS: dict[tuple[str, str, int], str] = {}
+_JOURNALS: dict[tuple[str, str, int], Journal] = {}
 
 
 def written_journal(spark: SparkSession, sf: str) -> Journal:
     """Orders as a journal in two batches, tagged by priority and status; written once per application and state of the table."""
     owner = (spark.sparkContext.applicationId, sf, changed_at(spark, f"{sf.rstrip('/')}/orders.parquet"))
-    path = _JOURNALS.setdefault(owner, scratch(spark, "journal"))
-    store = Journal(spark, path, buckets=JOURNAL_BUCKETS)
+    if owner not in _JOURNALS:
+        _JOURNALS[owner] = Journal(spark, scratch(spark, "journal"), buckets=JOURNAL_BUCKETS)
+    store = _JOURNALS[owner]
     if len(store.live()) == 2:
         return store
     level = F.split("o_orderpriority", "-")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 from rillmark.operators.scan import OrderedScan, join_same, union_all, with_position
 from rillmark.session import folders
 
-MANIFEST = (
-    "part string, first_batch bigint, last_batch bigint, first_ordering bigint, last_ordering bigint, n bigint,"
-    " buckets int, added bigint, version bigint"
-)
 # rows of one bucket; small batches get one bucket, large ones up to the store's number
 BUCKET_ROWS = 1_000_000
 
@@ -34,6 +30,10 @@ class Part:
     added: int
 
 
+_PART = T.StructType([T.StructField(f.name, {"part": T.StringType(), "buckets": T.IntegerType()}.get(f.name, T.LongType())) for f in fields(Part)])
+MANIFEST = T.StructType([*_PART.fields, T.StructField("version", T.LongType())])
+
+
 class Journal:
     """Events by entity with gapless sequence numbers per entity and a global ordering.
 
@@ -49,6 +49,9 @@ class Journal:
     ) -> None:
         self.spark, self.path, self.fmt, self.buckets, self.bucket_rows = spark, path, fmt, buckets, bucket_rows
         self.heads, self.tags, self.manifest = (f"{path}-{name}" for name in ("heads", "tags", "manifest"))
+        # a version of the manifest never changes, nor do the columns of a store
+        self._known: tuple[int, list[Part]] = (0, [])
+        self._schemas: dict[str, T.StructType] = {}
 
     # the manifest
 
@@ -63,14 +66,13 @@ class Journal:
     def live(self) -> list[Part]:
         """The live parts in order, a row each."""
         version = self.version()
-        if not version:
-            return []
-        rows = self.spark.read.parquet(f"{self.manifest}/version={version:012d}").collect()
-        return sorted((Part(**row.asDict()) for row in rows), key=lambda p: p.first_batch)
+        if version != self._known[0]:
+            rows = self.spark.read.schema(_PART).parquet(f"{self.manifest}/version={version:012d}").collect()
+            self._known = version, sorted((Part(**row.asDict()) for row in rows), key=lambda p: p.first_batch)
+        return list(self._known[1])
 
     def _publish(self, version: int, parts: Sequence[Part]) -> None:
-        schema = T.StructType.fromDDL(MANIFEST)[:-1]
-        rows = self.spark.createDataFrame([tuple(vars(p).values()) for p in parts], schema)
+        rows = self.spark.createDataFrame([tuple(vars(p).values()) for p in parts], _PART)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.manifest}/version={version:012d}")
 
     # parts
@@ -82,7 +84,10 @@ class Journal:
         names = [f"{root}/part={p.part}" for p in parts if p.n]
         if not names:
             raise ValueError(f"nothing has been appended to {self.path} yet")
-        return self.spark.read.format(fmt).option("basePath", root).load(names)
+        reader = self.spark.read.format(fmt).option("basePath", root)
+        if root not in self._schemas:
+            self._schemas[root] = reader.load(names[:1]).schema
+        return reader.schema(self._schemas[root]).load(names)
 
     def _write_part(self, name: str, rows: DataFrame, n: int) -> Part:
         """Events (with their numbers) as one part with its heads and tags; not live before it is published."""

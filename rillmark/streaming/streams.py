@@ -334,7 +334,9 @@ def drain_closed(spark: SparkSession, rows: DataFrame, close_all: Callable[[], N
     path, checkpoint = scratch(spark, purpose), scratch(spark, f"{purpose}-checkpoint")
     writer = rows.writeStream.format("parquet").option("path", path)
     with stateful(spark):
-        drain(writer, checkpoint)
+        # what the watermark of the first run releases can wait for the second
+        with settings(spark, spark__sql__streaming__noDataMicroBatches__enabled="false"):
+            drain(writer, checkpoint)
         close_all()
         drain(writer, checkpoint)
     return spark.read.schema(rows.schema).parquet(path).where("NOT closing").drop("closing")
