@@ -46,27 +46,28 @@ def word_bytes(text: bytes) -> list[bytes]:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int, most_bytes: int
-) -> tuple[dict[int, list[tuple[int, bytes]]], tuple[int, int]]:
+) -> tuple[dict[int, list[tuple[str, bytes]]], tuple[int, int]]:
     """A bounded sample of labelled rows of folds other than 2 of 4, and the number of all of each label.
 
-    Per label 0 and 1 the ``rows`` ids with the smallest MD5, as (id, text), texts whole.  Where they have more
+    Per label 0 and 1 the ``rows`` ids with the smallest MD5, as (id as text, text), texts whole; ids may have any type.  Where they have more
     than ``most_bytes``, the longest texts are left out, no more than need be, and the next ids with texts
     no longer than those that stay take their places.  An id with several labels has the largest.
     """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & (fold(doc_id, 4) != 2))
-    known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("label"))
+    # ids compare as text, as the folds take them
+    known = known.groupBy(F.col(doc_id).cast("string").alias("id")).agg(F.max(label).cast("int").alias("label"))
     totals = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = F.md5(F.col("id").cast("string"))
+    order = F.md5("id")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    bodies = docs.select(F.col(doc_id).alias("id"), body.alias("body"))
+    bodies = docs.select(F.col(doc_id).cast("string").alias("id"), body.alias("body"))
 
     def first(ids: DataFrame, values: list[int]) -> DataFrame:
         chosen = ids.where("false")
         for value in values:
             chosen = chosen.unionAll(ids.where(F.col("label") == value).orderBy(order, "id").limit(rows))
         # a bounded list, 2 * rows ids, that every task may hold
-        listed = [(int(r.id), r.label) for r in chosen.collect()]
-        return docs.sparkSession.createDataFrame(listed, "id bigint, label int")
+        listed = [(r.id, r.label) for r in chosen.collect()]
+        return docs.sparkSession.createDataFrame(listed, "id string, label int")
 
     def texts(ids: DataFrame, among: DataFrame) -> DataFrame:
         found = stored(among.join(F.broadcast(ids), "id"), "labelled-sample")
@@ -83,7 +84,7 @@ def labelled_sample(
         shorter = bodies.where(F.octet_length("body") <= (most_bytes if r.longest is None else r.longest))
         ids = first(known.join(shorter.select("id"), "id", "left_semi"), [r.label])
         sample = sample.where(F.col("label") != r.label).unionAll(texts(ids, shorter))
-    held: dict[int, list[tuple[int, bytes]]] = {0: [], 1: []}
+    held: dict[int, list[tuple[str, bytes]]] = {0: [], 1: []}
     for r in sample.where("fits").orderBy("order", "id").toLocalIterator():
         held[r.label].append((r.id, r.body.encode()))
     return held, (totals.get(0, 0), totals.get(1, 0))

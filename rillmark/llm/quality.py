@@ -29,6 +29,8 @@ CHUNK = 126
 EPOCHS, BATCH, RATE = 14, 32, 0.01
 # bytes of texts that go through the network at once
 PIECE = 1 << 20
+# texts that are encoded at once
+TEXTS = 256
 SEED = 11
 
 
@@ -93,21 +95,40 @@ class Network:
         mean = np.add.reduceat(act, first, axis=0) / layout.n_chunks[:, None]
         return np.stack([mean, np.minimum.reduceat(act, first, axis=0), np.maximum.reduceat(act, first, axis=0)], 1)
 
+    def features_of_long(self, text: bytes) -> np.ndarray:
+        """The same features of one text, some chunks at a time: what is laid out never exceeds a piece."""
+        windows = max(1, -(-len(text) // BLOCK) - 1)
+        step = max(1, PIECE // (CHUNK * BLOCK)) * CHUNK
+        total, least, greatest, chunks = np.zeros(FILTERS), np.full(FILTERS, np.inf), np.full(FILTERS, -np.inf), 0
+        for begin in range(0, windows, step):
+            # the last window of a piece reads one block more
+            end = min(begin + step, windows)
+            layout = Layout.of([text[BLOCK * begin : BLOCK * (end + 1)]])
+            act = self.pooled(layout, self.responses(layout))
+            total, chunks = total + act.sum(0), chunks + len(act)
+            least, greatest = np.minimum(least, act.min(0)), np.maximum(greatest, act.max(0))
+        return np.stack([total / chunks, least, greatest])[None]
+
     def score(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros(len(texts))
         if self.flat is not None:
             return out + self.flat
-        held: list[bytes] = []
+        held: list[int] = []
         for i, text in enumerate(texts):
-            held.append(text)
-            if sum(map(len, held)) >= PIECE or len(held) == 1000 or i == len(texts) - 1:
-                layout = Layout.of(held)
-                found = self.features(layout, self.pooled(layout, self.responses(layout)))
-                z = (found * self.weights).sum((1, 2)) + self.offset
-                out[i + 1 - len(held) : i + 1] = 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -500, 500)))
+            if len(text) > PIECE:
+                out[i] = self._probability(self.features_of_long(text))[0]
+            else:
+                held.append(i)
+            if held and (sum(len(texts[j]) for j in held) >= PIECE or len(held) == 1000 or i == len(texts) - 1):
+                layout = Layout.of([texts[j] for j in held])
+                out[held] = self._probability(self.features(layout, self.pooled(layout, self.responses(layout))))
                 held = []
         return out
 
+    def _probability(self, found: np.ndarray) -> np.ndarray:
+        z = (found * self.weights).sum((1, 2)) + self.offset
+        return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -500, 500)))
+
     def gradients(self, texts: list[bytes], truth: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
         layout = Layout.of(texts)
         out = self.responses(layout)
@@ -132,7 +153,9 @@ class Network:
             read = self.vectors[letters].reshape(*best.shape, -1)
             grads[1][half] = np.einsum("cfx,cf->xf", read, back)
             spread = (back[:, :, None] * self.filters[half].T[None]).reshape(-1, VECTOR)
-            np.add.at(grads[0], letters.reshape(-1), spread)
+            flat = letters.reshape(-1)
+            for v in range(VECTOR):
+                grads[0][:, v] += np.bincount(flat, spread[:, v], 256)
         return grads
 
 
@@ -185,7 +208,9 @@ def report(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         net = shared.value
         for batch in batches:
-            yield pd.Series(net.score([t.encode() for t in batch]), dtype="float64")
+            # a few texts at a time: a batch may hold thousands of long ones
+            scores = [net.score([t.encode() for t in batch.iloc[i : i + TEXTS]]) for i in range(0, len(batch), TEXTS)]
+            yield pd.Series(np.concatenate(scores) if scores else [], dtype="float64")
 
     scored = docs.select(
         doc_id, (fold(doc_id, 4) == 2).alias("held_out"), score(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("score")

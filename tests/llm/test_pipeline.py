@@ -56,7 +56,7 @@ def test_run_agrees_with_itself(spark):
 
 
 def test_awkward_documents_pass_all_stages(spark):
-    docs = awkward(spark, "copy", "text_print", "score", "fp", "hit_spans_", "covered_lines")
+    docs = awkward(spark, "copy", "text_print", "score", "fp", "n_words", "hit_spans", "Hit_Items", "shard_text", "covered_lines", "key", "mix")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stored(stage(spark, docs, SF_TINY), "test")
     ids = Counter(r.doc_id for r in docs.collect())

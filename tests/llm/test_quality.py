@@ -1,3 +1,6 @@
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 
@@ -26,6 +29,30 @@ def test_scores_against_plain_windows():
     assert net.score(TEXTS).tolist() == pytest.approx([plain_score(net, t) for t in TEXTS], abs=1e-5)
 
 
+def test_a_long_text_is_read_piece_by_piece(monkeypatch):
+    net = quality.Network.fresh()
+    texts = [bytes(np.random.default_rng(n).integers(0, 256, n, np.uint8)) for n in (1007, 1008, 1009, 2016, 5000, 12_345)] + TEXTS
+    whole = net.score(texts)
+    for piece in (504, 1008, 3000):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        assert net.score(texts).tolist() == pytest.approx(whole.tolist(), abs=1e-6)
+
+
+def test_memory_of_a_very_long_text():
+    """A worker's peak over a text of 64 MB, the text and its copy in Arrow included."""
+    script = (
+        "import resource, numpy as np\n"
+        "from rillmark.llm import quality\n"
+        "net = quality.Network.fresh()\n"
+        "text = b'some words of a very long text ' * (64_000_000 // 31)\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "assert 0 < net.score([text])[0] < 1\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)"
+    )
+    grown = int(subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True).stdout)
+    assert grown < 300_000
+
+
 def test_gradients_against_differences():
     net = quality.Network.fresh()
     net.vectors, net.filters, net.weights = (a.astype(np.float64) for a in (net.vectors, net.filters, net.weights))
