@@ -1,4 +1,4 @@
-"""User code on rows: external calls with bounded concurrency, user folds, 1-to-n functions."""
+"""User code on rows: external calls with bounded concurrency, user-written stages."""
 
 from __future__ import annotations
 
@@ -6,12 +6,10 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Protocol
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -66,20 +64,6 @@ def keyed_call(
     return df.select(key, argument).mapInPandas(run, schema)
 
 
-@F.arrow_udtf(returnType="id bigint, place bigint, value bigint")
-class RangeToTriple:
-    """Table function of (id, x), a batch at a time: x becomes x .. 3x; null and what is negative give nothing."""
-
-    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
-        known = rows.filter(pc.greater_equal(rows.column("x"), 0))
-        x = known.column("x").to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = 2 * x + 1
-        row = np.repeat(np.arange(len(x)), sizes)
-        place = np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
-        ids = known.column("id").cast(pa.int64()).take(pa.array(row))
-        yield pa.table({"id": ids, "place": pa.array(place), "value": pa.array(x[row] + place)})
-
-
 class Stage(Protocol):
     """A user-written stage: gets the batches of one task in turn and may hold state between them."""
 

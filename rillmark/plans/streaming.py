@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.functions.values import BLOCKED_CARD
-from rillmark.operators import calls, tables
+from rillmark.operators import calls, tables, udtfs
 from rillmark.operators.scan import ordered_reduce
 from rillmark.plans import views as V
 from rillmark.plans.eventlog import ACCOUNT
@@ -238,4 +238,4 @@ def udaf_fold(spark: SparkSession, sf: str) -> DataFrame:
 @query("udtf_flatmap", "SELECT id, row_number() OVER (PARTITION BY id ORDER BY value) - 1 AS place, value FROM (SELECT p_partkey AS id, CAST(unnest(generate_series(p_size, 3 * p_size)) AS BIGINT) AS value FROM part)")
 def udtf_flatmap(spark: SparkSession, sf: str) -> DataFrame:
     parts = load(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("x"))
-    return calls.RangeToTriple(parts.asTable())
+    return udtfs.RangeToTriple(parts.asTable())

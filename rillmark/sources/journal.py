@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from rillmark.operators.scan import OrderedScan, join_same, union_all, with_position
-from rillmark.session import folders
+from rillmark.operators.scan import OrderedScan, join_same, union_all, with_position, written
+from rillmark.session import folders, multiplies_rows
 
 # rows of one bucket; small batches get one bucket, large ones up to the store's number
 BUCKET_ROWS = 1_000_000
@@ -72,7 +74,7 @@ class Journal:
         return list(self._known[1])
 
     def _publish(self, version: int, parts: Sequence[Part]) -> None:
-        rows = self.spark.createDataFrame([tuple(vars(p).values()) for p in parts], _PART)
+        rows = self.spark.createDataFrame(pa.Table.from_pylist([vars(p) for p in parts], to_arrow_schema(_PART)))
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.manifest}/version={version:012d}")
 
     # parts
@@ -108,12 +110,12 @@ class Journal:
         ends = written.agg(F.min("ordering"), F.max("ordering"), F.count(F.lit(1))).first()
         return Part(name, 0, 0, ends[0] or 0, ends[1] or 0, ends[2], buckets, 0)
 
-    def append(self, events: DataFrame, order: Sequence[str], batch: int = 0) -> None:
+    def append(self, events: DataFrame, order: Sequence[str], batch: int = 0, number: str | None = None) -> None:
         """Write events (``persistence_id``, ``payload``, ``tags``, ``ts`` and order columns) as one batch.
 
         Batches are appended in turn.  A batch that is there already stays as it is, so a run that was lost
         may append all of its batches again.  Ids of an entity are reserved from its head: a batch takes the next
-        consecutive ones, and a command list that is several rows of a batch takes a range.
+        consecutive ones, in order.  ``number`` names a column that holds ids reserved before, see ``persist_lists``.
         """
         live, version = self.live(), self.version()
         newest = max((p.last_batch for p in live), default=-1)
@@ -121,9 +123,15 @@ class Journal:
             return
         if batch > newest + 1:
             raise ValueError(f"batch {batch - 1} has not been appended yet")
-        placed = with_position(events, order, ["persistence_id"], "sequence_number", start=1)
+        if multiplies_rows(events):
+            # what follows reads them several times
+            events = written(events, "batch")
+        if number:
+            placed = events.withColumnRenamed(number, "sequence_number")
+        else:
+            placed = with_position(events, order, ["persistence_id"], "sequence_number", start=1)
         placed = with_position(placed, order, name="ordering", start=1 + max((p.last_ordering for p in live), default=0))
-        if any(p.n for p in live):
+        if not number and any(p.n for p in live):
             last = self.last_numbers().select("persistence_id", F.col("sequence_number").alias("_last"))
             placed = join_same(placed, last, ["persistence_id"], "left").withColumn(
                 "sequence_number", F.col("sequence_number") + F.coalesce("_last", F.lit(0))
@@ -324,7 +332,8 @@ def persist_lists(journal: Journal, lists: DataFrame, order: Sequence[str], batc
         "persistence_id", "tags", "ts", *order, base.alias("_base"), F.posexplode("items").alias("_place", "_item")
     )
     payload = F.struct(F.col("_base").alias("base"), F.col("_place").cast("bigint").alias("place"), F.col("_item").alias("item"))
-    journal.append(items.withColumn("payload", payload), [*order, "_place"], batch)
+    numbered = items.withColumns({"payload": payload, "_number": F.col("_base") + F.col("_place")}).drop("_base", "_item")
+    journal.append(numbered, [*order, "_place"], batch, "_number")
 
 
 def jdbc_journal(

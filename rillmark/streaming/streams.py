@@ -235,7 +235,7 @@ class OrderedState(StatefulProcessor):
             starts = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(slots)]
             for first, end in zip(starts, starts[1:], strict=False):
                 slot = int(slots[first])
-                n = self.parts.getValue((slot,))[0] if self.parts.containsKey((slot,)) else 0
+                n = (self.parts.getValue((slot,)) or (0,))[0]
                 self.waiting.updateValue((slot, n), (packed.slice(first, end - first).serialize().to_pybytes(),))
                 self.parts.updateValue((slot,), (n + 1,))
                 if n == 0:
@@ -266,14 +266,17 @@ class OrderedState(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         if self.parts.containsKey((now // self.slot_ms - 1,)):
-            state = self.state.get() if self.state.exists() else None
+            state = self.state.get()
             for rows in self._due(timerValues.getCurrentWatermarkInMs()):
                 state, out = self.fold(state, rows)
                 last = int(rows[self.time].max())
                 yield self._named(key, out)
             self.state.update(state)
             self.last.update((last,))
-        if self.idle_ms is not None and self.last.exists() and self._end(self.last.get()[0] + self.idle_ms) <= now:
+        if self.idle_ms is None:
+            return
+        known = self.last.get()
+        if known and self._end(known[0] + self.idle_ms) <= now:
             yield self._named(key, self.expire(self.state.get()))
             self.last.clear()
             self.state.clear()

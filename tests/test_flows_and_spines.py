@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rillmark.operators import calls, flows, timespine
+from rillmark.operators import calls, flows, timespine, udtfs
 from rillmark.session import scratch
 from rillmark.streaming import streams as S
 
@@ -68,5 +68,5 @@ def test_a_user_stage_holds_state_between_batches(spark):
 
 def test_the_table_function_takes_whole_batches(spark):
     rows = spark.createDataFrame([(1, 2), (2, 0), (3, None), (4, -1), (None, 1)], "id long, x int")
-    got = sorted(map(tuple, calls.RangeToTriple(rows.asTable()).collect()), key=repr)
+    got = sorted(map(tuple, udtfs.RangeToTriple(rows.asTable()).collect()), key=repr)
     assert got == sorted([(1, i, 2 + i) for i in range(5)] + [(2, 0, 0)] + [(None, i, 1 + i) for i in range(3)], key=repr)
