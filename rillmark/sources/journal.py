@@ -240,8 +240,9 @@ class Journal:
 class SnapshotStore:
     """Folded states of entities beside a journal, in numbered folders that are written whole.
 
-    A state is ``total`` and ``n_events`` up to and with ``sequence_number`` (and ``ordering``).  ``recover`` reads, for entities
-    that went on since, only the parts of the journal that hold their later events.
+    A state is ``total`` and ``n_events`` up to and with ``sequence_number`` (and ``ordering``).  A complete folder, of all
+    entities, has the ordering that it covers in its name: after it ``recover`` opens only the parts that end later.  States
+    of some entities lead, by the heads and dynamic pruning, to the parts that hold later events of any.
     """
 
     STATE = ("persistence_id", "sequence_number", "ordering", "total", "n_events")
@@ -260,7 +261,8 @@ class SnapshotStore:
 
     def take(self) -> DataFrame:
         """The state of every entity now, from the newest states and the tail."""
-        return self._save(self._states(), "all")
+        covered = max((p.last_ordering for p in self.journal.live()), default=0)
+        return self._save(self._states(), f"all-{covered:020d}")
 
     def take_every(self, n: int) -> DataFrame:
         """The state of every entity after each ``n``-th of its events."""
@@ -271,20 +273,25 @@ class SnapshotStore:
         names = self._saved()
         if not names:
             return None
-        complete = max((i for i, n in enumerate(names) if n.endswith("-all")), default=0)
+        complete = max((i for i, n in enumerate(names) if "-all-" in n), default=0)
         states = self.journal.spark.read.parquet(*(f"{self.path}/{n}" for n in names[complete:]))
-        if complete == len(names) - 1 and names[-1].endswith("-all"):
+        if "-all-" in names[-1]:
             return states
         state = F.max_by(F.struct(*self.STATE[1:]), "sequence_number").alias("s")
         return states.groupBy("persistence_id").agg(state).select("persistence_id", "s.*")
 
     def tail(self) -> DataFrame:
         """Events after the newest state of their entity."""
-        newest = self.newest()
-        if newest is None:
+        names, live = self._saved(), self.journal.live()
+        if not names:
             return self.journal.events()
+        if "-all-" in names[-1]:
+            covered = int(names[-1].rpartition("-")[2])
+            later = [p for p in live if p.n and p.last_ordering > covered]
+            return self.journal.events(later).where(F.col("ordering") > covered) if later else self.journal.events().where("false")
+        newest = self.newest()
         states = newest.select("persistence_id", F.col("sequence_number").alias("_done"))
-        heads = self.journal._load(self.journal.heads, "parquet", self.journal.live())
+        heads = self.journal._load(self.journal.heads, "parquet", live)
         goes_on = F.col("sequence_number") > F.coalesce("_done", F.lit(0))
         # a row a part at most: the parts with a tail prune the scan of the events
         parts = join_same(heads, states, ["persistence_id"], "left").where(goes_on).select("part").distinct()
