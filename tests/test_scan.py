@@ -99,3 +99,16 @@ def test_estimates_are_not_trusted_after_an_explode(spark):
     many = small.select("id", F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("i"))
     assert multiplies_rows(many) and not is_small(many)
     assert multiplies_rows(small.join(small.withColumnRenamed("id", "j"))) and multiplies_rows(small.mapInArrow(lambda b: b, small.schema))
+
+
+def test_no_task_holds_a_log_that_compresses_well(spark):
+    """Two million rows are a few megabytes of file: they are cut into chunks, and each chunk is one task's."""
+    from rillmark.session import scratch
+
+    path = scratch(spark, "narrow")
+    spark.range(2_000_000).repartitionByRange(1, "id").write.parquet(path)
+    placed = OrderedScan(spark.read.parquet(path), ["id"]).upto(n=("count", F.lit(1)))
+    assert placed.layout is not None and placed.layout.chunks >= 4
+    in_task = placed._heavy.groupBy(F.spark_partition_id().alias("task")).count()
+    assert in_task.agg(F.max("count")).first()[0] < 1_000_000
+    assert placed.df.where("n <> id + 1").count() == 0 and placed.df.count() == 2_000_000
