@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmark.operators import calls, flows, timespine, udtfs
+from rillmark.plans import sources_sinks
 from rillmark.session import scratch
 from rillmark.streaming import streams as S
 
@@ -33,6 +34,24 @@ def test_the_counter_comes_in_many_batches(spark):
     assert sorted(r["value"] for r in spark.read.parquet(path).collect()) == list(range(47))
 
 
+def test_a_longer_log_is_not_paced_in_more_batches(spark, monkeypatch):
+    """The batches have an upper number, and a gap in the log does not end it."""
+    folder, paced = scratch(spark, "log"), []
+    seq = F.when(F.col("id") < 30, F.col("id")).otherwise(F.col("id") + 200)
+    log = spark.range(100).select(
+        seq.alias("event_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), (seq % 7).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.5).alias("value"), F.lit("{}").alias("props"),
+    )
+    log.union(log.where("event_id = 3")).write.parquet(f"{folder}/events.parquet")
+    run = S.run_batches_until
+    monkeypatch.setattr(S, "run_batches_until", lambda *args: paced.append(run(*args)))
+    monkeypatch.setattr(sources_sinks, "TICKS", 10)
+    monkeypatch.setattr(sources_sinks, "PACES", 4)
+    got = sorted(r["tick"] for r in sources_sinks.src_counter_stream(spark, folder).collect())
+    assert got == sorted([*range(30), 3, *range(230, 300)])
+    assert paced == [4]
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 6, 7, 36, 37, 100])
 def test_numbered_rows_in_two_levels(spark, monkeypatch, n):
     monkeypatch.setattr(timespine, "SPINE", 6)
