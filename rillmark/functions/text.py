@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,12 +79,20 @@ def unshift_ascii(text: Column, by: int) -> Column:
     return F.translate(text, "".join(chr(ord(c) + by) for c in _PRINTABLE), _PRINTABLE)
 
 
-@F.pandas_udf(T.StringType())
-def shift_text(text: pd.Series, by: pd.Series) -> pd.Series:
+# texts shifted at once: what Python holds beside the Arrow batch
+TEXTS = 64
+
+
+@F.arrow_udf(T.StringType())
+def shift_text(text: pa.Array, by: pa.Array) -> pa.Array:
     """Shift every character of any text.  ``chr`` in SQL stops at 255, so this one is an Arrow UDF."""
 
     def shift(t: str, n: int) -> str:
         points = np.frombuffer(t.encode("utf-32-le"), dtype="<u4")
         return (points.astype("<i8") + n).astype("<u4").tobytes().decode("utf-32-le")
 
-    return pd.Series([None if t is None else shift(t, n) for t, n in zip(text, by, strict=True)])
+    parts = [pa.array([], pa.string())]
+    for at in range(0, len(text), TEXTS):
+        pairs = zip(text.slice(at, TEXTS), by.slice(at, TEXTS), strict=True)
+        parts.append(pa.array([shift(t.as_py(), n.as_py()) if t.is_valid else None for t, n in pairs], pa.string()))
+    return pa.concat_arrays(parts)

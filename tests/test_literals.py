@@ -311,3 +311,17 @@ def test_count_tap(spark):
     tapped, tap = flows.count_tap(_values(spark, range(10)))
     tapped.write.format("noop").mode("overwrite").save()
     assert tap.get["n"] == 10
+
+
+def test_the_shift_holds_few_texts_at_once():
+    """Beside the Arrow batch Python holds some texts, not all of them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["w\u00f6rds " * 2000] * 1000)
+    tracemalloc.start()
+    shifted = text.shift_text.func(texts, pa.array([3] * len(texts), pa.int32()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert shifted[0].as_py()[:3] == "z\u00f9u" and peak < 6_000_000
