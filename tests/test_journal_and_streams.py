@@ -54,6 +54,25 @@ def test_reads_by_id_and_tag(journal):
     assert "pid_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_marks_of_a_tag_on_every_event_are_written_by_several_tasks(spark):
+    store = Journal(spark, scratch(spark, "test-marks"), buckets=4)
+    spark.conf.set("spark.rillmark.scan.taskRows", "500")
+    try:
+        events = spark.range(3000).select(
+            F.concat(F.lit("e"), F.col("id") % 7).alias("persistence_id"), F.struct("id").alias("payload"),
+            F.array(F.lit("all"), F.lit("all"), F.when(F.col("id") % 3 == 0, "third")).alias("tags"),
+            F.timestamp_micros("id").alias("ts"), "id",
+        )
+        store.append(events, ["id"])
+    finally:
+        spark.conf.unset("spark.rillmark.scan.taskRows")
+    marks = spark.read.parquet(store.tags)
+    # the tag, the third and the null of the others
+    assert {r["tag"]: r["count"] for r in marks.groupBy("tag").count().collect()} == {"all": 3000, "third": 1000, None: 2000}
+    assert marks.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 1000
+    assert [r["payload"]["id"] for r in store.by_tag("third", 2500).orderBy("ordering").collect()] == list(range(2502, 3000, 3))
+
+
 def test_heads_and_tags_prune_what_is_read(journal):
     assert all("-heads/" in f for df in (journal.ids(), journal.next_ids()) for f in df.inputFiles())
     assert {r["persistence_id"]: r["next_id"] for r in journal.next_ids().collect()} == {"e0": 6, "e1": 6, "e2": 6}
